@@ -41,6 +41,10 @@ def load_documents(dumps: DataFrame, manifest: DataFrame) -> DataFrame:
 
 
 def touched_types(manifest: DataFrame) -> DataFrame:
+    """Distinct type keys of a manifest.  A local (driver-side, size-checked) manifest stays local."""
+    if manifest.isLocal():
+        rows = sorted({(r["client"], r["tenant"], r["type"]) for r in manifest.select(*KEY).collect()})
+        return manifest.sparkSession.createDataFrame(rows, manifest.select(*KEY).schema)
     return manifest.select(*KEY).distinct()
 
 
@@ -71,13 +75,14 @@ def restore_totals(manifest: DataFrame, loaded: DataFrame, target: DataFrame, to
     """
     per_row = loaded.groupBy("ord").agg(F.count(F.lit(1)).alias("_total"),
                                         F.count_if("bad").alias("_rejected"))
+    # ``seq`` is ord-major, so the first occurrence of an id lies in its smallest ``ord``: an int
+    # min/max keeps this a hash aggregation
     existing = (target.join(F.broadcast(touched), KEY, "left_semi")
-                .select(*KEY, "id", F.lit(None).cast(loaded.schema["seq"].dataType).alias("seq"),
-                        F.lit(1).alias("_in")))
-    ids = loaded.select(*KEY, "id", "seq", F.lit(0).alias("_in")).unionByName(existing)
-    first = ids.groupBy(*KEY, "id").agg(F.min("seq").alias("first"), F.max("_in").alias("_in"))
-    ins = (first.where((F.col("_in") == 0) & F.col("first").isNotNull())
-           .groupBy(F.col("first.ord").alias("ord")).agg(F.count(F.lit(1)).alias("_ins")))
+                .select(*KEY, "id", F.lit(None).cast("int").alias("_ord"), F.lit(1).alias("_in")))
+    ids = loaded.select(*KEY, "id", F.col("ord").alias("_ord"), F.lit(0).alias("_in")).unionByName(existing)
+    first = ids.groupBy(*KEY, "id").agg(F.min("_ord").alias("_first"), F.max("_in").alias("_in"))
+    ins = (first.where((F.col("_in") == 0) & F.col("_first").isNotNull())
+           .groupBy(F.col("_first").alias("ord")).agg(F.count(F.lit(1)).alias("_ins")))
     out = (manifest.select("ord", *KEY).join(F.broadcast(per_row), "ord", "left")
            .join(F.broadcast(ins), "ord", "left"))
     total = F.coalesce("_total", F.lit(0)).cast("long")

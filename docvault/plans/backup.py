@@ -30,13 +30,17 @@ class BackupResult:
 
 
 def plan_backup(spark: SparkSession, store: DataFrame, request: DataFrame,
-                indexes: DataFrame | None = None, skip_indexes: bool = False) -> tuple[DataFrame, DataFrame]:
+                indexes: DataFrame | None = None, skip_indexes: bool = False,
+                catalog: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """The two frames of a backup without writing: ``(manifest_local, docs)``.
 
     ``manifest_local``: ``(ord, client, tenant, type, n_docs, file[, indexes])``, a size-checked local frame.
     ``docs``: ``(ord, client, tenant, type, file, n_docs, id, doc)`` for every resolved type.
+    ``catalog`` may be passed when it is already computed (e.g. a catalog table); default: S1 over the store.
     """
-    resolved_local, _ = small_frame(spark, resolve_types(request, type_catalog(store)), "resolved types")
+    if catalog is None:
+        catalog = type_catalog(store)
+    resolved_local, _ = small_frame(spark, resolve_types(request, catalog), "resolved types")
     docs = store.join(F.broadcast(resolved_local), KEY)
     manifest = resolved_local
     if indexes is not None and not skip_indexes:
@@ -46,10 +50,11 @@ def plan_backup(spark: SparkSession, store: DataFrame, request: DataFrame,
 
 def run_backup(spark: SparkSession, store: DataFrame, request: DataFrame, out_root: str,
                indexes: DataFrame | None = None, skip_indexes: bool = False, fmt: str = "jsonl",
-               max_records_per_file: int = 1_000_000, compression: str | None = None) -> BackupResult:
+               max_records_per_file: int = 1_000_000, compression: str | None = None,
+               catalog: DataFrame | None = None) -> BackupResult:
     """C1.  A failing scan or write raises and leaves no manifest (dumps already written stay)."""
     run_dir = new_run_dir(spark, out_root)
-    manifest, docs = plan_backup(spark, store, request, indexes, skip_indexes)
+    manifest, docs = plan_backup(spark, store, request, indexes, skip_indexes, catalog)
     if fmt == "jsonl":
         write_dumps(docs, run_dir, max_records_per_file, compression)
     elif fmt == "array":

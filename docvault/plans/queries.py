@@ -52,8 +52,20 @@ def _store(spark, sf_dir):
     return store_from_tables(spark, sf_dir)
 
 
+def _catalog(spark, store):
+    """S1 once per job, kept on the driver (one row per type, size-checked)."""
+    return small_frame(spark, type_catalog(store), "type catalog")[0]
+
+
+def _env(spark, sf_dir):
+    """(store, catalog, index table) of the generated tables."""
+    store = _store(spark, sf_dir)
+    cat = _catalog(spark, store)
+    return store, cat, index_catalog(cat)
+
+
 def _indexes(spark, sf_dir):
-    return index_catalog(type_catalog(_store(spark, sf_dir)))
+    return _env(spark, sf_dir)[2]
 
 
 def payload(doc="doc"):
@@ -74,8 +86,9 @@ def target_view(df: DataFrame) -> DataFrame:
 
 def _backup(spark, sf_dir, fmt="jsonl", with_indexes=True):
     out = scratch_path(spark, "q-backups")
-    return run_backup(spark, _store(spark, sf_dir), standard_request(spark), out,
-                      _indexes(spark, sf_dir) if with_indexes else None, fmt=fmt)
+    store, cat, ix = _env(spark, sf_dir)
+    return run_backup(spark, store, standard_request(spark), out, ix if with_indexes else None, fmt=fmt,
+                      catalog=cat)
 
 
 def _seed(spark, root, df):
@@ -114,7 +127,8 @@ def q_index_filter(spark, sf_dir):
 
 
 def q_index_attach(spark, sf_dir):
-    manifest, _ = plan_backup(spark, _store(spark, sf_dir), standard_request(spark), _indexes(spark, sf_dir))
+    store, cat, ix = _env(spark, sf_dir)
+    manifest, _ = plan_backup(spark, store, standard_request(spark), ix, catalog=cat)
     has = F.col("indexes").isNotNull()
     return manifest.select(
         "ord", *KEY, "file",
@@ -142,7 +156,8 @@ def existing_target_indexes(spark, sf_dir) -> DataFrame:
 
 
 def q_index_ensure(spark, sf_dir):
-    manifest, _ = plan_backup(spark, _store(spark, sf_dir), standard_request(spark), _indexes(spark, sf_dir))
+    store, cat, ix = _env(spark, sf_dir)
+    manifest, _ = plan_backup(spark, store, standard_request(spark), ix, catalog=cat)
     existing = existing_target_indexes(spark, sf_dir)
     created, new_table = ensure_indexes(manifest, existing)
     from docvault.functions.json import index_name
@@ -212,8 +227,8 @@ def q_restore_upsert(spark, sf_dir):
 
 def q_migrate(spark, sf_dir):
     root_b = scratch_path(spark, "q-env-b")
-    migrate(spark, _store(spark, sf_dir), standard_request(spark), scratch_path(spark, "q-backups"), root_b,
-            _indexes(spark, sf_dir))
+    store, _, ix = _env(spark, sf_dir)
+    migrate(spark, store, standard_request(spark), scratch_path(spark, "q-backups"), root_b, ix)
     return target_view(read_snapshot(spark, docs_root(root_b), STORE_SCHEMA))
 
 
@@ -244,7 +259,8 @@ def q_verify_documents(spark, sf_dir):
 
 
 def q_verify_indexes(spark, sf_dir):
-    manifest, _ = plan_backup(spark, _store(spark, sf_dir), standard_request(spark), _indexes(spark, sf_dir))
+    store, cat, ix = _env(spark, sf_dir)
+    manifest, _ = plan_backup(spark, store, standard_request(spark), ix, catalog=cat)
     return verify_indexes(manifest, existing_target_indexes(spark, sf_dir))
 
 
