@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docvault.model import DOCUMENTS_PER_REQUEST
+from docvault.operators.types import type_key
 
 KEY = ["client", "tenant", "type"]
 _PARSE = "struct<_id: variant, _corrupt_record: string>"
@@ -41,11 +42,24 @@ def load_documents(dumps: DataFrame, manifest: DataFrame) -> DataFrame:
 
 
 def touched_types(manifest: DataFrame) -> DataFrame:
-    """Distinct type keys of a manifest.  A local (driver-side, size-checked) manifest stays local."""
+    """Distinct types of a manifest with their target partition key ``tkey``.
+
+    A local (driver-side, size-checked) manifest stays local, so the list is broadcast without a shuffle.
+    """
+    t = manifest.select(*KEY, type_key().alias("tkey"))
     if manifest.isLocal():
-        rows = sorted({(r["client"], r["tenant"], r["type"]) for r in manifest.select(*KEY).collect()})
-        return manifest.sparkSession.createDataFrame(rows, manifest.select(*KEY).schema)
-    return manifest.select(*KEY).distinct()
+        rows = sorted({tuple(r) for r in t.collect()})
+        return manifest.sparkSession.createDataFrame(rows, t.schema)
+    return t.distinct()
+
+
+def touched_part(target: DataFrame, touched: DataFrame) -> DataFrame:
+    """The target rows of the touched types.  With a local ``touched`` and a ``tkey`` column the filter is a
+    static partition filter: untouched types are not even listed."""
+    if touched.isLocal() and "tkey" in target.columns:
+        keys = sorted({r["tkey"] for r in touched.select("tkey").collect()})
+        target = target.where(F.col("tkey").isin(keys))
+    return target.join(F.broadcast(touched.select(*KEY)), KEY, "left_semi")
 
 
 def _target_seq():
@@ -53,18 +67,22 @@ def _target_seq():
                     F.lit(-1).cast("long").alias("pos"))
 
 
-def upsert(target: DataFrame, loaded: DataFrame, touched: DataFrame) -> DataFrame:
-    """The new target: untouched types pass through (map-only), touched types are merged.
+def merge_types(target: DataFrame, loaded: DataFrame, touched: DataFrame) -> DataFrame:
+    """The new content of the touched types (the only part of the target a restore rewrites).
 
-    ``touched`` is the manifest's distinct type keys (small, broadcast).  Per (type, id) the document with
-    the greatest ``seq`` wins; existing target documents order before everything restored.
+    Per (type, id) the document with the greatest ``seq`` wins; documents already in the target order
+    before everything restored.  ``max_by`` over a text value is a sort-based aggregation: it spills
+    instead of failing when a partition is large, and its partial (map-side) step collapses repeats.
     """
-    t = F.broadcast(touched)
-    untouched = target.join(t, KEY, "left_anti")
-    current = target.join(t, KEY, "left_semi").select(*KEY, "id", "doc", _target_seq().alias("seq"))
-    merged = (current.unionByName(loaded.select(*KEY, "id", "doc", "seq"))
-              .groupBy(*KEY, "id").agg(F.max_by("doc", "seq").alias("doc")))
-    return untouched.select(*KEY, "id", "doc").unionByName(merged)
+    current = touched_part(target, touched).select(*KEY, "id", "doc", _target_seq().alias("seq"))
+    return (current.unionByName(loaded.select(*KEY, "id", "doc", "seq"))
+            .groupBy(*KEY, "id").agg(F.max_by("doc", "seq").alias("doc")))
+
+
+def upsert(target: DataFrame, loaded: DataFrame, touched: DataFrame) -> DataFrame:
+    """The whole new target as one frame: untouched types as they are, touched types merged."""
+    untouched = target.join(F.broadcast(touched.select(*KEY)), KEY, "left_anti").select(*KEY, "id", "doc")
+    return untouched.unionByName(merge_types(target, loaded, touched))
 
 
 def restore_totals(manifest: DataFrame, loaded: DataFrame, target: DataFrame, touched: DataFrame) -> DataFrame:
@@ -77,7 +95,7 @@ def restore_totals(manifest: DataFrame, loaded: DataFrame, target: DataFrame, to
                                         F.count_if("bad").alias("_rejected"))
     # ``seq`` is ord-major, so the first occurrence of an id lies in its smallest ``ord``: an int
     # min/max keeps this a hash aggregation
-    existing = (target.join(F.broadcast(touched), KEY, "left_semi")
+    existing = (touched_part(target, touched)
                 .select(*KEY, "id", F.lit(None).cast("int").alias("_ord"), F.lit(1).alias("_in")))
     ids = loaded.select(*KEY, "id", F.col("ord").alias("_ord"), F.lit(0).alias("_in")).unionByName(existing)
     first = ids.groupBy(*KEY, "id").agg(F.min("_ord").alias("_first"), F.max("_in").alias("_in"))

@@ -6,15 +6,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _part(c):
+    return F.concat(F.length(c).cast("string"), F.lit(":"), F.col(c))
+
+
+def type_key(client="client", tenant="tenant", typ="type"):
+    """Partition key of a type in a target store: a hash of (client, tenant, type).
+
+    Raw names would make poor directory names (an empty name reads back as NULL, digits may be inferred
+    as numbers); the names themselves stay data columns.
+    """
+    canon = F.concat_ws("|", _part(client), _part(tenant), _part(typ))
+    return F.substring(F.sha2(canon, 256), 1, 20)
+
+
 def file_key(ord_col="ord", client="client", tenant="tenant", typ="type"):
     """Deterministic dump name of one resolved row: a hash of (ord, client, tenant, type).
 
     Length-prefixed fields make the encoding unambiguous; a retried task can never rename a dump.
     """
-    def part(c):
-        return F.concat(F.length(c).cast("string"), F.lit(":"), F.col(c))
-
-    canon = F.concat_ws("|", F.col(ord_col).cast("string"), part(client), part(tenant), part(typ))
+    canon = F.concat_ws("|", F.col(ord_col).cast("string"), _part(client), _part(tenant), _part(typ))
     return F.concat(F.lit("f_"), F.substring(F.sha2(canon, 256), 1, 32))
 
 

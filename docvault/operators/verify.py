@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docvault.operators.indexes import manifest_indexes, prepare_for_creation
 from docvault.functions.json import index_name
+from docvault.operators.restore import touched_part
 
 KEY = ["client", "tenant", "type"]
 
@@ -18,15 +19,14 @@ def verify_documents(expected: DataFrame, target: DataFrame, touched: DataFrame)
     ``touched`` are compared.  Texts are compared through their SHA-256, so only hashes are shuffled.
     """
     e = expected.select(*KEY, "id", F.sha2("doc", 256).alias("he"))
-    t = (target.join(F.broadcast(touched), KEY, "left_semi")
-         .select(*KEY, "id", F.sha2("doc", 256).alias("ht")))
+    t = touched_part(target, touched).select(*KEY, "id", F.sha2("doc", 256).alias("ht"))
     j = e.join(t, KEY + ["id"], "full_outer")
     per_type = j.groupBy(*KEY).agg(
         F.count_if(F.col("ht").isNull()).alias("missing"),
         F.count_if(F.col("he").isNull()).alias("extra"),
         F.count_if(F.col("he").isNotNull() & F.col("ht").isNotNull() & (F.col("he") != F.col("ht"))).alias("different"),
         F.count_if(F.col("he") == F.col("ht")).alias("same"))
-    return (F.broadcast(touched).join(per_type, KEY, "left")
+    return (F.broadcast(touched.select(*KEY)).join(per_type, KEY, "left")
             .select(*KEY, *[F.coalesce(c, F.lit(0)).cast("long").alias(c)
                             for c in ("missing", "extra", "different", "same")]))
 

@@ -17,13 +17,13 @@ from docvault.model import INDEX_SCHEMA, MANIFEST_NAME, STORE_SCHEMA
 from docvault.operators.indexes import ensure_indexes, usable_indexes
 from docvault.operators.manifest import select_manifest
 from docvault.operators.restore import batch_plan, load_documents, restore_totals, touched_types
-from docvault.operators.verify import drop_types, verify_documents, verify_indexes
+from docvault.operators.verify import verify_documents, verify_indexes
 from docvault.plans.backup import plan_backup, run_backup
 from docvault.plans.migrate import migrate
-from docvault.plans.restore import docs_root, indexes_root, restore_frames, run_restore
+from docvault.plans.restore import restore_frames, run_restore
+from docvault.sinks.target import drop_types_in_place, read_target, write_types
 from docvault.functions.json import has_weights_all, prepare_options
 from docvault.session import scratch_path, small_frame, write_text_file
-from docvault.sinks.snapshot import publish, read_snapshot
 from docvault.sources.config import read_backup_config, read_manifest, request_frame
 from docvault.sources.dumps import read_dumps
 from docvault.sources.store import index_catalog, store_from_tables, type_catalog
@@ -92,7 +92,7 @@ def _backup(spark, sf_dir, fmt="jsonl", with_indexes=True):
 
 
 def _seed(spark, root, df):
-    publish(spark, docs_root(root), df, sort_cols=KEY)
+    write_types(df, root)
 
 
 # ---------------------------------------------------------------- S1, S4/T1/T2, S3, S2/T3, J1, T4, J2
@@ -210,7 +210,7 @@ def _restore_into_stale(spark, sf_dir, with_indexes=False):
 def q_batch_sizes(spark, sf_dir):
     b = _backup(spark, sf_dir, with_indexes=False)
     m = read_manifest(spark, b.manifest_path)
-    _, _, totals = restore_frames(spark, b.run_dir, m, spark.createDataFrame([], STORE_SCHEMA))
+    _, _, totals = restore_frames(spark, b.run_dir, m, read_target(spark, scratch_path(spark, "q-empty")))
     return batch_plan(totals.select("ord", *KEY, "total")).select(
         "ord", *KEY, F.col("batch").cast("int").alias("batch"), "docs", "full")
 
@@ -222,22 +222,22 @@ def q_restore_totals(spark, sf_dir):
 
 def q_restore_upsert(spark, sf_dir):
     _, root, _ = _restore_into_stale(spark, sf_dir)
-    return target_view(read_snapshot(spark, docs_root(root), STORE_SCHEMA))
+    return target_view(read_target(spark, root))
 
 
 def q_migrate(spark, sf_dir):
     root_b = scratch_path(spark, "q-env-b")
     store, _, ix = _env(spark, sf_dir)
     migrate(spark, store, standard_request(spark), scratch_path(spark, "q-backups"), root_b, ix)
-    return target_view(read_snapshot(spark, docs_root(root_b), STORE_SCHEMA))
+    return target_view(read_target(spark, root_b))
 
 
 def q_stream_restore(spark, sf_dir):
     b = _backup(spark, sf_dir, with_indexes=False)
     root = scratch_path(spark, "q-target")
     _seed(spark, root, stale_target(spark, sf_dir))
-    stream_restore(spark, b.run_dir, root, checkpoint=scratch_path(spark, "q-stream-ckpt"), max_files_per_trigger=8)
-    return target_view(read_snapshot(spark, docs_root(root), STORE_SCHEMA))
+    stream_restore(spark, b.run_dir, root, checkpoint=scratch_path(spark, "q-stream-ckpt"))
+    return target_view(read_target(spark, root))
 
 
 # ---------------------------------------------------------------- V1–V3
@@ -247,7 +247,7 @@ def q_verify_documents(spark, sf_dir):
     b = _backup(spark, sf_dir, with_indexes=False)
     root = scratch_path(spark, "q-target")
     run_restore(spark, b.run_dir, root, skip_indexes=True)
-    t = read_snapshot(spark, docs_root(root), STORE_SCHEMA)
+    t = read_target(spark, root)
     n = F.col("id").cast("long")
     damaged = (t.where(n % 7 != 1)
                .withColumn("doc", F.when(n % 11 == 2, F.concat(F.col("doc"), F.lit(" "))).otherwise(F.col("doc")))
@@ -266,10 +266,10 @@ def q_verify_indexes(spark, sf_dir):
 
 def q_drop_type(spark, sf_dir):
     _, root, _ = _restore_into_stale(spark, sf_dir)
-    t = read_snapshot(spark, docs_root(root), STORE_SCHEMA)
     drop = spark.createDataFrame([("analytics", "tenant_1", "click"), ("analytics", "tenant_1", "view"),
                                   ("corpus", "en", "src0")], "client string, tenant string, type string")
-    return drop_types(t, drop).groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"))
+    drop_types_in_place(spark, root, drop)
+    return read_target(spark, root).groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"))
 
 
 QUERIES = {

@@ -1,8 +1,8 @@
-"""C2 restore job: manifest → ensure indexes → read all dumps → upsert → totals per manifest row.
+"""C2 restore job: manifest → ensure indexes → read all dumps → totals → upsert of the touched types.
 
-``restore_frames`` is the side-effect-free core; ``run_restore`` adds reading the current target snapshot,
-the index step and publishing.  Totals are computed (and rejected documents checked) before the new
-snapshot is written, and the snapshot becomes current only after it is complete.
+``restore_frames`` is the side-effect-free core.  ``run_restore`` adds the index step, checks the totals
+(rejected documents fail the job before anything is written) and then replaces the touched types of the
+target in one write; types the manifest does not name are neither read nor written.
 """
 
 from __future__ import annotations
@@ -11,11 +11,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docvault.model import INDEX_SCHEMA, MANIFEST_NAME, STORE_SCHEMA, RestoreError
+from docvault.model import INDEX_SCHEMA, MANIFEST_NAME, RestoreError
 from docvault.operators.indexes import ensure_indexes
-from docvault.operators.restore import load_documents, restore_totals, touched_types, upsert
+from docvault.operators.restore import load_documents, merge_types, restore_totals, touched_types
 from docvault.session import small_frame
 from docvault.sinks.snapshot import publish, read_snapshot
+from docvault.sinks.target import docs_root, read_target, write_types  # noqa: F401  (docs_root re-exported)
 from docvault.sources.config import read_manifest
 from docvault.sources.dumps import read_dumps
 
@@ -26,11 +27,6 @@ KEY = ["client", "tenant", "type"]
 class RestoreResult:
     totals: DataFrame
     created_indexes: int
-    snapshot: dict
-
-
-def docs_root(target_root: str) -> str:
-    return f"{target_root.rstrip('/')}/documents"
 
 
 def indexes_root(target_root: str) -> str:
@@ -39,11 +35,12 @@ def indexes_root(target_root: str) -> str:
 
 def restore_frames(spark: SparkSession, run_dir: str, manifest_local: DataFrame,
                    target: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(loaded, new_target, totals)`` of restoring the manifest's dumps into ``target``; nothing written."""
+    """``(loaded, merged, totals)``: the documents read from the dumps, the new content of the touched
+    types, and the per-row totals.  Nothing is written."""
     rows = manifest_local.collect()
     loaded = load_documents(read_dumps(spark, run_dir, rows), manifest_local)
     touched = touched_types(manifest_local)
-    return loaded, upsert(target, loaded, touched), restore_totals(manifest_local, loaded, target, touched)
+    return loaded, merge_types(target, loaded, touched), restore_totals(manifest_local, loaded, target, touched)
 
 
 def run_restore(spark: SparkSession, run_dir: str, target_root: str, skip_indexes: bool = False,
@@ -56,16 +53,16 @@ def run_restore(spark: SparkSession, run_dir: str, target_root: str, skip_indexe
     if not skip_indexes and "indexes" in manifest_local.columns:
         tix = read_snapshot(spark, indexes_root(target_root), INDEX_SCHEMA)
         made, new_ix = ensure_indexes(manifest_local, tix)
-        made_local, made_rows = small_frame(spark, made, "created indexes")
+        _, made_rows = small_frame(spark, made, "created indexes")
         created = len(made_rows)
         if created:
             publish(spark, indexes_root(target_root), new_ix.coalesce(1))
-    target = read_snapshot(spark, docs_root(target_root), STORE_SCHEMA)
-    _, new_target, totals = restore_frames(spark, run_dir, manifest_local, target)
+    target = read_target(spark, target_root)
+    _, merged, totals = restore_frames(spark, run_dir, manifest_local, target)
     totals_local, trows = small_frame(spark, totals, "restore totals")
     bad = [r for r in trows if r["rejected"]]
     if strict and bad:
         raise RestoreError(f"{sum(r['rejected'] for r in bad)} documents are not JSON "
                            f"(first: tenant '{bad[0]['tenant']}' type '{bad[0]['type']}')")
-    snap = publish(spark, docs_root(target_root), new_target, sort_cols=KEY)
-    return RestoreResult(totals_local.orderBy("ord"), created, snap)
+    write_types(merged, target_root)
+    return RestoreResult(totals_local.orderBy("ord"), created)

@@ -1,14 +1,17 @@
 """C4 streaming restore: the dump directory as a file stream, each micro-batch upserted into the target.
 
 ``readStream`` over ``<run>/dumps`` (``file`` comes from the partition directory), ``maxFilesPerTrigger``
-bounds a micro-batch, ``trigger(availableNow=True)`` drains what is there and stops.  ``foreachBatch`` is
-at-least-once, so each publish is tagged with the batch id and a replayed batch that was already published
-is skipped.  Totals are written per batch (overwriting that batch's own directory, so replays are
-idempotent) and summed per manifest row at the end.
+bounds a micro-batch, ``trigger(availableNow=True)`` drains what is there and stops.  A micro-batch reads
+and rewrites only the target partitions of the types it carries (dynamic partition overwrite).
+
+``foreachBatch`` is at-least-once.  Per batch: totals are computed against the target as it was before the
+batch and written to ``stream-totals/batch=<id>`` (kept if a replay finds them), then the touched types are
+replaced, then a ``_DONE`` marker is written; a replay of a finished batch does nothing, and replaying the
+upsert itself is idempotent.
 
 Order across micro-batches is file arrival order, not manifest order: a later batch wins.  For the same
 result as the batch restore, ids must be unique per type across the manifest's dumps, or duplicates must
-carry identical text (which is the case for a backup with repeated tenant rows).
+carry identical text (the case for a backup with repeated tenant rows).
 """
 
 from __future__ import annotations
@@ -16,14 +19,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docvault.model import DUMPS_DIR, MANIFEST_NAME, STORE_SCHEMA
-from docvault.operators.restore import load_documents, restore_totals, touched_types, upsert
-from docvault.plans.restore import docs_root
-from docvault.session import small_frame
-from docvault.sinks.snapshot import current, publish, read_snapshot
+from docvault.model import DUMPS_DIR, MANIFEST_NAME
+from docvault.operators.restore import load_documents, merge_types, restore_totals, touched_types
+from docvault.session import path_exists, small_frame, write_text_file
+from docvault.sinks.target import read_target, write_types
 from docvault.sources.config import read_manifest
 
 KEY = ["client", "tenant", "type"]
+SUMS = ("total", "inserted", "replaced", "rejected")
 
 
 def stream_restore(spark: SparkSession, run_dir: str, target_root: str, checkpoint: str,
@@ -33,8 +36,7 @@ def stream_restore(spark: SparkSession, run_dir: str, target_root: str, checkpoi
         manifest = read_manifest(spark, f"{run_dir}/{MANIFEST_NAME}")
     manifest_local, rows = small_frame(spark, manifest, "manifest")
     keys = sorted({r["file"] for r in rows})
-    totals_root = f"{target_root.rstrip('/')}/stream-totals"
-    droot = docs_root(target_root)
+    totals_root = f"{checkpoint.rstrip('/')}-totals"
 
     src = (spark.readStream.schema("value string, file string")
            .option("maxFilesPerTrigger", max_files_per_trigger)
@@ -44,32 +46,27 @@ def stream_restore(spark: SparkSession, run_dir: str, target_root: str, checkpoi
                    F.col("_metadata.file_block_start").alias("blk"), F.col("value").alias("doc")))
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        tag = f"{checkpoint}#{batch_id}"
-        cur = current(spark, droot)
-        if cur is not None and cur.get("tag") == tag:
+        out = f"{totals_root}/batch={batch_id}"
+        if path_exists(spark, f"{out}/_DONE"):
             return
         dumps = batch.select("file", "path", "blk", F.monotonically_increasing_id().alias("pos"), "doc")
-        loaded = load_documents(dumps, manifest_local)
-        target = read_snapshot(spark, droot, STORE_SCHEMA)
-        touched = touched_types(manifest_local)
-        totals = restore_totals(manifest_local, loaded, target, touched).withColumn("batch", F.lit(batch_id))
-        totals.write.mode("overwrite").parquet(f"{totals_root}/batch={batch_id}")
-        publish(spark, droot, upsert(target, loaded, touched), tag=tag, sort_cols=KEY)
+        files = [r["file"] for r in dumps.select("file").distinct().collect()]
+        part, _ = small_frame(spark, manifest_local.where(F.col("file").isin(files)), "batch manifest")
+        loaded = load_documents(dumps, part)
+        target = read_target(spark, target_root)
+        touched = touched_types(part)
+        if not path_exists(spark, f"{out}/_SUCCESS"):
+            restore_totals(part, loaded, target, touched).write.mode("overwrite").parquet(out)
+        write_types(merge_types(target, loaded, touched), target_root)
+        write_text_file(spark, f"{out}/_DONE", str(batch_id), overwrite=True)
 
     q = (src.writeStream.foreachBatch(one_batch)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    sums = (spark.read.parquet(totals_root).groupBy("ord")
-            .agg(*[F.sum(c).alias(c) for c in ("total", "inserted", "replaced", "rejected")])) \
-        if _has_totals(spark, totals_root) else None
-    out = manifest_local.select("ord", *KEY)
-    if sums is None:
-        return out.select("ord", *KEY, *[F.lit(0).cast("long").alias(c) for c in ("total", "inserted", "replaced", "rejected")])
-    return out.join(F.broadcast(sums), "ord", "left").select(
-        "ord", *KEY, *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("total", "inserted", "replaced", "rejected")])
-
-
-def _has_totals(spark: SparkSession, root: str) -> bool:
-    from docvault.session import path_exists
-    return path_exists(spark, root)
+    base = manifest_local.select("ord", *KEY)
+    if not path_exists(spark, totals_root):
+        return base.select("ord", *KEY, *[F.lit(0).cast("long").alias(c) for c in SUMS])
+    sums = spark.read.parquet(totals_root).groupBy("ord").agg(*[F.sum(c).alias(c) for c in SUMS])
+    return base.join(F.broadcast(sums), "ord", "left").select(
+        "ord", *KEY, *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in SUMS])
