@@ -71,7 +71,10 @@ DOCUMENTS_PER_REQUEST = 1000
 MAX_OBJECT_BYTES = 16_777_216
 # Fixed value: file name of the manifest inside a run directory.
 MANIFEST_NAME = "backup.json"
+# Sub-directories of a run directory, one per dump format.
 DUMPS_DIR = "dumps"
+JSONL_DIR = "jsonl"
+ARRAYS_DIR = "arrays"
 
 
 class ConfigNotFound(Exception):

@@ -17,28 +17,24 @@ from docvault.model import DOCUMENTS_PER_REQUEST
 from docvault.operators.types import type_key
 
 KEY = ["client", "tenant", "type"]
-_PARSE = "struct<_id: variant, _corrupt_record: string>"
 
 
 def load_documents(dumps: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Dump rows ``(file, path, blk, pos, doc)`` ⋈ manifest on ``file`` → documents to restore.
+    """Dump rows ``(file, path, blk, pos, id, bad, doc)`` ⋈ manifest on ``file`` → documents to restore.
 
-    Target names come from the manifest row (two rows may name one file: each restores it).  ``id`` is the
-    JSON text of ``_id``; a document without one gets a stable id from its position in the dump.  ``bad``
-    marks text that is not JSON.  The manifest is one row per type and is broadcast.
+    Target names come from the manifest row (two rows may name one file: each restores it).  A document
+    without an ``_id`` gets a stable id from its position in the dump.  The manifest is one row per type
+    and is broadcast.
     """
     m = F.broadcast(manifest.select("ord", *KEY, "file"))
     j = dumps.join(m, "file")
-    p = F.from_json("doc", _PARSE, {"columnNameOfCorruptRecord": "_corrupt_record"})
-    j = j.withColumn("_p", p)
     fallback = F.concat(F.lit("#"), F.sha2(F.concat_ws("|", "file", "path", F.col("blk").cast("string"),
                                                       F.col("pos").cast("string")), 256))
     return j.select(
         "ord", *KEY, "file",
         F.struct("ord", "path", "blk", "pos").alias("seq"),
-        F.coalesce(F.nullif(F.to_json(F.col("_p._id")), F.lit("null")), fallback).alias("id"),
-        F.col("_p._corrupt_record").isNotNull().alias("bad"),
-        "doc")
+        F.coalesce("id", fallback).alias("id"),
+        "bad", "doc")
 
 
 def touched_types(manifest: DataFrame) -> DataFrame:

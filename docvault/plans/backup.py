@@ -16,7 +16,7 @@ from docvault.operators.indexes import attach_indexes
 from docvault.operators.manifest import manifest_rows
 from docvault.operators.types import resolve_types
 from docvault.session import small_frame
-from docvault.sinks.dumps import new_run_dir, write_array_dumps, write_dumps, write_manifest
+from docvault.sinks.dumps import new_run_dir, write_array_dumps, write_dumps, write_jsonl_dumps, write_manifest
 from docvault.sources.store import type_catalog
 
 KEY = ["client", "tenant", "type"]
@@ -49,14 +49,16 @@ def plan_backup(spark: SparkSession, store: DataFrame, request: DataFrame,
 
 
 def run_backup(spark: SparkSession, store: DataFrame, request: DataFrame, out_root: str,
-               indexes: DataFrame | None = None, skip_indexes: bool = False, fmt: str = "jsonl",
+               indexes: DataFrame | None = None, skip_indexes: bool = False, fmt: str = "parquet",
                max_records_per_file: int = 1_000_000, compression: str | None = None,
                catalog: DataFrame | None = None) -> BackupResult:
     """C1.  A failing scan or write raises and leaves no manifest (dumps already written stay)."""
     run_dir = new_run_dir(spark, out_root)
     manifest, docs = plan_backup(spark, store, request, indexes, skip_indexes, catalog)
-    if fmt == "jsonl":
+    if fmt == "parquet":
         write_dumps(docs, run_dir, max_records_per_file, compression)
+    elif fmt == "jsonl":
+        write_jsonl_dumps(docs, run_dir, max_records_per_file, compression)
     elif fmt == "array":
         write_array_dumps(docs, run_dir, max_records_per_file, compression)
     else:

@@ -10,7 +10,7 @@ from docvault.plans.restore import RestoreResult, run_restore
 
 def migrate(spark: SparkSession, store_a: DataFrame, request: DataFrame, out_root: str, target_b: str,
             indexes_a: DataFrame | None = None, skip_indexes: bool = False,
-            fmt: str = "jsonl") -> tuple[BackupResult, RestoreResult]:
+            fmt: str = "parquet") -> tuple[BackupResult, RestoreResult]:
     """The run directory is the only hand-over between the two environments."""
     b = run_backup(spark, store_a, request, out_root, indexes_a, skip_indexes, fmt)
     r = run_restore(spark, b.run_dir, target_b, skip_indexes)

@@ -174,6 +174,10 @@ FROM manifest m LEFT JOIN attached a ON a.client = m.client AND a.tenant = m.ten
 
     "backup_roundtrip": _with(*BASE, MANIFEST) + """
 SELECT m.ord, m.client, m.tenant, m.type, s.id, s.payload
+FROM manifest m JOIN store s ON s.client = m.client AND s.tenant = m.tenant AND s.type = m.type""",
+
+    "backup_jsonl": _with(*BASE, MANIFEST) + """
+SELECT m.ord, m.client, m.tenant, m.type, s.id, s.payload
 FROM manifest m JOIN store s ON s.client = m.client AND s.tenant = m.tenant AND s.type = m.type""",
 
     "manifest_select": _with(*BASE, MANIFEST) + """

@@ -84,7 +84,7 @@ def target_view(df: DataFrame) -> DataFrame:
                      payload().alias("payload"))
 
 
-def _backup(spark, sf_dir, fmt="jsonl", with_indexes=True):
+def _backup(spark, sf_dir, fmt="parquet", with_indexes=True):
     out = scratch_path(spark, "q-backups")
     store, cat, ix = _env(spark, sf_dir)
     return run_backup(spark, store, standard_request(spark), out, ix if with_indexes else None, fmt=fmt,
@@ -183,6 +183,14 @@ def q_backup_roundtrip(spark, sf_dir):
     return loaded.select(F.col("ord").alias("ord"), *KEY, "id", payload().alias("payload"))
 
 
+def q_backup_jsonl(spark, sf_dir):
+    """K1/S6 with JSON Lines dumps: written as text, read back and parsed for ``_id``."""
+    b = _backup(spark, sf_dir, fmt="jsonl", with_indexes=False)
+    m = read_manifest(spark, b.manifest_path)
+    loaded = load_documents(read_dumps(spark, b.run_dir, m.collect()), m)
+    return loaded.select("ord", *KEY, "id", payload().alias("payload"))
+
+
 def q_manifest_select(spark, sf_dir):
     b = _backup(spark, sf_dir, with_indexes=False)
     m = read_manifest(spark, b.manifest_path)
@@ -282,6 +290,7 @@ QUERIES = {
     "index_ensure": q_index_ensure,
     "backup_manifest": q_backup_manifest,
     "backup_roundtrip": q_backup_roundtrip,
+    "backup_jsonl": q_backup_jsonl,
     "manifest_select": q_manifest_select,
     "frame_arrays": q_frame_arrays,
     "batch_sizes": q_batch_sizes,

@@ -1,16 +1,20 @@
 """K1 dump sink, K2 manifest sink, K3 run directory.
 
-Dumps are written in ONE distributed write for all types, partitioned by the ``file`` key:
-
-* ``jsonl`` (default): ``<run>/dumps/file=<key>/part-*.txt``, one document per line, text unchanged except
-  raw line breaks between JSON tokens, which become spaces.  No shuffle: every scan task writes its own
-  files for the types it holds, so one huge type is spread over all tasks.  Splittable on read.
+Dumps are written in ONE distributed write for all types, partitioned by the ``file`` key, in one of
+three formats:
+
+* ``parquet`` (default): ``<run>/dumps/file=<key>/part-*.parquet`` with ``(id, doc)``.  The document text
+  is a string column, exact to the byte; the id travels with it, so a restore never parses documents and
+  its totals read the ``id`` column only.  Splittable, compressed, row positions known (``row_index``).
+* ``jsonl``: ``<run>/jsonl/file=<key>/part-*.txt``, one document per line, text unchanged except raw line
+  breaks between JSON tokens, which become spaces.  Splittable on read.
 * ``array``: ``<run>/arrays/file=<key>/chunk=<n>/part-*.txt``, each file one JSON array (the reference's dump
   format).  A type is salted into ``ceil(n_docs / rows_per_file)`` chunks so no file (and no task) has to
   hold a whole large type.
 
-The manifest is written last, from the driver (one row per type), to a temporary name and renamed: its
-presence marks a complete backup.
+``parquet`` and ``jsonl`` need no shuffle: every scan task writes its own files for the types it holds, so
+one huge type is spread over all tasks.  The manifest is written last, from the driver (one row per type),
+to a temporary name and renamed: its presence marks a complete backup.
 """
 
 from __future__ import annotations
@@ -21,11 +25,9 @@ import time
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docvault.model import DUMPS_DIR, MANIFEST_NAME
+from docvault.model import ARRAYS_DIR, DUMPS_DIR, JSONL_DIR, MANIFEST_NAME
 from docvault.session import path_exists, write_text_file
 
-ARRAYS_DIR = "arrays"
-
 
 def new_run_dir(spark: SparkSession, out_root: str) -> str:
     """K3: ``<out>/backup-<epoch seconds>``; an existing directory is never reused or cleared."""
@@ -39,13 +41,23 @@ def new_run_dir(spark: SparkSession, out_root: str) -> str:
 
 def write_dumps(docs: DataFrame, run_dir: str, max_records_per_file: int = 1_000_000,
                 compression: str | None = None) -> None:
+    """K1 (parquet): ``docs`` has ``file``, ``id`` and ``doc``."""
+    w = (docs.select("file", "id", "doc").write.partitionBy("file").mode("errorifexists")
+         .option("maxRecordsPerFile", max_records_per_file))
+    if compression:
+        w = w.option("compression", compression)
+    w.parquet(f"{run_dir}/{DUMPS_DIR}")
+
+
+def write_jsonl_dumps(docs: DataFrame, run_dir: str, max_records_per_file: int = 1_000_000,
+                      compression: str | None = None) -> None:
     """K1 (JSONL): ``docs`` has ``file`` and ``doc``."""
     out = docs.select("file", F.regexp_replace("doc", "[\\r\\n]", " ").alias("value"))
     w = (out.write.partitionBy("file").mode("errorifexists")
          .option("maxRecordsPerFile", max_records_per_file))
     if compression:
         w = w.option("compression", compression)
-    w.text(f"{run_dir}/{DUMPS_DIR}")
+    w.text(f"{run_dir}/{JSONL_DIR}")
 
 
 def write_array_dumps(docs: DataFrame, run_dir: str, rows_per_file: int = 100_000,

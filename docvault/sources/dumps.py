@@ -1,11 +1,14 @@
 """S6 dump-file source and S7 JSON-array framing.
 
-Dumps are located through the manifest: own JSONL dumps under ``<run>/dumps/file=<key>/``, own array dumps
-under ``<run>/arrays/file=<key>/``, foreign array files directly as ``<run>/<file>``.  A manifest row whose
-dump is missing is an error naming the file, unless the manifest says it holds no documents.
-
-Every loaded document carries an order key ``seq = (path, block, pos)`` that follows file order, so the
-serial restore semantics (a later row or later document wins) can be evaluated in parallel.
+Dumps are located through the manifest: own parquet dumps under ``<run>/dumps/file=<key>/``, JSONL dumps
+under ``<run>/jsonl/file=<key>/``, array dumps under ``<run>/arrays/file=<key>/``, foreign array files
+directly as ``<run>/<file>``.  A manifest row whose dump is missing is an error naming the file, unless the
+manifest says it holds no documents.
+
+Every reader yields ``(file, path, blk, pos, id, bad, doc)``.  ``seq = (path, blk, pos)`` follows file order,
+so the serial restore semantics (a later row or later document wins) can be evaluated in parallel.  ``id``
+comes from the dump (parquet) or from parsing only the ``_id`` field of the text; ``bad`` marks text that
+is not JSON.
 """
 
 from __future__ import annotations
@@ -21,11 +24,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docvault.model import DUMPS_DIR, MAX_OBJECT_BYTES, RestoreError
+from docvault.model import ARRAYS_DIR, DUMPS_DIR, JSONL_DIR, MAX_OBJECT_BYTES, RestoreError
 from docvault.session import list_names, path_exists
-from docvault.sinks.dumps import ARRAYS_DIR
 
-LOADED_SCHEMA = "file string, path string, blk long, pos long, doc string"
+FRAMED_SCHEMA = "file string, path string, blk long, pos long, doc string"
+LOADED_SCHEMA = "file string, path string, blk long, pos long, id string, bad boolean, doc string"
+_PARSE = "struct<_id: variant, _corrupt_record: string>"
 
 # Tokens that matter for framing: whole strings (so braces inside them do not count), braces, and a lone
 # quote (an unterminated string).
@@ -96,6 +100,15 @@ def _frame_batches(batches: Iterator[pd.DataFrame], max_bytes: int, out_rows: in
                 yield pd.DataFrame(acc, columns=["file", "path", "blk", "pos", "doc"])
 
 
+def with_parsed_id(df: DataFrame) -> DataFrame:
+    """Adds ``id`` (JSON text of ``_id``; only that field is materialised) and ``bad`` (not JSON)."""
+    p = F.from_json("doc", _PARSE, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    return (df.withColumn("_p", p)
+            .select("file", "path", "blk", "pos",
+                    F.nullif(F.to_json(F.col("_p._id")), F.lit("null")).alias("id"),
+                    F.col("_p._corrupt_record").isNotNull().alias("bad"), "doc"))
+
+
 def frame_array_files(spark: SparkSession, paths: list[str], max_bytes: int = MAX_OBJECT_BYTES) -> DataFrame:
     """JSON-array dump files → ``(file, path, blk, pos, doc)``.
 
@@ -103,10 +116,19 @@ def frame_array_files(spark: SparkSession, paths: list[str], max_bytes: int = MA
     runs over Arrow batches of whole files.  Gzip files (``*.gz``) are not supported here.
     """
     if not paths:
-        return spark.createDataFrame([], LOADED_SCHEMA)
+        return spark.createDataFrame([], FRAMED_SCHEMA)
     raw = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
            .load(paths).select("path", "content"))
-    return raw.mapInPandas(lambda it: _frame_batches(it, max_bytes), LOADED_SCHEMA)
+    return raw.mapInPandas(lambda it: _frame_batches(it, max_bytes), FRAMED_SCHEMA)
+
+
+def read_parquet_dumps(spark: SparkSession, dumps_dir: str, keys: list[str]) -> DataFrame:
+    """Own parquet dumps of the given keys.  No parsing: ``id`` is stored; ``pos`` is the row index."""
+    if not keys:
+        return spark.createDataFrame([], LOADED_SCHEMA)
+    df = spark.read.schema("id string, doc string, file string").parquet(dumps_dir).where(F.col("file").isin(keys))
+    return df.select("file", F.col("_metadata.file_path").alias("path"), F.lit(0).cast("long").alias("blk"),
+                     F.col("_metadata.row_index").alias("pos"), "id", F.lit(False).alias("bad"), "doc")
 
 
 def read_jsonl_dumps(spark: SparkSession, dumps_dir: str, keys: list[str]) -> DataFrame:
@@ -118,19 +140,23 @@ def read_jsonl_dumps(spark: SparkSession, dumps_dir: str, keys: list[str]) -> Da
     if not keys:
         return spark.createDataFrame([], LOADED_SCHEMA)
     df = spark.read.schema("value string, file string").text(dumps_dir).where(F.col("file").isin(keys))
-    return df.select("file", F.col("_metadata.file_path").alias("path"),
-                     F.col("_metadata.file_block_start").alias("blk"),
-                     F.monotonically_increasing_id().alias("pos"), F.col("value").alias("doc"))
+    return with_parsed_id(df.select("file", F.col("_metadata.file_path").alias("path"),
+                                    F.col("_metadata.file_block_start").alias("blk"),
+                                    F.monotonically_increasing_id().alias("pos"), F.col("value").alias("doc")))
 
 
 def locate_dumps(spark: SparkSession, run_dir: str, manifest_rows: list) -> dict:
-    """Where each manifest file lives: ``{'jsonl': [...], 'array': [...], 'foreign': [...]}``; raises R21."""
-    jsonl = {n[5:] for n, d in list_names(spark, f"{run_dir}/{DUMPS_DIR}") if d and n.startswith("file=")}
-    arrays = {n[5:] for n, d in list_names(spark, f"{run_dir}/{ARRAYS_DIR}") if d and n.startswith("file=")}
-    found = {"jsonl": set(), "array": set(), "foreign": set()}
+    """Where each manifest file lives: ``{'parquet'|'jsonl'|'array'|'foreign': [...]}``; raises R21."""
+    def keys(sub):
+        return {n[5:] for n, d in list_names(spark, f"{run_dir}/{sub}") if d and n.startswith("file=")}
+
+    parquet, jsonl, arrays = keys(DUMPS_DIR), keys(JSONL_DIR), keys(ARRAYS_DIR)
+    found = {"parquet": set(), "jsonl": set(), "array": set(), "foreign": set()}
     for r in manifest_rows:
         f = r["file"]
-        if f in jsonl:
+        if f in parquet:
+            found["parquet"].add(f)
+        elif f in jsonl:
             found["jsonl"].add(f)
         elif f in arrays:
             found["array"].add(f)
@@ -144,13 +170,20 @@ def locate_dumps(spark: SparkSession, run_dir: str, manifest_rows: list) -> dict
 
 
 def read_dumps(spark: SparkSession, run_dir: str, manifest_rows: list) -> DataFrame:
-    """Every dump named by the manifest, each file once → ``(file, path, blk, pos, doc)``."""
+    """Every dump named by the manifest, each file once → ``(file, path, blk, pos, id, bad, doc)``."""
     where = locate_dumps(spark, run_dir, manifest_rows)
-    out = read_jsonl_dumps(spark, f"{run_dir}/{DUMPS_DIR}", where["jsonl"])
+    parts = []
+    if where["parquet"] or not (where["jsonl"] or where["array"] or where["foreign"]):
+        parts.append(read_parquet_dumps(spark, f"{run_dir}/{DUMPS_DIR}", where["parquet"]))
+    if where["jsonl"]:
+        parts.append(read_jsonl_dumps(spark, f"{run_dir}/{JSONL_DIR}", where["jsonl"]))
     array_paths = [f"{run_dir}/{ARRAYS_DIR}/file={k}" for k in where["array"]]
     array_paths += [f"{run_dir}/{k}" for k in where["foreign"]]
     if array_paths:
-        out = out.unionByName(frame_array_files(spark, array_paths))
+        parts.append(with_parsed_id(frame_array_files(spark, array_paths)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out
 
 

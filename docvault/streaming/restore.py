@@ -1,6 +1,6 @@
 """C4 streaming restore: the dump directory as a file stream, each micro-batch upserted into the target.
 
-``readStream`` over ``<run>/dumps`` (``file`` comes from the partition directory), ``maxFilesPerTrigger``
+``readStream`` over the run's parquet (or JSONL) dumps (``file`` comes from the partition directory), ``maxFilesPerTrigger``
 bounds a micro-batch, ``trigger(availableNow=True)`` drains what is there and stops.  A micro-batch reads
 and rewrites only the target partitions of the types it carries (dynamic partition overwrite).
 
@@ -19,11 +19,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docvault.model import DUMPS_DIR, MANIFEST_NAME
+from docvault.model import DUMPS_DIR, JSONL_DIR, MANIFEST_NAME
 from docvault.operators.restore import load_documents, merge_types, restore_totals, touched_types
 from docvault.session import path_exists, small_frame, write_text_file
 from docvault.sinks.target import read_target, write_types
 from docvault.sources.config import read_manifest
+from docvault.sources.dumps import with_parsed_id
 
 KEY = ["client", "tenant", "type"]
 SUMS = ("total", "inserted", "replaced", "rejected")
@@ -38,18 +39,29 @@ def stream_restore(spark: SparkSession, run_dir: str, target_root: str, checkpoi
     keys = sorted({r["file"] for r in rows})
     totals_root = f"{checkpoint.rstrip('/')}-totals"
 
-    src = (spark.readStream.schema("value string, file string")
-           .option("maxFilesPerTrigger", max_files_per_trigger)
-           .text(f"{run_dir}/{DUMPS_DIR}")
-           .where(F.col("file").isin(keys))
-           .select("file", F.col("_metadata.file_path").alias("path"),
-                   F.col("_metadata.file_block_start").alias("blk"), F.col("value").alias("doc")))
+    jsonl = path_exists(spark, f"{run_dir}/{JSONL_DIR}") and not path_exists(spark, f"{run_dir}/{DUMPS_DIR}")
+    if jsonl:
+        src = (spark.readStream.schema("value string, file string")
+               .option("maxFilesPerTrigger", max_files_per_trigger).text(f"{run_dir}/{JSONL_DIR}")
+               .where(F.col("file").isin(keys))
+               .select("file", F.col("_metadata.file_path").alias("path"),
+                       F.col("_metadata.file_block_start").alias("blk"), F.col("value").alias("doc")))
+    else:
+        src = (spark.readStream.schema("id string, doc string, file string")
+               .option("maxFilesPerTrigger", max_files_per_trigger).parquet(f"{run_dir}/{DUMPS_DIR}")
+               .where(F.col("file").isin(keys))
+               .select("file", F.col("_metadata.file_path").alias("path"), F.lit(0).cast("long").alias("blk"),
+                       F.col("_metadata.row_index").alias("pos"), "id", F.lit(False).alias("bad"), "doc"))
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         out = f"{totals_root}/batch={batch_id}"
         if path_exists(spark, f"{out}/_DONE"):
             return
-        dumps = batch.select("file", "path", "blk", F.monotonically_increasing_id().alias("pos"), "doc")
+        if jsonl:
+            dumps = with_parsed_id(batch.select("file", "path", "blk",
+                                                F.monotonically_increasing_id().alias("pos"), "doc"))
+        else:
+            dumps = batch
         files = [r["file"] for r in dumps.select("file").distinct().collect()]
         part, _ = small_frame(spark, manifest_local.where(F.col("file").isin(files)), "batch manifest")
         loaded = load_documents(dumps, part)
