@@ -37,22 +37,30 @@ def load_documents(dumps: DataFrame, manifest: DataFrame) -> DataFrame:
         "bad", "doc")
 
 
-def touched_types(manifest: DataFrame) -> DataFrame:
-    """Distinct types of a manifest with their target partition key ``tkey``.
+# Documents per merge task (and per written file) of one type; a type is salted into
+# ceil(n_docs / ROWS_PER_TASK) buckets so a huge type is spread over many tasks.
+ROWS_PER_TASK = 2_000_000
 
-    A local (driver-side, size-checked) manifest stays local, so the list is broadcast without a shuffle.
+
+def touched_types(manifest: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Distinct types of a manifest with their target partition key ``tkey`` and ``salts`` (buckets).
+
+    ``salts`` comes from the manifest's document counts (1 when a foreign manifest has none).  A local
+    (driver-side, size-checked) manifest stays local, so the list is broadcast without a shuffle.
     """
-    t = manifest.select(*KEY, type_key().alias("tkey"))
+    n = F.coalesce(F.col("n_docs"), F.lit(0)) if "n_docs" in manifest.columns else F.lit(0)
+    t = (manifest.select(*KEY, n.alias("_n")).groupBy(*KEY).agg(F.sum("_n").alias("_n"))
+         .select(*KEY, type_key().alias("tkey"),
+                 F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(rows_per_task))).cast("int").alias("salts")))
     if manifest.isLocal():
-        rows = sorted({tuple(r) for r in t.collect()})
-        return manifest.sparkSession.createDataFrame(rows, t.schema)
-    return t.distinct()
+        return manifest.sparkSession.createDataFrame(t.collect(), t.schema)
+    return t
 
 
 def touched_part(target: DataFrame, touched: DataFrame) -> DataFrame:
     """The target rows of the touched types.  With a local ``touched`` and a ``tkey`` column the filter is a
     static partition filter: untouched types are not even listed."""
-    if touched.isLocal() and "tkey" in target.columns:
+    if touched.isLocal() and "tkey" in target.columns and "tkey" in touched.columns:
         keys = sorted({r["tkey"] for r in touched.select("tkey").collect()})
         target = target.where(F.col("tkey").isin(keys))
     return target.join(F.broadcast(touched.select(*KEY)), KEY, "left_semi")
@@ -67,18 +75,26 @@ def merge_types(target: DataFrame, loaded: DataFrame, touched: DataFrame) -> Dat
     """The new content of the touched types (the only part of the target a restore rewrites).
 
     Per (type, id) the document with the greatest ``seq`` wins; documents already in the target order
-    before everything restored.  ``max_by`` over a text value is a sort-based aggregation: it spills
-    instead of failing when a partition is large, and its partial (map-side) step collapses repeats.
+    before everything restored.  One shuffle, on ``(tkey, salt)`` with ``salt = hash(id) % salts``: the
+    grouping keys include both (``salt`` is a function of ``id``, so groups are unchanged), hence the
+    aggregation needs no second exchange, every task holds few types (few output files per type) and a huge
+    type is split over ``salts`` tasks.  ``max_by`` over text is sort-based: it spills instead of failing.
+    Output: ``(client, tenant, type, id, doc, tkey)``.
     """
-    current = touched_part(target, touched).select(*KEY, "id", "doc", _target_seq().alias("seq"))
-    return (current.unionByName(loaded.select(*KEY, "id", "doc", "seq"))
-            .groupBy(*KEY, "id").agg(F.max_by("doc", "seq").alias("doc")))
+    t = F.broadcast(touched.select(*KEY, "tkey", "salts"))
+    current = (touched_part(target, touched).select(*KEY, "id", "doc").join(t, KEY)
+               .withColumn("seq", _target_seq()))
+    new = loaded.select(*KEY, "id", "doc", "seq").join(t, KEY)
+    u = current.unionByName(new).withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")))
+    return (u.repartition("tkey", "salt")
+            .groupBy("tkey", "salt", *KEY, "id").agg(F.max_by("doc", "seq").alias("doc"))
+            .select(*KEY, "id", "doc", "tkey"))
 
 
 def upsert(target: DataFrame, loaded: DataFrame, touched: DataFrame) -> DataFrame:
     """The whole new target as one frame: untouched types as they are, touched types merged."""
     untouched = target.join(F.broadcast(touched.select(*KEY)), KEY, "left_anti").select(*KEY, "id", "doc")
-    return untouched.unionByName(merge_types(target, loaded, touched))
+    return untouched.unionByName(merge_types(target, loaded, touched).select(*KEY, "id", "doc"))
 
 
 def restore_totals(manifest: DataFrame, loaded: DataFrame, target: DataFrame, touched: DataFrame) -> DataFrame:

@@ -34,6 +34,8 @@ def read_target(spark: SparkSession, target_root: str) -> DataFrame:
 
 
 def with_tkey(df: DataFrame) -> DataFrame:
+    if "tkey" in df.columns:
+        return df.select(*KEY, "id", "doc", "tkey")
     return df.select(*KEY, "id", "doc", type_key().alias("tkey"))
 
 
