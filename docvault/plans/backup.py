@@ -51,10 +51,19 @@ def plan_backup(spark: SparkSession, store: DataFrame, request: DataFrame,
 def run_backup(spark: SparkSession, store: DataFrame, request: DataFrame, out_root: str,
                indexes: DataFrame | None = None, skip_indexes: bool = False, fmt: str = "parquet",
                max_records_per_file: int = 1_000_000, compression: str | None = None,
-               catalog: DataFrame | None = None) -> BackupResult:
-    """C1.  A failing scan or write raises and leaves no manifest (dumps already written stay)."""
+               catalog: DataFrame | None = None, cluster: bool = False) -> BackupResult:
+    """C1.  A failing scan or write raises and leaves no manifest (dumps already written stay).
+
+    ``cluster``: for a store whose files mix many types, shuffle the documents on (dump, salt) first, so
+    each dump gets ``ceil(n_docs / max_records_per_file)`` files instead of one small file per scan task
+    and type.  A store laid out by type (the usual case) needs no shuffle and is written map-only.
+    """
     run_dir = new_run_dir(spark, out_root)
     manifest, docs = plan_backup(spark, store, request, indexes, skip_indexes, catalog)
+    if cluster and fmt != "array":
+        salts = F.greatest(F.lit(1), F.ceil(F.col("n_docs") / F.lit(max_records_per_file)))
+        docs = (docs.withColumn("_salt", F.pmod(F.xxhash64("id"), salts))
+                .repartition("file", "_salt").drop("_salt"))
     if fmt == "parquet":
         write_dumps(docs, run_dir, max_records_per_file, compression)
     elif fmt == "jsonl":
