@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from docvault.model import DOCUMENTS_PER_REQUEST
 from docvault.operators.types import type_key
+from docvault.session import small_frame
 
 KEY = ["client", "tenant", "type"]
 
@@ -45,24 +46,23 @@ ROWS_PER_TASK = 2_000_000
 def touched_types(manifest: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Distinct types of a manifest with their target partition key ``tkey`` and ``salts`` (buckets).
 
-    ``salts`` comes from the manifest's document counts (1 when a foreign manifest has none).  A local
-    (driver-side, size-checked) manifest stays local, so the list is broadcast without a shuffle.
+    ``salts`` comes from the manifest's document counts (1 when a foreign manifest has none).  The list is
+    one row per type: it is materialised on the driver with a size check, so it is broadcast without a
+    shuffle and its keys become static partition filters on the target.
     """
     n = F.coalesce(F.col("n_docs"), F.lit(0)) if "n_docs" in manifest.columns else F.lit(0)
     t = (manifest.select(*KEY, n.alias("_n")).groupBy(*KEY).agg(F.sum("_n").alias("_n"))
          .select(*KEY, type_key().alias("tkey"),
                  F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(rows_per_task))).cast("int").alias("salts")))
-    if manifest.isLocal():
-        return manifest.sparkSession.createDataFrame(t.collect(), t.schema)
-    return t
+    return small_frame(manifest.sparkSession, t, "touched types")[0]
 
 
 def touched_part(target: DataFrame, touched: DataFrame) -> DataFrame:
-    """The target rows of the touched types.  With a local ``touched`` and a ``tkey`` column the filter is a
-    static partition filter: untouched types are not even listed."""
-    if touched.isLocal() and "tkey" in target.columns and "tkey" in touched.columns:
-        keys = sorted({r["tkey"] for r in touched.select("tkey").collect()})
-        target = target.where(F.col("tkey").isin(keys))
+    """The target rows of the touched types.  ``touched`` (from :func:`touched_types`) is one row per type;
+    its keys become a static partition filter, so untouched types of the target are not even listed."""
+    if "tkey" in target.columns and "tkey" in touched.columns:
+        _, rows = small_frame(touched.sparkSession, touched.select("tkey").distinct(), "touched types")
+        target = target.where(F.col("tkey").isin(sorted(r["tkey"] for r in rows)))
     return target.join(F.broadcast(touched.select(*KEY)), KEY, "left_semi")
 
 
