@@ -51,7 +51,8 @@ def plan_backup(spark: SparkSession, store: DataFrame, request: DataFrame,
 def run_backup(spark: SparkSession, store: DataFrame, request: DataFrame, out_root: str,
                indexes: DataFrame | None = None, skip_indexes: bool = False, fmt: str = "parquet",
                max_records_per_file: int = 1_000_000, compression: str | None = None,
-               catalog: DataFrame | None = None, cluster: bool = False) -> BackupResult:
+               catalog: DataFrame | None = None, cluster: bool = False,
+               array_bytes: int = 256 * 1024 * 1024) -> BackupResult:
     """C1.  A failing scan or write raises and leaves no manifest (dumps already written stay).
 
     ``cluster``: for a store whose files mix many types, shuffle the documents on (dump, salt) first, so
@@ -69,7 +70,7 @@ def run_backup(spark: SparkSession, store: DataFrame, request: DataFrame, out_ro
     elif fmt == "jsonl":
         write_jsonl_dumps(docs, run_dir, max_records_per_file, compression)
     elif fmt == "array":
-        write_array_dumps(docs, run_dir, max_records_per_file, compression)
+        write_array_dumps(docs, run_dir, array_bytes, compression)
     else:
         raise ValueError(f"unknown dump format {fmt!r}")
     rows = manifest_rows(manifest)

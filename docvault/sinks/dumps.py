@@ -9,7 +9,7 @@ three formats:
 * ``jsonl``: ``<run>/jsonl/file=<key>/part-*.txt``, one document per line, text unchanged except raw line
   breaks between JSON tokens, which become spaces.  Splittable on read.
 * ``array``: ``<run>/arrays/file=<key>/chunk=<n>/part-*.txt``, each file one JSON array (the reference's dump
-  format).  A type is salted into ``ceil(n_docs / rows_per_file)`` chunks so no file (and no task) has to
+  format).  A type is salted into ``ceil(bytes / target_bytes)`` chunks so no file (and no task) has to
   hold a whole large type.
 
 ``parquet`` and ``jsonl`` need no shuffle: every scan task writes its own files for the types it holds, so
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docvault.model import ARRAYS_DIR, DUMPS_DIR, JSONL_DIR, MANIFEST_NAME
-from docvault.session import path_exists, write_text_file
+from docvault.session import path_exists, small_frame, write_text_file
 
 
 def new_run_dir(spark: SparkSession, out_root: str) -> str:
@@ -60,11 +60,20 @@ def write_jsonl_dumps(docs: DataFrame, run_dir: str, max_records_per_file: int =
     w.text(f"{run_dir}/{JSONL_DIR}")
 
 
-def write_array_dumps(docs: DataFrame, run_dir: str, rows_per_file: int = 100_000,
+def write_array_dumps(docs: DataFrame, run_dir: str, target_bytes: int = 256 * 1024 * 1024,
                       compression: str | None = None) -> None:
-    """K1 (JSON arrays): ``docs`` has ``file``, ``id``, ``doc`` and ``n_docs`` of its type."""
-    chunks = F.greatest(F.lit(1), F.ceil(F.col("n_docs") / F.lit(rows_per_file)))
-    salted = docs.withColumn("chunk", F.pmod(F.xxhash64("id", "doc"), chunks).cast("int"))
+    """K1 (JSON arrays): ``docs`` has ``file``, ``id`` and ``doc``.
+
+    Array files cannot be split on read and each must fit one task's memory there, so every dump is salted
+    into ``ceil(bytes / target_bytes)`` chunk files (sizes from one aggregate over the dump, one row per
+    dump).  Each chunk is written by one task; the window that places brackets and commas spans one chunk.
+    """
+    spark = docs.sparkSession
+    sizes = docs.groupBy("file").agg(F.sum(F.length("doc")).alias("_bytes"))
+    sizes_local, _ = small_frame(spark, sizes, "dump sizes")
+    chunks = F.greatest(F.lit(1), F.ceil(F.col("_bytes") / F.lit(target_bytes))).cast("long")
+    salted = (docs.join(F.broadcast(sizes_local), "file")
+              .withColumn("chunk", F.pmod(F.xxhash64("id", "doc"), chunks).cast("int")))
     w = Window.partitionBy("file", "chunk").orderBy("id", "doc")
     w_all = Window.partitionBy("file", "chunk")
     lines = (salted
