@@ -64,10 +64,10 @@ idx AS (
     UNION ALL SELECT client, tenant, type, 1, '{"n_chars":1}', NULL FROM catalog WHERE client = 'corpus'
     UNION ALL SELECT client, tenant, type, 2, '{"text":"text","lang":"text"}',
         '{"name":"text_idx","weights":{"$all":1},"default_language":"' || tenant || '"}'
-        FROM catalog WHERE client = 'corpus' AND CAST(substr(type, 4, 10) AS INTEGER) % 2 = 0
+        FROM catalog WHERE client = 'corpus' AND TRY_CAST(substr(type, 4, 10) AS INTEGER) % 2 = 0
     UNION ALL SELECT client, tenant, type, 2, '{"text":"text","lang":"text"}',
         '{"name":"text_idx","weights":{"text":10,"lang":5}}'
-        FROM catalog WHERE client = 'corpus' AND CAST(substr(type, 4, 10) AS INTEGER) % 2 = 1
+        FROM catalog WHERE client = 'corpus' AND TRY_CAST(substr(type, 4, 10) AS INTEGER) % 2 = 1
     UNION ALL SELECT client, tenant, type, 3, '{}', '{"name":"empty"}'
         FROM catalog WHERE client = 'analytics' AND type = 'error'
     UNION ALL SELECT client, tenant, type, 3, '{"_id":1,"user_id":1}', '{"name":"id_user","sparse":null}'

@@ -71,7 +71,7 @@ def index_catalog(catalog: DataFrame) -> DataFrame:
     c = catalog.select("client", "tenant", "type")
     is_events = F.col("client") == "analytics"
     is_corpus = F.col("client") == "corpus"
-    even_src = (F.substring("type", 4, 10).cast("int") % 2) == 0
+    even_src = F.coalesce(F.expr("try_cast(substring(type, 4, 10) AS INT)") % 2 == 0, F.lit(False))
 
     def rows(pos, cond, keys, options):
         return c.where(cond).select("client", "tenant", "type", F.lit(pos).cast("int").alias("pos"),
