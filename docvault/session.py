@@ -120,5 +120,29 @@ def small_frame(spark: SparkSession, df: DataFrame, what: str,
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
         raise ValueError(f"{what}: more than {max_rows} rows; refusing to broadcast or collect it")
-    return spark.createDataFrame(rows, df.schema), rows
+    return local_frame(spark, rows, df.schema), rows
+
+
+def local_frame(spark: SparkSession, rows: list, schema) -> DataFrame:
+    """A frame of driver-side rows, shipped as Arrow batches (decoded in the JVM: scanning it needs no
+    Python worker); falls back to the plain row path for types Arrow cannot carry."""
+    try:
+        import pandas as pd
+
+        cols = {f.name: pd.Series([r[i] if not hasattr(r[i], "asDict") else r[i].asDict(recursive=True)
+                                   for r in rows], dtype=object)
+                for i, f in enumerate(schema.fields)}
+        cols = {k: v.map(_plain) for k, v in cols.items()}
+        return spark.createDataFrame(pd.DataFrame(cols, columns=[f.name for f in schema.fields]), schema)
+    except Exception:  # noqa: BLE001 - any conversion problem: use the generic path
+        return spark.createDataFrame(rows, schema)
+
+
+def _plain(v):
+    """Rows inside arrays become dicts for the Arrow conversion."""
+    if isinstance(v, list):
+        return [_plain(x) for x in v]
+    if hasattr(v, "asDict"):
+        return v.asDict(recursive=True)
+    return v
 
