@@ -143,10 +143,10 @@ def q_index_weights(spark, sf_dir):
                      prepare_options("options").alias("options"))
 
 
-def existing_target_indexes(spark, sf_dir) -> DataFrame:
+def existing_target_indexes(spark, catalog: DataFrame) -> DataFrame:
     """Index table of the restore target: ``tenant_0`` already has ``user_ts``; ``tenant_1`` has another
     index under that name (an existing name counts as success and is left unchanged)."""
-    c = type_catalog(_store(spark, sf_dir)).where(F.col("client") == "analytics")
+    c = catalog.where(F.col("client") == "analytics")
     a = c.where(F.col("tenant") == "tenant_0").select(*KEY, F.lit(0).alias("pos"),
                                                       F.lit('{"user_id":1,"ts":-1}').alias("keys"),
                                                       F.lit('{"name":"user_ts"}').alias("options"))
@@ -158,7 +158,7 @@ def existing_target_indexes(spark, sf_dir) -> DataFrame:
 def q_index_ensure(spark, sf_dir):
     store, cat, ix = _env(spark, sf_dir)
     manifest, _ = plan_backup(spark, store, standard_request(spark), ix, catalog=cat)
-    existing = existing_target_indexes(spark, sf_dir)
+    existing = existing_target_indexes(spark, cat)
     created, new_table = ensure_indexes(manifest, existing)
     from docvault.functions.json import index_name
     made = created.select(*KEY, "name").withColumn("created", F.lit(True))
@@ -269,7 +269,7 @@ def q_verify_documents(spark, sf_dir):
 def q_verify_indexes(spark, sf_dir):
     store, cat, ix = _env(spark, sf_dir)
     manifest, _ = plan_backup(spark, store, standard_request(spark), ix, catalog=cat)
-    return verify_indexes(manifest, existing_target_indexes(spark, sf_dir))
+    return verify_indexes(manifest, existing_target_indexes(spark, cat))
 
 
 def q_drop_type(spark, sf_dir):
