@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docvault.functions.json import drop_null_fields, index_name, is_id_index, prepare_options
@@ -57,7 +57,6 @@ def ensure_indexes(manifest: DataFrame, target_indexes: DataFrame) -> tuple[Data
     created = first.join(existing, KEY + ["name"], "left_anti")
     base = target_indexes.select(*KEY, "pos", "keys", "options")
     start = base.groupBy(*KEY).agg(F.max("pos").alias("_p"))
-    from pyspark.sql import Window
     w = Window.partitionBy(*KEY).orderBy("name")
     new_rows = (created.join(start, KEY, "left")
                 .select(*KEY, (F.coalesce("_p", F.lit(-1)) + F.row_number().over(w)).cast("int").alias("pos"),

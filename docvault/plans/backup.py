@@ -7,6 +7,7 @@ map-side and written straight out, partitioned by their dump key, with no shuffl
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from docvault.sinks.dumps import new_run_dir, write_array_dumps, write_dumps, wr
 from docvault.sources.store import type_catalog
 
 KEY = ["client", "tenant", "type"]
+log = logging.getLogger("docvault.backup")
 
 
 @dataclass
@@ -74,5 +76,8 @@ def run_backup(spark: SparkSession, store: DataFrame, request: DataFrame, out_ro
     else:
         raise ValueError(f"unknown dump format {fmt!r}")
     rows = manifest_rows(manifest)
+    for r in rows:
+        log.info("Documents for tenant '%s' and type '%s' written (%s).", r["tenant"], r["type"], r["n_docs"])
     path = write_manifest(spark, run_dir, rows)
+    log.info("Backup of %d types written to %s.", len(rows), run_dir)
     return BackupResult(run_dir, rows, path)

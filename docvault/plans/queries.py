@@ -13,10 +13,10 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docvault.model import INDEX_SCHEMA, MANIFEST_NAME, STORE_SCHEMA
+from docvault.model import INDEX_SCHEMA
 from docvault.operators.indexes import ensure_indexes, usable_indexes
 from docvault.operators.manifest import select_manifest
-from docvault.operators.restore import batch_plan, load_documents, restore_totals, touched_types
+from docvault.operators.restore import batch_plan, load_documents, touched_types
 from docvault.operators.verify import verify_documents, verify_indexes
 from docvault.plans.backup import plan_backup, run_backup
 from docvault.plans.migrate import migrate

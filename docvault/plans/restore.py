@@ -7,6 +7,7 @@ target in one write; types the manifest does not name are neither read nor writt
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,11 +17,12 @@ from docvault.operators.indexes import ensure_indexes
 from docvault.operators.restore import load_documents, merge_types, restore_totals, touched_types
 from docvault.session import small_frame
 from docvault.sinks.snapshot import publish, read_snapshot
-from docvault.sinks.target import docs_root, read_target, write_types  # noqa: F401  (docs_root re-exported)
+from docvault.sinks.target import read_target, write_types
 from docvault.sources.config import read_manifest
 from docvault.sources.dumps import read_dumps
 
 KEY = ["client", "tenant", "type"]
+log = logging.getLogger("docvault.restore")
 
 
 @dataclass
@@ -65,4 +67,7 @@ def run_restore(spark: SparkSession, run_dir: str, target_root: str, skip_indexe
         raise RestoreError(f"{sum(r['rejected'] for r in bad)} documents are not JSON "
                            f"(first: tenant '{bad[0]['tenant']}' type '{bad[0]['type']}')")
     write_types(merged, target_root)
+    for r in sorted(trows, key=lambda x: x["ord"]):
+        log.info("Restored tenant '%s' type '%s'. Total %d documents, (%d inserted, %d replaced).",
+                 r["tenant"], r["type"], r["total"], r["inserted"], r["replaced"])
     return RestoreResult(totals_local.orderBy("ord"), created)

@@ -10,7 +10,6 @@ was.  Re-running a restore is idempotent (restored documents win over what is th
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docvault.model import STORE_SCHEMA

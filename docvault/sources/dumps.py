@@ -22,7 +22,6 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from docvault.model import ARRAYS_DIR, DUMPS_DIR, JSONL_DIR, MAX_OBJECT_BYTES, RestoreError
 from docvault.session import list_names, path_exists
