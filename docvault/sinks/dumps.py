@@ -25,6 +25,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from docvault.functions.json import strip_nulls
 from docvault.model import ARRAYS_DIR, DUMPS_DIR, JSONL_DIR, MANIFEST_NAME
 from docvault.session import path_exists, small_frame, write_text_file
 
@@ -89,9 +90,12 @@ def write_array_dumps(docs: DataFrame, run_dir: str, target_bytes: int = 256 * 1
     wr.text(f"{run_dir}/{ARRAYS_DIR}")
 
 
-def _raw(v: str) -> str:
-    json.loads(v)  # must be JSON to be embedded verbatim
-    return v
+def _raw(v: str | None) -> str | None:
+    """Index JSON as printed in the manifest: verbatim, except null-valued members are dropped."""
+    if v is None:
+        return None
+    json.loads(v)  # must be JSON to be embedded
+    return strip_nulls(v)
 
 
 def manifest_text(rows: list[dict]) -> str:
@@ -108,10 +112,10 @@ def manifest_text(rows: list[dict]) -> str:
             ix = []
             for d in r["indexes"]:
                 parts = []
-                if d.get("keys") is not None:
-                    parts.append(f'                "keys": {_raw(d["keys"])}')
-                if d.get("options") is not None:
-                    parts.append(f'                "options": {_raw(d["options"])}')
+                for k in ("keys", "options"):
+                    v = _raw(d.get(k))
+                    if v is not None:
+                        parts.append(f'                "{k}": {v}')
                 ix.append("            {\n" + ",\n".join(parts) + "\n            }")
             fields.append('        "indexes": [\n' + ",\n".join(ix) + "\n        ]")
         items.append("    {\n" + ",\n".join(fields) + "\n    }")
