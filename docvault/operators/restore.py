@@ -84,7 +84,7 @@ def merge_types(target: DataFrame, loaded: DataFrame, touched: DataFrame) -> Dat
     t = F.broadcast(touched.select(*KEY, "tkey", "salts"))
     current = (touched_part(target, touched).select(*KEY, "id", "doc").join(t, KEY)
                .withColumn("seq", _target_seq()))
-    new = loaded.select(*KEY, "id", "doc", "seq").join(t, KEY)
+    new = loaded.where(~F.col("bad")).select(*KEY, "id", "doc", "seq").join(t, KEY)
     u = current.unionByName(new).withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")))
     return (u.repartition("tkey", "salt")
             .groupBy("tkey", "salt", *KEY, "id").agg(F.max_by("doc", "seq").alias("doc"))
@@ -98,10 +98,11 @@ def upsert(target: DataFrame, loaded: DataFrame, touched: DataFrame) -> DataFram
 
 
 def restore_totals(manifest: DataFrame, loaded: DataFrame, target: DataFrame, touched: DataFrame) -> DataFrame:
-    """A1/A3: per manifest row ``total``, ``inserted``, ``replaced`` (and ``rejected``), zeros for empty dumps.
+    """A1/A3: per manifest row ``total``, ``inserted``, ``replaced`` and ``rejected``; zeros for empty dumps.
 
-    ``inserted`` = first occurrence in the whole restore and absent from the target before it.  Only ids
-    (no document text) are shuffled for this.
+    ``inserted`` = first occurrence in the whole restore and absent from the target before it; text that is
+    not JSON is ``rejected`` (never written); ``replaced`` is the rest.  Only ids (no document text) are
+    shuffled for this.
     """
     per_row = loaded.groupBy("ord").agg(F.count(F.lit(1)).alias("_total"),
                                         F.count_if("bad").alias("_rejected"))
@@ -109,7 +110,8 @@ def restore_totals(manifest: DataFrame, loaded: DataFrame, target: DataFrame, to
     # min/max keeps this a hash aggregation
     existing = (touched_part(target, touched)
                 .select(*KEY, "id", F.lit(None).cast("int").alias("_ord"), F.lit(1).alias("_in")))
-    ids = loaded.select(*KEY, "id", F.col("ord").alias("_ord"), F.lit(0).alias("_in")).unionByName(existing)
+    ids = (loaded.where(~F.col("bad")).select(*KEY, "id", F.col("ord").alias("_ord"), F.lit(0).alias("_in"))
+           .unionByName(existing))
     first = ids.groupBy(*KEY, "id").agg(F.min("_ord").alias("_first"), F.max("_in").alias("_in"))
     ins = (first.where((F.col("_in") == 0) & F.col("_first").isNotNull())
            .groupBy(F.col("_first").alias("ord")).agg(F.count(F.lit(1)).alias("_ins")))
@@ -117,9 +119,9 @@ def restore_totals(manifest: DataFrame, loaded: DataFrame, target: DataFrame, to
            .join(F.broadcast(ins), "ord", "left"))
     total = F.coalesce("_total", F.lit(0)).cast("long")
     inserted = F.coalesce("_ins", F.lit(0)).cast("long")
+    rejected = F.coalesce("_rejected", F.lit(0)).cast("long")
     return out.select("ord", *KEY, total.alias("total"), inserted.alias("inserted"),
-                      (total - inserted).alias("replaced"),
-                      F.coalesce("_rejected", F.lit(0)).cast("long").alias("rejected"))
+                      (total - inserted - rejected).alias("replaced"), rejected.alias("rejected"))
 
 
 def batch_plan(counts: DataFrame, size: int = DOCUMENTS_PER_REQUEST, n_col: str = "total") -> DataFrame:

@@ -60,12 +60,17 @@ def run_restore(spark: SparkSession, run_dir: str, target_root: str, skip_indexe
         if created:
             publish(spark, indexes_root(target_root), new_ix.coalesce(1))
     target = read_target(spark, target_root)
-    _, merged, totals = restore_frames(spark, run_dir, manifest_local, target)
+    loaded, merged, totals = restore_frames(spark, run_dir, manifest_local, target)
     totals_local, trows = small_frame(spark, totals, "restore totals")
     bad = [r for r in trows if r["rejected"]]
-    if strict and bad:
-        raise RestoreError(f"{sum(r['rejected'] for r in bad)} documents are not JSON "
-                           f"(first: tenant '{bad[0]['tenant']}' type '{bad[0]['type']}')")
+    if bad:
+        msg = (f"{sum(r['rejected'] for r in bad)} documents are not JSON "
+               f"(first: tenant '{bad[0]['tenant']}' type '{bad[0]['type']}')")
+        if strict:
+            raise RestoreError(msg)
+        rej = f"{target_root.rstrip('/')}/rejects/{run_dir.rstrip('/').rsplit('/', 1)[-1]}"
+        loaded.where("bad").select("ord", *KEY, "file", "doc").write.mode("overwrite").parquet(rej)
+        log.warning("%s; written to %s", msg, rej)
     write_types(merged, target_root)
     for r in sorted(trows, key=lambda x: x["ord"]):
         log.info("Restored tenant '%s' type '%s'. Total %d documents, (%d inserted, %d replaced).",
