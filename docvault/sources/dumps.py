@@ -118,7 +118,12 @@ def frame_array_files(spark: SparkSession, paths: list[str], max_bytes: int = MA
         return spark.createDataFrame([], FRAMED_SCHEMA)
     raw = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
            .load(paths).select("path", "content"))
-    return raw.mapInPandas(lambda it: _frame_batches(it, max_bytes), FRAMED_SCHEMA)
+    return frame_binary(raw, max_bytes)
+
+
+def frame_binary(raw: DataFrame, max_bytes: int = MAX_OBJECT_BYTES) -> DataFrame:
+    """S7 over a frame of whole files ``(path, content)`` (a batch or a micro-batch of ``binaryFile``)."""
+    return raw.select("path", "content").mapInPandas(lambda it: _frame_batches(it, max_bytes), FRAMED_SCHEMA)
 
 
 def read_parquet_dumps(spark: SparkSession, dumps_dir: str, keys: list[str]) -> DataFrame:

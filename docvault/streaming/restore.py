@@ -1,6 +1,7 @@
 """C4 streaming restore: the dump directory as a file stream, each micro-batch upserted into the target.
 
-``readStream`` over the run's parquet (or JSONL) dumps (``file`` comes from the partition directory), ``maxFilesPerTrigger``
+``readStream`` over the run's dumps — parquet, JSONL, or whole array files through ``binaryFile`` (``file``
+comes from the partition directory), ``maxFilesPerTrigger``
 bounds a micro-batch, ``trigger(availableNow=True)`` drains what is there and stops.  A micro-batch reads
 and rewrites only the target partitions of the types it carries (dynamic partition overwrite).
 
@@ -19,12 +20,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docvault.model import DUMPS_DIR, JSONL_DIR, MANIFEST_NAME
+from docvault.model import ARRAYS_DIR, DUMPS_DIR, JSONL_DIR, MANIFEST_NAME
 from docvault.operators.restore import load_documents, merge_types, restore_totals, touched_types
 from docvault.session import path_exists, small_frame, write_text_file
 from docvault.sinks.target import read_target, write_types
 from docvault.sources.config import read_manifest
-from docvault.sources.dumps import with_parsed_id
+from docvault.sources.dumps import frame_binary, with_parsed_id
 
 KEY = ["client", "tenant", "type"]
 SUMS = ("total", "inserted", "replaced", "rejected")
@@ -39,8 +40,16 @@ def stream_restore(spark: SparkSession, run_dir: str, target_root: str, checkpoi
     keys = sorted({r["file"] for r in rows})
     totals_root = f"{checkpoint.rstrip('/')}-totals"
 
-    jsonl = path_exists(spark, f"{run_dir}/{JSONL_DIR}") and not path_exists(spark, f"{run_dir}/{DUMPS_DIR}")
-    if jsonl:
+    has = {d: path_exists(spark, f"{run_dir}/{d}") for d in (DUMPS_DIR, JSONL_DIR, ARRAYS_DIR)}
+    kind = "parquet" if has[DUMPS_DIR] else "jsonl" if has[JSONL_DIR] else "array" if has[ARRAYS_DIR] else "parquet"
+    jsonl = kind == "jsonl"
+    if kind == "array":
+        # whole array files (they cannot be split); ``file`` and ``chunk`` come from the directories
+        src = (spark.readStream.format("binaryFile")
+               .schema("path string, modificationTime timestamp, length long, content binary, file string, chunk int")
+               .option("maxFilesPerTrigger", max_files_per_trigger).load(f"{run_dir}/{ARRAYS_DIR}")
+               .where(F.col("file").isin(keys)).select("path", "content"))
+    elif jsonl:
         src = (spark.readStream.schema("value string, file string")
                .option("maxFilesPerTrigger", max_files_per_trigger).text(f"{run_dir}/{JSONL_DIR}")
                .where(F.col("file").isin(keys))
@@ -57,7 +66,9 @@ def stream_restore(spark: SparkSession, run_dir: str, target_root: str, checkpoi
         out = f"{totals_root}/batch={batch_id}"
         if path_exists(spark, f"{out}/_DONE"):
             return
-        if jsonl:
+        if kind == "array":
+            dumps = with_parsed_id(frame_binary(batch))
+        elif jsonl:
             dumps = with_parsed_id(batch.select("file", "path", "blk",
                                                 F.monotonically_increasing_id().alias("pos"), "doc"))
         else:
