@@ -15,6 +15,9 @@ store AS (
     FROM events
     UNION ALL
     SELECT 'corpus', lang, source, CAST(doc_id AS VARCHAR), CAST(n_chars AS DOUBLE) FROM documents
+    UNION ALL
+    SELECT 'web', 'site_' || CAST(page_id % 2 AS VARCHAR), 'page', CAST(page_id AS VARCHAR),
+           CAST(strlen(html) AS DOUBLE) FROM pages
 )"""
 
 REQUEST = """
@@ -27,7 +30,9 @@ request AS (
         (4, 'analytics', 'nobody', CAST(NULL AS VARCHAR[])),
         (5, 'corpus', 'en', CAST(NULL AS VARCHAR[])),
         (6, 'corpus', 'fr', ['src1', 'src3', 'src5']),
-        (7, 'corpus', 'de', ['nope'])
+        (7, 'corpus', 'de', ['nope']),
+        (8, 'web', 'site_0', CAST(NULL AS VARCHAR[])),
+        (9, 'web', 'site_1', ['page', 'page'])
     ) AS t(ord, client, tenant, types)
 )"""
 
@@ -142,7 +147,8 @@ FROM resolved r JOIN store s ON s.client = r.client AND s.tenant = r.tenant AND
     "index_filter": _with(STORE, CATALOG, INDEXES) + "SELECT client, tenant, type, pos, keys, options FROM usable",
 
     "index_attach": _with(*BASE, INDEXES) + """
-SELECT r.ord, r.client, r.tenant, r.type, r.file, CAST(a.n AS INTEGER) AS n_indexes,
+SELECT r.ord, r.client, r.tenant, r.type, r.file, a.n IS NOT NULL AS has_indexes,
+       CAST(coalesce(a.n, 0) AS INTEGER) AS n_indexes,
        a.ks AS index_keys, a.os AS index_options
 FROM resolved r LEFT JOIN attached a ON a.client = r.client AND a.tenant = r.tenant AND a.type = r.type""",
 
@@ -169,7 +175,8 @@ UNION ALL
 SELECT client, tenant, type, name, keys, options, true AS created FROM created""",
 
     "backup_manifest": _with(*BASE, MANIFEST, INDEXES) + """
-SELECT m.ord, m.client, m.tenant, m.type, m.file, m.n_docs, CAST(a.n AS INTEGER) AS n_indexes
+SELECT m.ord, m.client, m.tenant, m.type, m.file, m.n_docs, a.n IS NOT NULL AS has_indexes,
+       CAST(coalesce(a.n, 0) AS INTEGER) AS n_indexes
 FROM manifest m LEFT JOIN attached a ON a.client = m.client AND a.tenant = m.tenant AND a.type = m.type""",
 
     "backup_roundtrip": _with(*BASE, MANIFEST) + """

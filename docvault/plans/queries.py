@@ -41,6 +41,8 @@ STANDARD_REQUEST = [
     (5, "corpus", "en", None),
     (6, "corpus", "fr", ["src1", "src3", "src5"]),
     (7, "corpus", "de", ["nope"]),
+    (8, "web", "site_0", None),
+    (9, "web", "site_1", ["page", "page"]),
 ]
 
 
@@ -69,8 +71,10 @@ def _indexes(spark, sf_dir):
 
 
 def payload(doc="doc"):
-    """A typed field of a stored document (events: value, documents: n_chars), to compare across engines."""
-    return F.coalesce(F.get_json_object(doc, "$.value"), F.get_json_object(doc, "$.n_chars")).cast("double")
+    """A typed field of a stored document, to compare across engines: events ``value``, documents
+    ``n_chars``, pages the UTF-8 byte length of the decoded ``html`` (so the whole text must survive)."""
+    html = F.octet_length(F.get_json_object(doc, "$.html")).cast("string")
+    return F.coalesce(F.get_json_object(doc, "$.value"), F.get_json_object(doc, "$.n_chars"), html).cast("double")
 
 
 def stale_target(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,7 +136,7 @@ def q_index_attach(spark, sf_dir):
     has = F.col("indexes").isNotNull()
     return manifest.select(
         "ord", *KEY, "file",
-        F.when(has, F.size("indexes")).alias("n_indexes"),
+        has.alias("has_indexes"), F.coalesce(F.size("indexes"), F.lit(0)).alias("n_indexes"),
         F.when(has, F.concat_ws(";", F.transform("indexes", lambda x: x["keys"]))).alias("index_keys"),
         F.when(has, F.concat_ws(";", F.transform("indexes", lambda x: x["options"]))).alias("index_options"))
 
@@ -172,8 +176,9 @@ def q_index_ensure(spark, sf_dir):
 def q_backup_manifest(spark, sf_dir):
     b = _backup(spark, sf_dir)
     m = read_manifest(spark, b.manifest_path)
-    return m.select("ord", *KEY, "file", "n_docs",
-                    F.when(F.col("indexes").isNotNull(), F.size("indexes")).alias("n_indexes"))
+    has = F.col("indexes").isNotNull()
+    return m.select("ord", *KEY, "file", "n_docs", has.alias("has_indexes"),
+                    F.coalesce(F.size("indexes"), F.lit(0)).alias("n_indexes"))
 
 
 def q_backup_roundtrip(spark, sf_dir):

@@ -4,6 +4,8 @@
 
 * ``events``    → client ``analytics``, tenant ``tenant_<user_id % 2>``, type ``event_type``, ``_id`` = ``event_id``
 * ``documents`` → client ``corpus``, tenant ``lang``, type ``source``, ``_id`` = ``doc_id``
+* ``pages``     → client ``web``, tenant ``site_<page_id % 2>``, type ``page``, ``_id`` = ``page_id`` (raw HTML:
+  line breaks, quotes, braces and non-ASCII text inside the documents)
 
 ``doc`` is the row as one JSON object; ``id`` is the JSON text of its ``_id`` (what ``functions.doc_id`` yields).
 """
@@ -43,9 +45,21 @@ def documents_store(spark: SparkSession, sf_dir: str) -> DataFrame:
         doc.alias("doc"))
 
 
+def pages_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    doc = F.to_json(F.struct(F.col("page_id").alias("_id"), "url", "html"))
+    return p.select(
+        F.lit("web").alias("client"),
+        F.concat(F.lit("site_"), (F.col("page_id") % 2).cast("string")).alias("tenant"),
+        F.lit("page").alias("type"),
+        F.col("page_id").cast("string").alias("id"),
+        doc.alias("doc"))
+
+
 def store_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The source store: a union of two scans, no shuffle."""
-    return events_store(spark, sf_dir).unionByName(documents_store(spark, sf_dir))
+    """The source store: a union of three scans, no shuffle."""
+    return (events_store(spark, sf_dir).unionByName(documents_store(spark, sf_dir))
+            .unionByName(pages_store(spark, sf_dir)))
 
 
 def empty_store(spark: SparkSession) -> DataFrame:
