@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docvault.model import ARRAYS_DIR, DUMPS_DIR, JSONL_DIR, MAX_OBJECT_BYTES, RestoreError
@@ -135,18 +135,32 @@ def read_parquet_dumps(spark: SparkSession, dumps_dir: str, keys: list[str]) ->
                      F.col("_metadata.row_index").alias("pos"), "id", F.lit(False).alias("bad"), "doc")
 
 
+def line_numbers(lines: DataFrame) -> DataFrame:
+    """``(path, blk, mono, ...)`` → ``pos`` = the line's number inside its file, whatever the split size.
+
+    ``mono`` (``monotonically_increasing_id`` taken directly above the scan) is consecutive inside a block;
+    per-block line counts (one row per block, broadcast) give each block's first line number.
+    """
+    blocks = lines.groupBy("path", "blk").agg(F.min("mono").alias("_m0"), F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy("path").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select("path", "blk", "_m0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_l0"))
+    return (lines.join(F.broadcast(starts), ["path", "blk"])
+            .withColumn("pos", F.col("_l0") + F.col("mono") - F.col("_m0")).drop("_l0", "_m0", "mono"))
+
+
 def read_jsonl_dumps(spark: SparkSession, dumps_dir: str, keys: list[str]) -> DataFrame:
-    """JSONL dumps of the given keys → ``(file, path, blk, pos, doc)``.
+    """JSONL dumps of the given keys → ``(file, path, blk, pos, id, bad, doc)``.
 
-    Only the named ``file=`` partitions are listed and read (partition pruning).  ``pos`` is taken directly
-    above the scan, so inside one block it follows line order.
+    Only the named ``file=`` partitions are listed and read (partition pruning); ``pos`` is the line number
+    in the file (:func:`line_numbers`), so ids given to documents without ``_id`` are stable across runs.
     """
     if not keys:
         return spark.createDataFrame([], LOADED_SCHEMA)
     df = spark.read.schema("value string, file string").text(dumps_dir).where(F.col("file").isin(keys))
-    return with_parsed_id(df.select("file", F.col("_metadata.file_path").alias("path"),
-                                    F.col("_metadata.file_block_start").alias("blk"),
-                                    F.monotonically_increasing_id().alias("pos"), F.col("value").alias("doc")))
+    lines = df.select("file", F.col("_metadata.file_path").alias("path"),
+                      F.col("_metadata.file_block_start").alias("blk"),
+                      F.monotonically_increasing_id().alias("mono"), F.col("value").alias("doc"))
+    return with_parsed_id(line_numbers(lines).select("file", "path", "blk", "pos", "doc"))
 
 
 def locate_dumps(spark: SparkSession, run_dir: str, manifest_rows: list) -> dict:

@@ -25,7 +25,7 @@ from docvault.operators.restore import load_documents, merge_types, restore_tota
 from docvault.session import path_exists, small_frame, write_text_file
 from docvault.sinks.target import read_target, write_types
 from docvault.sources.config import read_manifest
-from docvault.sources.dumps import frame_binary, with_parsed_id
+from docvault.sources.dumps import frame_binary, line_numbers, with_parsed_id
 
 KEY = ["client", "tenant", "type"]
 SUMS = ("total", "inserted", "replaced", "rejected")
@@ -69,8 +69,8 @@ def stream_restore(spark: SparkSession, run_dir: str, target_root: str, checkpoi
         if kind == "array":
             dumps = with_parsed_id(frame_binary(batch))
         elif jsonl:
-            dumps = with_parsed_id(batch.select("file", "path", "blk",
-                                                F.monotonically_increasing_id().alias("pos"), "doc"))
+            lines = batch.select("file", "path", "blk", F.monotonically_increasing_id().alias("mono"), "doc")
+            dumps = with_parsed_id(line_numbers(lines).select("file", "path", "blk", "pos", "doc"))
         else:
             dumps = batch
         files = [r["file"] for r in dumps.select("file").distinct().collect()]
