@@ -18,6 +18,7 @@ import sys
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -30,51 +31,68 @@ FRAMED_SCHEMA = "file string, path string, blk long, pos long, doc string"
 LOADED_SCHEMA = "file string, path string, blk long, pos long, id string, bad boolean, doc string"
 _PARSE = "struct<_id: variant, _corrupt_record: string>"
 
-# Tokens that matter for framing: whole strings (so braces inside them do not count), braces, and a lone
-# quote (an unterminated string).
-_TOKENS = re.compile(r'"[^"\\]*(?:\\.[^"\\]*)*"|[{}]|"')
-_OUTSIDE_OK = re.compile(r"[\s,\[\]]*")
+_BETWEEN = b" \t\r\n,[]"
 
 
 class FramingError(ValueError):
     pass
 
 
-def frame_objects(text: str, max_bytes: int = MAX_OBJECT_BYTES) -> Iterator[tuple[int, str]]:
+def frame_objects(data, max_bytes: int = MAX_OBJECT_BYTES, chunk: int = 16 << 20) -> Iterator[tuple[int, str]]:
     """Split a dump into its top-level ``{...}`` objects, text unchanged.
 
     Needs braces only, not valid JSON: objects may follow each other without commas, arrays may start
     with a newline.  Braces inside strings do not count.  Anything but whitespace, commas and brackets
     between objects, an object over ``max_bytes`` or an unterminated last object is an error.
+
+    Works on the UTF-8 bytes (structural characters are ASCII and never occur inside a multi-byte
+    character) and touches only quote and brace positions: a quote is real unless an odd run of
+    backslashes precedes it; a brace counts when an even number of real quotes precedes it; a running sum
+    over the counted braces gives the depth.  Chunks bound the temporary arrays; state carries over.
     """
-    depth, start, pos, last_end = 0, -1, 0, 0
-    for m in _TOKENS.finditer(text):
-        tok = m.group()
-        if depth == 0:
-            if tok != "{":
-                raise FramingError(f"unexpected {tok[:20]!r} outside an object at offset {m.start()}")
-            if not _OUTSIDE_OK.fullmatch(text, last_end, m.start()):
-                raise FramingError(f"unexpected text outside an object at offset {last_end}")
-            depth, start = 1, m.start()
-        elif tok == "{":
-            depth += 1
-        elif tok == "}":
-            depth -= 1
-            if depth == 0:
-                obj = text[start:m.end()]
-                if len(obj) > max_bytes // 4 and len(obj.encode("utf-8")) > max_bytes:
-                    raise FramingError(f"object {pos} exceeds {max_bytes} bytes")
-                yield pos, obj
-                pos += 1
-                last_end = m.end()
-        elif tok == '"' and len(tok) == 1:
-            raise FramingError(f"unterminated string at offset {m.start()}")
-        if depth > 0 and m.start() - start > 4 * max_bytes:
+    buf = data.encode("utf-8") if isinstance(data, str) else bytes(data)
+    arr = np.frombuffer(buf, dtype=np.uint8)
+    parity, depth, open_at, last_end, pos = 0, 0, -1, 0, 0
+    for g in range(0, len(buf), chunk):
+        c = arr[g:g + chunk]
+        q = np.flatnonzero(c == 34) + g
+        if len(q):
+            after_bs = q[(q > 0) & (arr[np.maximum(q - 1, 0)] == 92)]
+            escaped = []
+            for i in after_bs.tolist():
+                j = i - 1
+                while j >= 0 and buf[j] == 92:
+                    j -= 1
+                if (i - 1 - j) % 2:
+                    escaped.append(i)
+            if escaped:
+                q = np.setdiff1d(q, np.asarray(escaped, dtype=q.dtype), assume_unique=True)
+        b = np.flatnonzero((c == 123) | (c == 125)) + g
+        b = b[(parity + np.searchsorted(q, b)) % 2 == 0]
+        sign = np.where(arr[b] == 123, 1, -1)
+        d_after = depth + np.cumsum(sign)
+        if len(d_after) and d_after.min() < 0:
+            raise FramingError(f"unbalanced '}}' at byte {int(b[np.argmax(d_after < 0)])}")
+        starts = b[(sign == 1) & (d_after == 1)]
+        ends = b[(sign == -1) & (d_after == 0)]
+        opens = ([open_at] if open_at >= 0 else []) + starts.tolist()
+        for s0, e0 in zip(opens, ends.tolist()):
+            if buf[last_end:s0].strip(_BETWEEN):
+                raise FramingError(f"unexpected text outside an object at byte {last_end}")
+            if e0 - s0 + 1 > max_bytes:
+                raise FramingError(f"object {pos} exceeds {max_bytes} bytes")
+            yield pos, buf[s0:e0 + 1].decode("utf-8")
+            pos += 1
+            last_end = e0 + 1
+        open_at = opens[-1] if len(opens) > len(ends) else -1
+        if open_at >= 0 and g + len(c) - open_at > max_bytes:
             raise FramingError(f"object {pos} exceeds {max_bytes} bytes")
-    if depth != 0:
-        raise FramingError(f"truncated object {pos} at offset {start}")
-    if not _OUTSIDE_OK.fullmatch(text, last_end):
-        raise FramingError(f"unexpected text after the last object at offset {last_end}")
+        parity = (parity + len(q)) % 2
+        depth = int(d_after[-1]) if len(d_after) else depth
+    if depth != 0 or open_at >= 0:
+        raise FramingError(f"truncated object {pos} at byte {open_at}")
+    if buf[last_end:].strip(_BETWEEN):
+        raise FramingError(f"unexpected text after the last object at byte {last_end}")
 
 
 _FILE_DIR = re.compile(r"/file=([^/]+)/")
@@ -85,10 +103,9 @@ def _frame_batches(batches: Iterator[pd.DataFrame], max_bytes: int, out_rows: in
         for path, content in zip(b["path"], b["content"]):
             m = _FILE_DIR.search(path)
             key = m.group(1) if m else path.rsplit("/", 1)[-1]
-            text = bytes(content).decode("utf-8")
             acc = []
             try:
-                for pos, obj in frame_objects(text, max_bytes):
+                for pos, obj in frame_objects(content, max_bytes):
                     acc.append((key, path, 0, pos, obj))
                     if len(acc) >= out_rows:
                         yield pd.DataFrame(acc, columns=["file", "path", "blk", "pos", "doc"])
