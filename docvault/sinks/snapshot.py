@@ -1,8 +1,9 @@
-"""Target store snapshots: immutable parquet directories and a small pointer file naming the current one.
+"""Snapshots of the target's index table: immutable parquet directories and a pointer file naming the
+current one.
 
-A restore never overwrites what it reads: it writes a new snapshot directory and then replaces the pointer
-(a rename).  A failed job leaves the previous snapshot current.  The pointer also records a tag (e.g. a
-streaming batch id) so that a replayed publish can be recognised and skipped.
+The index table is metadata (a handful of definitions per type), so it is rewritten whole: a new snapshot
+directory is written and then the pointer is replaced (a rename); a failed job leaves the previous
+snapshot current.  The documents themselves are not kept this way (see ``sinks/target.py``).
 """
 
 from __future__ import annotations
