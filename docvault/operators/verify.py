@@ -15,10 +15,12 @@ KEY = ["client", "tenant", "type"]
 def verify_documents(expected: DataFrame, target: DataFrame, touched: DataFrame) -> DataFrame:
     """V1: per type, documents missing from the target, extra in it, and with different text.
 
-    ``expected`` is ``(client, tenant, type, id, doc)`` (e.g. the winners of a restore); only the types in
-    ``touched`` are compared.  Texts are compared through their SHA-256, so only hashes are shuffled.
+    ``expected`` is ``(client, tenant, type, id, doc)`` or already hashed ``(client, tenant, type, id, sha)``
+    (e.g. the winners of a restore); only the types in ``touched`` are compared.  Texts are compared
+    through their SHA-256, so only hashes are shuffled.
     """
-    e = expected.select(*KEY, "id", F.sha2("doc", 256).alias("he"))
+    h = F.col("sha") if "sha" in expected.columns else F.sha2("doc", 256)
+    e = expected.select(*KEY, "id", h.alias("he"))
     t = touched_part(target, touched).select(*KEY, "id", F.sha2("doc", 256).alias("ht"))
     j = e.join(t, KEY + ["id"], "full_outer")
     per_type = j.groupBy(*KEY).agg(

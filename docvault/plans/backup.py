@@ -42,7 +42,11 @@ def plan_backup(spark: SparkSession, store: DataFrame, request: DataFrame,
     """
     if catalog is None:
         catalog = type_catalog(store)
-    resolved_local, _ = small_frame(spark, resolve_types(request, catalog), "resolved types")
+    resolved_local, rows = small_frame(spark, resolve_types(request, catalog), "resolved types")
+    # static filters from the (bounded) resolved lists: partition pruning / row-group skipping on a store
+    # laid out by type, before the broadcast join picks the exact (client, tenant, type) triples
+    for c in KEY:
+        store = store.where(F.col(c).isin(sorted({r[c] for r in rows})))
     docs = store.join(F.broadcast(resolved_local), KEY)
     manifest = resolved_local
     if indexes is not None and not skip_indexes:
