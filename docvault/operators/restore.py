@@ -3,9 +3,10 @@
 Serial semantics, evaluated in parallel.  The reference restores manifest rows one after another and the
 documents of a row in file order, so across a restore the *first* occurrence of an id can be an insert and
 the *last* one wins.  Every loaded document carries ``seq = (ord, path, blk, pos)``; "first" and "last" are
-``min``/``max_by`` over it.  Both are hash aggregations keyed by (client, tenant, type, id) with map-side
-partial aggregation, so a hot id is combined inside each task before the shuffle (no per-key sort, no
-single task per key), and the shuffle carries only rows of the types the manifest touches.
+``min``/``max_by`` over it, grouped by (client, tenant, type, id) — never a window over a type, never one
+task per type.  The totals aggregate ids only (hash aggregation with map-side combine); the merge moves
+documents once, salted so that a large type (large in the dump *or* already in the target) is split over
+many tasks.  Only rows of the types the manifest touches are shuffled.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from docvault.model import DOCUMENTS_PER_REQUEST
 from docvault.operators.types import type_key
-from docvault.session import small_frame
+from docvault.session import local_frame, small_frame
 
 KEY = ["client", "tenant", "type"]
 
@@ -38,23 +39,33 @@ def load_documents(dumps: DataFrame, manifest: DataFrame) -> DataFrame:
         "bad", "doc")
 
 
-# Documents per merge task (and per written file) of one type; a type is salted into
-# ceil(n_docs / ROWS_PER_TASK) buckets so a huge type is spread over many tasks.
+# Size of one merge task (and of one written file) for a type: a type is salted into
+# max(ceil(restored docs / ROWS_PER_TASK), ceil(bytes already in the target / BYTES_PER_TASK)) buckets.
 ROWS_PER_TASK = 2_000_000
+BYTES_PER_TASK = 256 * 1024 * 1024
 
 
-def touched_types(manifest: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def touched_types(manifest: DataFrame, target_bytes: dict | None = None, rows_per_task: int = ROWS_PER_TASK,
+                  bytes_per_task: int = BYTES_PER_TASK) -> DataFrame:
     """Distinct types of a manifest with their target partition key ``tkey`` and ``salts`` (buckets).
 
-    ``salts`` comes from the manifest's document counts (1 when a foreign manifest has none).  The list is
-    one row per type: it is materialised on the driver with a size check, so it is broadcast without a
-    shuffle and its keys become static partition filters on the target.
+    ``salts`` covers both what is restored (the manifest's document counts; 0 when a foreign manifest has
+    none) and what the target already holds for the type (``target_bytes``: stored bytes per ``tkey``, from
+    file metadata).  The list is one row per type: it is materialised on the driver with a size check, so
+    it is broadcast without a shuffle and its keys become static partition filters on the target.
     """
     n = F.coalesce(F.col("n_docs"), F.lit(0)) if "n_docs" in manifest.columns else F.lit(0)
     t = (manifest.select(*KEY, n.alias("_n")).groupBy(*KEY).agg(F.sum("_n").alias("_n"))
          .select(*KEY, type_key().alias("tkey"),
                  F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(rows_per_task))).cast("int").alias("salts")))
-    return small_frame(manifest.sparkSession, t, "touched types")[0]
+    spark = manifest.sparkSession
+    local, rows = small_frame(spark, t, "touched types")
+    if not target_bytes:
+        return local
+    fixed = [(r["client"], r["tenant"], r["type"], r["tkey"],
+              max(r["salts"], -(-int(target_bytes.get(r["tkey"], 0)) // bytes_per_task)))
+             for r in rows]
+    return local_frame(spark, fixed, t.schema)
 
 
 def touched_part(target: DataFrame, touched: DataFrame) -> DataFrame:

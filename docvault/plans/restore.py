@@ -17,7 +17,7 @@ from docvault.operators.indexes import ensure_indexes
 from docvault.operators.restore import load_documents, merge_types, restore_totals, touched_types
 from docvault.session import small_frame
 from docvault.sinks.snapshot import publish, read_snapshot
-from docvault.sinks.target import read_target, write_types
+from docvault.sinks.target import partition_bytes, read_target, write_types
 from docvault.sources.config import read_manifest
 from docvault.sources.dumps import read_dumps
 
@@ -35,13 +35,18 @@ def indexes_root(target_root: str) -> str:
     return f"{target_root.rstrip('/')}/indexes"
 
 
-def restore_frames(spark: SparkSession, run_dir: str, manifest_local: DataFrame,
-                   target: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def restore_frames(spark: SparkSession, run_dir: str, manifest_local: DataFrame, target: DataFrame,
+                   target_root: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(loaded, merged, totals)``: the documents read from the dumps, the new content of the touched
-    types, and the per-row totals.  Nothing is written."""
+    types, and the per-row totals.  Nothing is written.  With ``target_root`` the merge is also salted by
+    what the target already stores for each type."""
     rows = manifest_local.collect()
     loaded = load_documents(read_dumps(spark, run_dir, rows), manifest_local)
-    touched = touched_types(manifest_local)
+    sizes = None
+    if target_root is not None:
+        keys = [r["tkey"] for r in touched_types(manifest_local).collect()]
+        sizes = partition_bytes(spark, target_root, keys)
+    touched = touched_types(manifest_local, sizes)
     return loaded, merge_types(target, loaded, touched), restore_totals(manifest_local, loaded, target, touched)
 
 
@@ -60,7 +65,7 @@ def run_restore(spark: SparkSession, run_dir: str, target_root: str, skip_indexe
         if created:
             publish(spark, indexes_root(target_root), new_ix.coalesce(1))
     target = read_target(spark, target_root)
-    loaded, merged, totals = restore_frames(spark, run_dir, manifest_local, target)
+    loaded, merged, totals = restore_frames(spark, run_dir, manifest_local, target, target_root)
     totals_local, trows = small_frame(spark, totals, "restore totals")
     bad = [r for r in trows if r["rejected"]]
     if bad:

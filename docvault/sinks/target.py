@@ -44,6 +44,16 @@ def write_types(df: DataFrame, target_root: str) -> None:
      .partitionBy("tkey").parquet(docs_root(target_root)))
 
 
+def partition_bytes(spark: SparkSession, target_root: str, tkeys: list[str]) -> dict:
+    """Stored bytes of the given type partitions (file-system metadata only; no data is read)."""
+    out = {}
+    for k in tkeys:
+        fs, p = hadoop_fs(spark, f"{docs_root(target_root)}/tkey={k}")
+        if fs.exists(p):
+            out[k] = int(fs.getContentSummary(p).getLength())
+    return out
+
+
 def drop_types_in_place(spark: SparkSession, target_root: str, types: DataFrame) -> list[str]:
     """V3 on the stored target: deleting a type removes its partition directory (no data is rewritten).
 
