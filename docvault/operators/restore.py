@@ -28,7 +28,7 @@ def load_documents(dumps: DataFrame, manifest: DataFrame) -> DataFrame:
     without an ``_id`` gets a stable id from its position in the dump.  The manifest is one row per type
     and is broadcast.
     """
-    m = F.broadcast(manifest.select("ord", *KEY, "file"))
+    m = F.broadcast(small_frame(manifest.sparkSession, manifest.select("ord", *KEY, "file"), "manifest")[0])
     j = dumps.join(m, "file")
     fallback = F.concat(F.lit("#"), F.sha2(F.concat_ws("|", "file", "path", F.col("blk").cast("string"),
                                                       F.col("pos").cast("string")), 256))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from docvault.operators.indexes import manifest_indexes, prepare_for_creation
 from docvault.functions.json import index_name
 from docvault.operators.restore import touched_part
+from docvault.session import small_frame
 
 KEY = ["client", "tenant", "type"]
 
@@ -42,4 +43,5 @@ def verify_indexes(manifest: DataFrame, target_indexes: DataFrame) -> DataFrame:
 
 def drop_types(target: DataFrame, types: DataFrame) -> DataFrame:
     """V3: the target without all documents of the given types (a map-only anti join on a broadcast list)."""
-    return target.join(F.broadcast(types.select(*KEY).distinct()), KEY, "left_anti")
+    small, _ = small_frame(types.sparkSession, types.select(*KEY).distinct(), "types to drop")
+    return target.join(F.broadcast(small), KEY, "left_anti")

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docvault.model import ARRAYS_DIR, DUMPS_DIR, JSONL_DIR, MAX_OBJECT_BYTES, RestoreError
-from docvault.session import list_names, path_exists
+from docvault.session import list_names, path_exists, small_frame
 
 FRAMED_SCHEMA = "file string, path string, blk long, pos long, doc string"
 LOADED_SCHEMA = "file string, path string, blk long, pos long, id string, bad boolean, doc string"
@@ -161,7 +161,11 @@ def line_numbers(lines: DataFrame) -> DataFrame:
     blocks = lines.groupBy("path", "blk").agg(F.min("mono").alias("_m0"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy("path").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.select("path", "blk", "_m0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_l0"))
-    return (lines.join(F.broadcast(starts), ["path", "blk"])
+    try:  # one row per file split: broadcast when the count is proven small, else a plain join
+        starts = F.broadcast(small_frame(lines.sparkSession, starts, "dump blocks", max_rows=1_000_000)[0])
+    except ValueError:
+        pass
+    return (lines.join(starts, ["path", "blk"])
             .withColumn("pos", F.col("_l0") + F.col("mono") - F.col("_m0")).drop("_l0", "_m0", "mono"))
 
 
