@@ -106,7 +106,7 @@ def q_type_catalog(spark, sf_dir):
 
 
 def q_resolve_types(spark, sf_dir):
-    """S4 → T1 → T2: the request is written as two config files (one per client) and read back."""
+    """S4 → T1 → T2: the request is written as one config file per client and read back."""
     d = scratch_path(spark, "q-config")
     by_client: dict[str, list] = {}
     for o, c, t, types in STANDARD_REQUEST:
