@@ -17,12 +17,13 @@ from docvault.model import INDEX_SCHEMA
 from docvault.operators.indexes import ensure_indexes, usable_indexes
 from docvault.operators.manifest import select_manifest
 from docvault.operators.restore import batch_plan, load_documents, touched_types
+from docvault.operators.types import resolve_types
 from docvault.operators.verify import verify_documents, verify_indexes
 from docvault.plans.backup import plan_backup, run_backup
 from docvault.plans.migrate import migrate
 from docvault.plans.restore import restore_frames, run_restore
 from docvault.sinks.target import drop_types_in_place, read_target, write_types
-from docvault.functions.json import has_weights_all, prepare_options
+from docvault.functions.json import has_weights_all, index_name, prepare_options
 from docvault.session import scratch_path, small_frame, write_text_file
 from docvault.sources.config import read_backup_config, read_manifest, request_frame
 from docvault.sources.dumps import read_dumps
@@ -117,7 +118,6 @@ def q_resolve_types(spark, sf_dir):
         write_text_file(spark, p, json.dumps({"tenants": [x for _, x in items]}, indent=4))
         r = read_backup_config(spark, p, c, ord_offset=items[0][0])
         req = r if req is None else req.unionByName(r)
-    from docvault.operators.types import resolve_types
     return resolve_types(req, type_catalog(_store(spark, sf_dir)))
 
 
@@ -164,7 +164,6 @@ def q_index_ensure(spark, sf_dir):
     manifest, _ = plan_backup(spark, store, standard_request(spark), ix, catalog=cat)
     existing = existing_target_indexes(spark, cat)
     created, new_table = ensure_indexes(manifest, existing)
-    from docvault.functions.json import index_name
     made = created.select(*KEY, "name").withColumn("created", F.lit(True))
     return (new_table.select(*KEY, index_name("keys", "options").alias("name"), "keys", "options")
             .join(made, KEY + ["name"], "left")
