@@ -58,14 +58,17 @@ def touched_types(manifest: DataFrame, target_bytes: dict | None = None, rows_pe
     t = (manifest.select(*KEY, n.alias("_n")).groupBy(*KEY).agg(F.sum("_n").alias("_n"))
          .select(*KEY, type_key().alias("tkey"),
                  F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(rows_per_task))).cast("int").alias("salts")))
-    spark = manifest.sparkSession
-    local, rows = small_frame(spark, t, "touched types")
-    if not target_bytes:
-        return local
+    local, _ = small_frame(manifest.sparkSession, t, "touched types")
+    return add_target_salts(local, target_bytes, bytes_per_task) if target_bytes else local
+
+
+def add_target_salts(touched: DataFrame, target_bytes: dict, bytes_per_task: int = BYTES_PER_TASK) -> DataFrame:
+    """Raise each type's ``salts`` to cover what the target already stores (bytes per ``tkey``)."""
+    rows = touched.collect()
     fixed = [(r["client"], r["tenant"], r["type"], r["tkey"],
               max(r["salts"], -(-int(target_bytes.get(r["tkey"], 0)) // bytes_per_task)))
              for r in rows]
-    return local_frame(spark, fixed, t.schema)
+    return local_frame(touched.sparkSession, fixed, touched.schema)
 
 
 def touched_part(target: DataFrame, touched: DataFrame) -> DataFrame:

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docvault.model import INDEX_SCHEMA, MANIFEST_NAME, RestoreError
 from docvault.operators.indexes import ensure_indexes
-from docvault.operators.restore import load_documents, merge_types, restore_totals, touched_types
+from docvault.operators.restore import (add_target_salts, load_documents, merge_types, restore_totals,
+                                       touched_types)
 from docvault.session import small_frame
 from docvault.sinks.snapshot import publish, read_snapshot
 from docvault.sinks.target import partition_bytes, read_target, write_types
@@ -42,11 +43,10 @@ def restore_frames(spark: SparkSession, run_dir: str, manifest_local: DataFrame,
     what the target already stores for each type."""
     rows = manifest_local.collect()
     loaded = load_documents(read_dumps(spark, run_dir, rows), manifest_local)
-    sizes = None
+    touched = touched_types(manifest_local)
     if target_root is not None:
-        keys = [r["tkey"] for r in touched_types(manifest_local).collect()]
-        sizes = partition_bytes(spark, target_root, keys)
-    touched = touched_types(manifest_local, sizes)
+        sizes = partition_bytes(spark, target_root, [r["tkey"] for r in touched.collect()])
+        touched = add_target_salts(touched, sizes)
     return loaded, merge_types(target, loaded, touched), restore_totals(manifest_local, loaded, target, touched)
 
 

@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docvault.model import ARRAYS_DIR, DUMPS_DIR, JSONL_DIR, MANIFEST_NAME
-from docvault.operators.restore import load_documents, merge_types, restore_totals, touched_types
+from docvault.operators.restore import (add_target_salts, load_documents, merge_types, restore_totals,
+                                       touched_types)
 from docvault.session import path_exists, small_frame, write_text_file
 from docvault.sinks.target import partition_bytes, read_target, write_types
 from docvault.sources.config import read_manifest
@@ -77,8 +78,8 @@ def stream_restore(spark: SparkSession, run_dir: str, target_root: str, checkpoi
         part, _ = small_frame(spark, manifest_local.where(F.col("file").isin(files)), "batch manifest")
         loaded = load_documents(dumps, part)
         target = read_target(spark, target_root)
-        keys = [r["tkey"] for r in touched_types(part).collect()]
-        touched = touched_types(part, partition_bytes(spark, target_root, keys))
+        touched = touched_types(part)
+        touched = add_target_salts(touched, partition_bytes(spark, target_root, [r["tkey"] for r in touched.collect()]))
         if not path_exists(spark, f"{out}/_SUCCESS"):
             restore_totals(part, loaded, target, touched).write.mode("overwrite").parquet(out)
         write_types(merge_types(target, loaded, touched), target_root)
