@@ -43,14 +43,12 @@ def build_session(master: str | None = None, app: str = "docvault", shuffle_part
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; created under /tmp only when the session names none."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        # only reached when the session names no folder (local runs and tests): the context's checkpoint
+        # directory is settable at runtime, the static ``spark.checkpoint.dir`` config is not
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="docvault-ckpt-"))
         d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="docvault-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
-        spark.conf.set("spark.checkpoint.dir", d)
-        d = spark.conf.get("spark.checkpoint.dir")
     return d.rstrip("/")
 
 
