@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from docvault.llm import mixing, quality_rules
+from docvault.llm import chat, mixing, packing, quality_rules, simhash, token_files
 
 MODULES = {
     "op1_quality_rules": quality_rules,
     "op2_mixing": mixing,
+    "op3_simhash": simhash,
+    "op6_chat": chat,
+    "op7_token_files": token_files,
+    "op10_packing": packing,
 }
 
 QUERIES = {name: m.query for name, m in MODULES.items()}
