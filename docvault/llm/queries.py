@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from docvault.llm import chat, mixing, packing, quality_rules, simhash, token_files
+from docvault.llm import chat, embedding_links, html_main, mixing, packing, quality_rules, simhash, token_files
 
 MODULES = {
     "op1_quality_rules": quality_rules,
     "op2_mixing": mixing,
     "op3_simhash": simhash,
+    "op4_embedding_links": embedding_links,
     "op6_chat": chat,
     "op7_token_files": token_files,
+    "op9_html_main": html_main,
     "op10_packing": packing,
 }
 
