@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from docvault.llm import chat, embedding_links, html_main, mixing, packing, quality_rules, simhash, token_files
+from docvault.llm import chat, embedding_links, html_main, line_dedup, mixing, packing, quality_rules, simhash, substring_dedup, token_files
 
 MODULES = {
     "op1_quality_rules": quality_rules,
     "op2_mixing": mixing,
     "op3_simhash": simhash,
     "op4_embedding_links": embedding_links,
+    "op5_line_dedup": line_dedup,
     "op6_chat": chat,
     "op7_token_files": token_files,
+    "op8_substring_dedup": substring_dedup,
     "op9_html_main": html_main,
     "op10_packing": packing,
 }
