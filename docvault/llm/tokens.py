@@ -1,10 +1,13 @@
-"""Token ids of whole texts with the ``tokenizers`` library, word by word through a bounded cache.
+"""Token ids of whole texts with the ``tokenizers`` library, each different word encoded once.
 
 A tokenizer that drops white space and never merges across it gives a text the concatenated ids of its
 space-separated words, so a word met before needs no second encoding.  Words are cut at spaces and line feeds
-only; anything else inside a word is left to the tokenizer.  Purely alphabetic Latin words are cached in lower
-case and without one trailing comma or full stop, whose id is appended: the same tokenizer treats letters
-and punctuation as separate pieces and lower-cases letter by letter.
+only; anything else inside a word is left to the tokenizer.  Words of ASCII and Latin-1 letters are looked up in
+lower case and without one trailing comma or full stop, whose id is appended: such a tokenizer lower-cases letter
+by letter and treats letters and punctuation as separate pieces.
+
+Words are found, hashed (64 bits) and looked up for a group of texts at once with numpy; the cache is a sorted
+array per Python worker, bounded by ``MAX_WORDS``, and only new words reach the library.
 """
 
 from __future__ import annotations
@@ -15,10 +18,34 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-MAX_WORDS = 350_000  # cached lower-case words per Python worker
-MAX_FORMS = 150_000  # cached written forms per Python worker
+from docvault.llm import wordhash
+
+MAX_WORDS = 2_000_000  # cached words per Python worker, about 25 bytes each
+RECENT = 150_000  # new words before they are merged into the sorted cache
 CHUNK_CHARS = 2_000_000  # texts are encoded in groups of about so many characters
 MARK = "~"  # stands between words that are encoded together; not a letter
+OTHER = 0xA5A5A5A5A5A5A5A5  # tells the hashes of words that are not plain letters
+
+
+class _Table:
+    """Sorted hashes with the ids of each word: start and length in ``flat``."""
+
+    def __init__(self, dtype):
+        self.keys, self.at, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, dtype)
+
+    def add(self, keys, at, n, flat) -> None:
+        keys, at, n = (np.concatenate(x) for x in ((self.keys, keys), (self.at, at + len(self.flat)), (self.n, n)))
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.at, self.n = keys[order], at[order], n[order]
+        self.flat = np.concatenate([self.flat, flat])
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Index of each key, or -1."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        i = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[i] == keys, i, -1)
 
 
 class WordEncoder:
@@ -37,67 +64,90 @@ class WordEncoder:
         self.by_word = '"Lowercase"' in lower and "\\\\s+" in lower and '"Removed"' in split and "[\\\\p{L}]+" in split
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self.forms: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
         if self.by_word:
-            self.mark = self._ids(MARK)
-            self.tails = {c: self._bytes(self._ids(c)) for c in ".,"}
-            self.by_word = len(self.mark) == 1
+            self.mark, comma, stop = (self._ids(c) for c in (MARK, ",", "."))
+            self.by_word = len(self.mark) == len(comma) == len(stop) == 1
+            self.tail = np.array([0, *comma, *stop], dtype=self.dtype)
+        self.known, self.recent = _Table(self.dtype), _Table(self.dtype)
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _bytes(self, ids) -> bytes:
-        return np.asarray(ids, dtype=self.dtype).tobytes()
-
-    def _learn_words(self, words: list[str]) -> None:
-        """Encode alphabetic words in groups, a mark between two of them, and cut the ids at the marks."""
-        groups = [words[i:i + 400] for i in range(0, len(words), 400)]
-        found = self.tokenizer.encode_batch_fast([f" {MARK} ".join(g) for g in groups], add_special_tokens=False)
-        for group, enc in zip(groups, found, strict=True):
-            ids = np.array(enc.ids, dtype=self.dtype)
-            cuts = np.flatnonzero(ids == self.mark[0])
-            if len(cuts) != len(group) - 1:
+    def _learn(self, keys: np.ndarray, words: list[bytes], plain: np.ndarray) -> None:
+        """Encode new words: plain ones in groups with a mark between two of them, the others one by one."""
+        letters = [words[i] for i in np.flatnonzero(plain)]
+        groups = [f" {MARK} ".join(b"\n".join(letters[i:i + 400]).decode().split("\n")) for i in range(0, len(letters), 400)]
+        ids = [np.array(e.ids, dtype=self.dtype) for e in self.tokenizer.encode_batch_fast(groups, add_special_tokens=False)]
+        mark = np.array(self.mark, dtype=self.dtype)
+        if ids:
+            flat = np.concatenate([x for g in ids for x in (g, mark)])
+            cuts = np.flatnonzero(flat == mark[0])
+            if len(cuts) != len(letters):
                 raise ValueError("the tokenizer joins words across white space")
-            raw, width = ids.tobytes(), self.dtype.itemsize
-            starts = [0, *((cuts + 1) * width).tolist()]
-            ends = [*(cuts * width).tolist(), len(raw)]
-            for w, a, b in zip(group, starts, ends, strict=True):
-                self.words[w] = raw[a:b]
-
-    def _learn(self, forms: set[str]) -> None:
-        if len(self.words) > MAX_WORDS:
-            self.words.clear()
-        plain: dict[str, tuple[str, str]] = {}
-        other = []
-        for f in forms:
-            base, tail = (f[:-1], f[-1]) if f and f[-1] in self.tails else (f, "")
-            if base.isalpha() and len(base) <= 64 and (base.isascii() or ("İ" not in base and max(base) < "ɐ")):
-                plain[f] = (base.lower(), tail)
-            elif f:
-                other.append(f)
-            else:
-                self.forms[f] = b""
-        self._learn_words(list({w for w, _ in plain.values()} - self.words.keys()))
-        for f, (w, tail) in plain.items():
-            self.forms[f] = self.words[w] + self.tails[tail] if tail else self.words[w]
-        if other:
-            for f, enc in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
-                self.forms[f] = self._bytes(enc.ids)
+            at = np.concatenate([[0], cuts[:-1] + 1])
+            self.recent.add(keys[plain], at, cuts - at, flat)
+        rest = [words[i].decode() for i in np.flatnonzero(~plain)]
+        if rest:
+            ids = [np.array(e.ids, dtype=self.dtype) for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
+            n = np.array([len(x) for x in ids])
+            self.recent.add(keys[~plain], np.cumsum(n) - n, n, np.concatenate(ids))
+
+    def _group(self, texts: list[str]) -> list[bytes]:
+        raws = [t.encode() for t in texts]
+        buf = np.frombuffer(b"\n".join([*raws, b""]), dtype=np.uint8)
+        starts, ends = wordhash.runs((buf == 32) | (buf == 10))
+        before = np.roll(buf, 1)
+        latin = (before == 0xC3) & (buf >= 0x80) & (buf <= 0xBF)  # second byte of a Latin-1 letter
+        upper = (buf - 65 < 26) | (latin & (buf < 0x9F) & (buf != 0x97))
+        low = buf + np.where(upper, 32, 0).astype(np.uint8)
+        after = np.roll(buf, -1)
+        letter = (low - 97 < 26) | (latin & (buf != 0x97) & (buf != 0xB7)) | ((buf == 0xC3) & (after != 0x97) & (after != 0xB7))
+        others = np.concatenate([[0], np.cumsum(~letter, dtype=np.int64)])
+        last = buf[ends - 1]
+        tail = np.where(ends - starts > 1, np.where(last == 44, 1, np.where(last == 46, 2, 0)), 0)
+        cut = ends - (tail > 0)
+        plain = others[cut] == others[starts]
+        cut, tail = np.where(plain, cut, ends), np.where(plain, tail, 0)
+        keys = wordhash.of_ranges(wordhash.prefix(low), starts, cut)
+        if not plain.all():
+            keys[~plain] = wordhash.of_ranges(wordhash.prefix(buf), starts[~plain], ends[~plain]) ^ np.uint64(OTHER)
+        unique, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
+
+        if len(self.known.keys) > MAX_WORDS:
+            self.known = _Table(self.dtype)
+        if len(self.recent.keys) > RECENT:
+            self.known.add(self.recent.keys, self.recent.at, self.recent.n, self.recent.flat)
+            self.recent = _Table(self.dtype)
+        new = np.flatnonzero((self.known.find(unique) < 0) & (self.recent.find(unique) < 0))
+        if len(new):
+            w = first[new]
+            lower, raw = low.tobytes(), buf.tobytes()
+            words = [(lower if p else raw)[a:b] for a, b, p in zip(starts[w].tolist(), cut[w].tolist(), plain[w].tolist(), strict=True)]
+            self._learn(unique[new], words, plain[w])
+        flat = np.concatenate([self.known.flat, self.recent.flat, self.tail])
+        a, b = self.known.find(unique), self.recent.find(unique)
+        at, n = np.zeros(len(unique), np.int64), np.zeros(len(unique), np.int64)
+        for found, t, shift in ((a, self.known, 0), (b, self.recent, len(self.known.flat))):
+            hit = found >= 0
+            at[hit], n[hit] = t.at[found[hit]] + shift, t.n[found[hit]]
+        # the ids of every word, then of its tail: gather ranges of ``flat``
+        at, n = at[inverse], n[inverse]
+        total = n + (tail > 0)
+        ends_at = np.cumsum(total)
+        place = np.arange(int(ends_at[-1]) if len(total) else 0) - np.repeat(ends_at - total, total) + np.repeat(at, total)
+        has = np.flatnonzero(tail)
+        place[ends_at[has] - 1] = len(flat) - len(self.tail) + tail[has]
+        out = flat[place].tobytes()
+        sizes = np.array([len(r) + 1 for r in raws])
+        words_before = np.searchsorted(starts, np.cumsum(sizes))
+        stops = (np.concatenate([[0], ends_at])[words_before] * self.dtype.itemsize).tolist()
+        return [out[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
-            return [self._bytes(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        out: list[bytes] = []
-        for group in chunks(texts):
-            lists = [t.replace("\n", " ").split(" ") for t in group]
-            new = set().union(*lists)
-            if len(self.forms) > MAX_FORMS:
-                self.forms.clear()
-            self._learn(new - self.forms.keys())
-            get = self.forms.__getitem__
-            out += [b"".join(map(get, words)) for words in lists]
-        return out
+            return [np.array(e.ids, dtype=self.dtype).tobytes()
+                    for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [raw for group in chunks(texts) for raw in self._group(group)]
 
 
 def chunks(texts: list[str], chars: int = CHUNK_CHARS) -> Iterator[list[str]]:
