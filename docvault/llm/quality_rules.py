@@ -79,7 +79,9 @@ def measure(docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     base = base.select(*kept, F.sort_array(F.transform(twice, lambda x: x["i"])).alias("_at"))
     steps = F.transform("_at", lambda p, j: F.least(F.lit(WINDOW), F.get(F.col("_at"), j + 1) - p))
     total = F.aggregate(steps, F.lit(0).cast("long"), lambda a, x: a + x)
-    return base.select(*kept, F.coalesce(total, F.lit(0)).cast("long").alias("n_repeat_words"))
+    # the row id, always >= 0, is not deterministic: it keeps Spark from copying the steps above into a filter below
+    total = F.when(F.monotonically_increasing_id() >= 0, F.coalesce(total, F.lit(0)).cast("long"))
+    return base.select(*kept, total.alias("n_repeat_words"))
 
 
 def ledger(docs: DataFrame, keys: list[str], text: str = "text", rules: list[Rule] = RULES) -> DataFrame:
