@@ -74,7 +74,7 @@ class Page:
 
     def __init__(self, text: str):
         self.parent, self.tag, self.path, self.hard, self.soft = [-1], ["html"], [_hash("html")], [False], [False]
-        self.content, self.children = [False], [[]]
+        self.content, self.children, self.kind = [False], [[]], ["html"]  # kind: the tag, or the role that stands for one
         self.blocks: list[list[tuple[int, str]]] = []
         self._parse(text)
         self._judge()
@@ -95,7 +95,8 @@ class Page:
         self.soft.append(not plain and (not NOISE_WORDS.isdisjoint(words) or (not in_article and not HEADER_WORDS.isdisjoint(words))))
         self.content.append(not CONTENT_WORDS.isdisjoint(words))
         self.parent.append(up)
-        self.tag.append({"article": "article", "main": "main"}.get(role, tag))
+        self.tag.append(tag)
+        self.kind.append({"article": "article", "main": "main"}.get(role, tag))
         self.path.append(_hash(self.path[up], tag, re.sub(r"\d+", "0", names).strip()))
         self.children.append([])
         self.children[up].append(tag)
@@ -103,7 +104,7 @@ class Page:
 
     def _parse(self, text: str) -> None:
         stack, block, pos, articles = [0], [], 0, 0
-        tags, end = self.tag, len(text)
+        tags, kind, end = self.tag, self.kind, len(text)
 
         def put(a, b):
             if a < b:
@@ -118,7 +119,7 @@ class Page:
 
         def close_to(depth):
             nonlocal articles
-            articles -= sum(tags[i] in ("article", "main") for i in stack[depth:])
+            articles -= sum(kind[i] in ("article", "main") for i in stack[depth:])
             del stack[depth:]
 
         while pos < end:
@@ -167,7 +168,7 @@ class Page:
             if tag in ("html", "body") and any(tags[i] == tag for i in stack[1:]):
                 continue
             stack.append(self._open(stack[-1], tag, attrs, articles > 0))
-            articles += tags[stack[-1]] in ("article", "main")
+            articles += kind[stack[-1]] in ("article", "main")
             if attrs.endswith("/") and tag not in BLOCK:
                 stack.pop()
         flush()
@@ -193,7 +194,7 @@ class Page:
             soft = self.soft[i] and size[i] <= MOSTLY * size[0]
             noise[i] = hard[i] or soft or (i > 0 and noise[up[i]])
         region = 0
-        for wanted in (lambda i: tag[i] == "article", lambda i: tag[i] == "main", lambda i: self.content[i] and tag[i] in BLOCK):
+        for wanted in (lambda i: self.kind[i] == "article", lambda i: self.kind[i] == "main", lambda i: self.content[i] and tag[i] in BLOCK):
             found = [i for i in range(1, n) if not noise[i] and wanted(i) and size[i]]
             if found:
                 region = max(found, key=lambda i: (size[i], -i))
@@ -206,7 +207,7 @@ class Page:
                 inside[i] = False  # without an article: lists of links are no text
         owner = [-1] * n  # the nearest element that may be removed as a branch
         for i in range(1, n):
-            owner[i] = i if tag[i] in BLOCK and tag[i] not in PLAIN else owner[up[i]]
+            owner[i] = i if tag[i] in BLOCK and self.kind[i] not in PLAIN else owner[up[i]]
         self.inside, self.owner = inside, owner
 
     def main(self) -> list[tuple[str, int | None]]:
