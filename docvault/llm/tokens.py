@@ -20,25 +20,23 @@ import numpy as np
 
 from docvault.llm import wordhash
 
-MAX_WORDS = 2_000_000  # cached words per Python worker, about 25 bytes each
-RECENT = 150_000  # new words before they are merged into the sorted cache
-CHUNK_CHARS = 2_000_000  # texts are encoded in groups of about so many characters
+MAX_WORDS = 1_500_000  # cached words per Python worker, about 30 bytes each
+RECENT = 200_000  # new words before they are merged into the sorted cache
+CHUNK_CHARS = 500_000  # texts are encoded in groups of about so many characters
 MARK = "~"  # stands between words that are encoded together; not a letter
 OTHER = 0xA5A5A5A5A5A5A5A5  # tells the hashes of words that are not plain letters
 
 
 class _Table:
-    """Sorted hashes with the ids of each word: start and length in ``flat``."""
+    """Sorted hashes with the place and number of each word's ids."""
 
-    def __init__(self, dtype):
-        self.keys, self.at, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.flat = np.zeros(0, dtype)
+    def __init__(self):
+        self.keys, self.at, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
-    def add(self, keys, at, n, flat) -> None:
-        keys, at, n = (np.concatenate(x) for x in ((self.keys, keys), (self.at, at + len(self.flat)), (self.n, n)))
+    def add(self, keys, at, n) -> None:
+        keys, at, n = np.concatenate([self.keys, keys]), np.concatenate([self.at, at]), np.concatenate([self.n, n.astype(np.int32)])
         order = np.argsort(keys, kind="stable")
         self.keys, self.at, self.n = keys[order], at[order], n[order]
-        self.flat = np.concatenate([self.flat, flat])
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Index of each key, or -1."""
@@ -68,7 +66,23 @@ class WordEncoder:
             self.mark, comma, stop = (self._ids(c) for c in (MARK, ",", "."))
             self.by_word = len(self.mark) == len(comma) == len(stop) == 1
             self.tail = np.array([0, *comma, *stop], dtype=self.dtype)
-        self.known, self.recent = _Table(self.dtype), _Table(self.dtype)
+            self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.recent = _Table(), _Table()
+        self.flat, self.used = np.zeros(1 << 16, self.dtype), 0  # ids of all cached words; grows by doubling
+        self._keep(self.tail)
+
+    def _keep(self, ids: np.ndarray) -> int:
+        """Append ids, return their place."""
+        if self.used + len(ids) > len(self.flat):
+            grown = np.zeros(2 * (self.used + len(ids)), self.dtype)
+            grown[:self.used] = self.flat[:self.used]
+            self.flat = grown
+        at = self.used
+        self.flat[at:at + len(ids)] = ids
+        self.used += len(ids)
+        return at
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -85,12 +99,12 @@ class WordEncoder:
             if len(cuts) != len(letters):
                 raise ValueError("the tokenizer joins words across white space")
             at = np.concatenate([[0], cuts[:-1] + 1])
-            self.recent.add(keys[plain], at, cuts - at, flat)
+            self.recent.add(keys[plain], at + self._keep(flat), cuts - at)
         rest = [words[i].decode() for i in np.flatnonzero(~plain)]
         if rest:
             ids = [np.array(e.ids, dtype=self.dtype) for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
             n = np.array([len(x) for x in ids])
-            self.recent.add(keys[~plain], np.cumsum(n) - n, n, np.concatenate(ids))
+            self.recent.add(keys[~plain], np.cumsum(n) - n + self._keep(np.concatenate(ids)), n)
 
     def _group(self, texts: list[str]) -> list[bytes]:
         raws = [t.encode() for t in texts]
@@ -114,30 +128,29 @@ class WordEncoder:
         unique, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
 
         if len(self.known.keys) > MAX_WORDS:
-            self.known = _Table(self.dtype)
+            self._forget()
         if len(self.recent.keys) > RECENT:
-            self.known.add(self.recent.keys, self.recent.at, self.recent.n, self.recent.flat)
-            self.recent = _Table(self.dtype)
+            self.known.add(self.recent.keys, self.recent.at, self.recent.n)
+            self.recent = _Table()
         new = np.flatnonzero((self.known.find(unique) < 0) & (self.recent.find(unique) < 0))
         if len(new):
             w = first[new]
             lower, raw = low.tobytes(), buf.tobytes()
             words = [(lower if p else raw)[a:b] for a, b, p in zip(starts[w].tolist(), cut[w].tolist(), plain[w].tolist(), strict=True)]
             self._learn(unique[new], words, plain[w])
-        flat = np.concatenate([self.known.flat, self.recent.flat, self.tail])
-        a, b = self.known.find(unique), self.recent.find(unique)
         at, n = np.zeros(len(unique), np.int64), np.zeros(len(unique), np.int64)
-        for found, t, shift in ((a, self.known, 0), (b, self.recent, len(self.known.flat))):
+        for t in (self.known, self.recent):
+            found = t.find(unique)
             hit = found >= 0
-            at[hit], n[hit] = t.at[found[hit]] + shift, t.n[found[hit]]
+            at[hit], n[hit] = t.at[found[hit]], t.n[found[hit]]
         # the ids of every word, then of its tail: gather ranges of ``flat``
         at, n = at[inverse], n[inverse]
         total = n + (tail > 0)
         ends_at = np.cumsum(total)
         place = np.arange(int(ends_at[-1]) if len(total) else 0) - np.repeat(ends_at - total, total) + np.repeat(at, total)
         has = np.flatnonzero(tail)
-        place[ends_at[has] - 1] = len(flat) - len(self.tail) + tail[has]
-        out = flat[place].tobytes()
+        place[ends_at[has] - 1] = tail[has]  # the tails' ids are the first in ``flat``
+        out = self.flat[place].tobytes()
         sizes = np.array([len(r) + 1 for r in raws])
         words_before = np.searchsorted(starts, np.cumsum(sizes))
         stops = (np.concatenate([[0], ends_at])[words_before] * self.dtype.itemsize).tolist()
@@ -179,10 +192,15 @@ def as_uint32(raw: bytes, dtype) -> bytes:
 
 
 def text_groups(batches: Iterable, text: str = "text") -> Iterator[tuple[object, list[str]]]:
-    """Arrow batches cut into slices of about ``CHUNK_CHARS`` characters, with their texts (null: empty)."""
+    """Arrow batches cut into slices of about ``CHUNK_CHARS`` bytes of text, with their texts (null: empty)."""
+    import pyarrow.compute as pc
+
     for batch in batches:
-        texts = [t or "" for t in batch.column(text).to_pylist()]
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         at = 0
-        for group in chunks(texts):
-            yield batch.slice(at, len(group)), group
-            at += len(group)
+        while at < len(ends):
+            before = ends[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, before + CHUNK_CHARS, side="right")))
+            part = batch.slice(at, end - at)
+            yield part, [t or "" for t in part.column(text).to_pylist()]
+            at = end
