@@ -1,5 +1,5 @@
-from docvault.functions.json import (doc_id, drop_null_fields, drop_weights, has_weights_all, index_name,
+from docvault.functions.json import (doc_id, drop_null_fields, has_weights_all, index_name,
                                      is_id_index, prepare_options)
 
-__all__ = ["doc_id", "drop_null_fields", "drop_weights", "has_weights_all", "index_name", "is_id_index",
+__all__ = ["doc_id", "drop_null_fields", "has_weights_all", "index_name", "is_id_index",
            "prepare_options"]

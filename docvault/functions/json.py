@@ -1,4 +1,4 @@
-"""Column expressions over raw JSON text.  All built-in (JVM, codegen) except the nested-null drop.
+"""Column expressions over raw JSON text.  All built-in (JVM, codegen) except two that rewrite index definitions.
 
 Documents and index definitions are kept as raw text; these expressions look inside without rewriting the
 text of anything they do not have to change.
@@ -37,21 +37,17 @@ def is_id_index(keys) -> Column:
 
 
 def has_weights_all(options) -> Column:
-    """True when ``options.weights`` has a ``$all`` key, whatever its value (null included)."""
-    w = F.get_json_object(_c(options), "$.weights")
-    return F.coalesce(F.array_contains(F.json_object_keys(w), F.lit("$all")), F.lit(False))
-
-
-def drop_weights(options) -> Column:
-    """``options`` without its top-level ``weights`` field; other top-level fields keep their order."""
-    m = F.from_json(_c(options), "map<string,variant>")
-    return F.to_json(F.map_filter(m, lambda k, v: k != F.lit("weights")))
+    """True when ``options.weights`` is an object with a ``$all`` key, whatever its value (null included)."""
+    w = F.from_json(_c(options), "struct<weights: variant>").getField("weights")
+    found = F.array_contains(F.json_object_keys(F.to_json(w)), F.lit("$all"))
+    return F.coalesce(F.startswith(F.schema_of_variant(w), F.lit("OBJECT")) & found, F.lit(False))
 
 
 def prepare_options(options) -> Column:
-    """Index options as they are sent for creation: ``weights`` removed only when it carries ``$all``."""
+    """Index options as they are sent for creation: ``weights`` removed only when it carries ``$all``; all other
+    members keep their order and the text of their numbers."""
     o = _c(options)
-    return F.when(has_weights_all(o), drop_weights(o)).otherwise(o)
+    return F.when(has_weights_all(o), _drop_weights_udf(o)).otherwise(o)
 
 
 def index_name(keys, options) -> Column:
@@ -73,11 +69,11 @@ def _load(text: str):
                       parse_constant=_Num)
 
 
-def _dump(v) -> str:
+def _dump(v, nulls: bool = False) -> str:
     if isinstance(v, _Obj):
-        return "{" + ",".join(json.dumps(k, ensure_ascii=False) + ":" + _dump(x) for k, x in v if x is not None) + "}"
+        return "{" + ",".join(json.dumps(k, ensure_ascii=False) + ":" + _dump(x, nulls) for k, x in v if nulls or x is not None) + "}"
     if isinstance(v, list):
-        return "[" + ",".join(_dump(x) for x in v) + "]"
+        return "[" + ",".join(_dump(x, nulls) for x in v) + "]"
     if isinstance(v, _Num):
         return str(v)
     if v is None:
@@ -105,13 +101,34 @@ def strip_nulls(text: str | None) -> str | None:
     return _dump(v)
 
 
+def drop_member(text: str | None, name: str) -> str | None:
+    """An object's text without its top-level member ``name``."""
+    if text is None:
+        return None
+    v = _load(text)
+    return _dump(_Obj((k, x) for k, x in v if k != name), nulls=True) if isinstance(v, _Obj) else text
+
+
+def _safe_member(text: str | None) -> str | None:
+    try:
+        return drop_member(text, "weights")
+    except ValueError:  # not an object: the condition around the call leaves it out
+        return text
+
+
+@F.pandas_udf(T.StringType())
+def _drop_weights_udf(s: pd.Series) -> pd.Series:
+    return s.map(_safe_member)
+
+
 @F.pandas_udf(T.StringType())
 def _strip_nulls_udf(s: pd.Series) -> pd.Series:
     return s.map(strip_nulls)
 
 
 def drop_null_fields(text) -> Column:
-    """Null members removed from index JSON.  The Python path runs only for rows whose text holds ``null``."""
+    """Null members removed from index JSON; text without ``null`` is passed on as it is.  Spark evaluates the Python
+    function for every row of the (small) index table."""
     t = _c(text)
     return F.when(F.instr(t, "null") > 0, _strip_nulls_udf(t)).otherwise(t)
 

@@ -21,14 +21,6 @@ REQUEST_SCHEMA = T.StructType([
     T.StructField("types", T.ArrayType(T.StringType()), True),
 ])
 
-# The backup config file: {"tenants": [{"tenant": ..., "types": [...]}, ...]}
-BACKUP_CONFIG_SCHEMA = T.StructType([
-    T.StructField("tenants", T.ArrayType(T.StructType([
-        T.StructField("tenant", T.StringType(), True),
-        T.StructField("types", T.ArrayType(T.StringType()), True),
-    ])), True),
-])
-
 # Index metadata of the store: keys/options are raw JSON text (key order of compound keys matters).
 INDEX_SCHEMA = T.StructType([
     T.StructField("client", T.StringType(), False),
@@ -53,6 +45,7 @@ MANIFEST_ELEMENT = T.StructType([
     T.StructField("n_docs", T.LongType(), True),
     T.StructField("indexes", T.ArrayType(INDEX_DEF), True),
 ])
+MANIFEST_SCHEMA = T.StructType([T.StructField("ord", T.IntegerType(), True), *MANIFEST_ELEMENT.fields])
 MANIFEST_REQUIRED = ("client", "tenant", "type", "file")
 
 TOTALS_SCHEMA = T.StructType([

@@ -52,12 +52,13 @@ def ensure_indexes(manifest: DataFrame, target_indexes: DataFrame) -> tuple[Data
     """
     wanted = prepare_for_creation(manifest_indexes(manifest))
     first = (wanted.groupBy(*KEY, "name")
-             .agg(F.min_by(F.struct("keys", "options"), F.struct("ord", "pos")).alias("d")))
+             .agg(F.min_by(F.struct("keys", "options"), F.struct("ord", "pos")).alias("d"),
+                  F.min(F.struct("ord", "pos")).alias("at")))
     existing = target_indexes.select(*KEY, index_name("keys", "options").alias("name"))
     created = first.join(existing, KEY + ["name"], "left_anti")
     base = target_indexes.select(*KEY, "pos", "keys", "options")
     start = base.groupBy(*KEY).agg(F.max("pos").alias("_p"))
-    w = Window.partitionBy(*KEY).orderBy("name")
+    w = Window.partitionBy(*KEY).orderBy("at")  # in the order of the manifest
     new_rows = (created.join(start, KEY, "left")
                 .select(*KEY, (F.coalesce("_p", F.lit(-1)) + F.row_number().over(w)).cast("int").alias("pos"),
                         F.col("d.keys").alias("keys"), F.col("d.options").alias("options")))

@@ -11,12 +11,12 @@ many tasks.  Only rows of the types the manifest touches are shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docvault.model import DOCUMENTS_PER_REQUEST
 from docvault.operators.types import type_key
-from docvault.session import local_frame, small_frame
+from docvault.session import among, broadcast_if_small, local_frame, small_frame
 
 KEY = ["client", "tenant", "type"]
 
@@ -24,19 +24,19 @@ KEY = ["client", "tenant", "type"]
 def load_documents(dumps: DataFrame, manifest: DataFrame) -> DataFrame:
     """Dump rows ``(file, path, blk, pos, id, bad, doc)`` ⋈ manifest on ``file`` → documents to restore.
 
-    Target names come from the manifest row (two rows may name one file: each restores it).  A document
-    without an ``_id`` gets a stable id from its position in the dump.  The manifest is one row per type
-    and is broadcast.
+    Target names come from the manifest row (two rows may name one file: each restores it).  A document without an
+    ``_id`` gets the hash of its text and its number among the dump's equal documents, so the same document has the
+    same id in every backup and wherever the run directory lies.
     """
-    m = F.broadcast(small_frame(manifest.sparkSession, manifest.select("ord", *KEY, "file"), "manifest")[0])
-    j = dumps.join(m, "file")
-    fallback = F.concat(F.lit("#"), F.sha2(F.concat_ws("|", "file", "path", F.col("blk").cast("string"),
-                                                      F.col("pos").cast("string")), 256))
-    return j.select(
-        "ord", *KEY, "file",
-        F.struct("ord", "path", "blk", "pos").alias("seq"),
-        F.coalesce("id", fallback).alias("id"),
-        "bad", "doc")
+    m = broadcast_if_small(small_frame(manifest.sparkSession, manifest.select("ord", *KEY, "file"), "manifest")[0])
+    named = dumps.where(F.col("id").isNotNull() | F.col("bad"))
+    text = F.sha2("doc", 256)
+    nth = F.row_number().over(Window.partitionBy("file", "_sha").orderBy("path", "blk", "pos"))
+    unnamed = (dumps.where(F.col("id").isNull() & ~F.col("bad")).withColumn("_sha", text)
+               .withColumn("id", F.concat(F.lit("#"), "_sha", F.lit("-"), nth.cast("string"))).drop("_sha"))
+    j = named.unionByName(unnamed).join(m, "file")
+    return j.select("ord", *KEY, "file", F.struct("ord", "path", "blk", "pos").alias("seq"),
+                    F.coalesce("id", F.lit("")).alias("id"), "bad", "doc")
 
 
 # Size of one merge task (and of one written file) for a type: a type is salted into
@@ -62,6 +62,12 @@ def touched_types(manifest: DataFrame, target_bytes: dict | None = None, rows_pe
     return add_target_salts(local, target_bytes, bytes_per_task) if target_bytes else local
 
 
+def with_counts(manifest: DataFrame, totals: list) -> DataFrame:
+    """The manifest with ``n_docs`` as counted in the dumps (a foreign manifest has none)."""
+    counted = local_frame(manifest.sparkSession, [(r["ord"], r["total"]) for r in totals], "ord int, n_docs long")
+    return manifest.drop("n_docs").join(broadcast_if_small(counted), "ord", "left")
+
+
 def add_target_salts(touched: DataFrame, target_bytes: dict, bytes_per_task: int = BYTES_PER_TASK) -> DataFrame:
     """Raise each type's ``salts`` to cover what the target already stores (bytes per ``tkey``)."""
     rows = touched.collect()
@@ -76,8 +82,8 @@ def touched_part(target: DataFrame, touched: DataFrame) -> DataFrame:
     its keys become a static partition filter, so untouched types of the target are not even listed."""
     if "tkey" in target.columns and "tkey" in touched.columns:
         _, rows = small_frame(touched.sparkSession, touched.select("tkey").distinct(), "touched types")
-        target = target.where(F.col("tkey").isin(sorted(r["tkey"] for r in rows)))
-    return target.join(F.broadcast(touched.select(*KEY)), KEY, "left_semi")
+        target = target.where(among("tkey", rows))
+    return target.join(broadcast_if_small(touched.select(*KEY)), KEY, "left_semi")
 
 
 def _target_seq():
@@ -95,19 +101,21 @@ def merge_types(target: DataFrame, loaded: DataFrame, touched: DataFrame) -> Dat
     type is split over ``salts`` tasks.  ``max_by`` over text is sort-based: it spills instead of failing.
     Output: ``(client, tenant, type, id, doc, tkey)``.
     """
-    t = F.broadcast(touched.select(*KEY, "tkey", "salts"))
+    t = broadcast_if_small(touched.select(*KEY, "tkey", "salts"))
     current = (touched_part(target, touched).select(*KEY, "id", "doc").join(t, KEY)
                .withColumn("seq", _target_seq()))
     new = loaded.where(~F.col("bad")).select(*KEY, "id", "doc", "seq").join(t, KEY)
     u = current.unionByName(new).withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")))
-    return (u.repartition("tkey", "salt")
+    tasks = touched.agg(F.sum("salts")).first()[0] or 1
+    least = int(touched.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (u.repartition(max(int(tasks), least), "tkey", "salt")
             .groupBy("tkey", "salt", *KEY, "id").agg(F.max_by("doc", "seq").alias("doc"))
             .select(*KEY, "id", "doc", "tkey"))
 
 
 def upsert(target: DataFrame, loaded: DataFrame, touched: DataFrame) -> DataFrame:
     """The whole new target as one frame: untouched types as they are, touched types merged."""
-    untouched = target.join(F.broadcast(touched.select(*KEY)), KEY, "left_anti").select(*KEY, "id", "doc")
+    untouched = target.join(broadcast_if_small(touched.select(*KEY)), KEY, "left_anti").select(*KEY, "id", "doc")
     return untouched.unionByName(merge_types(target, loaded, touched).select(*KEY, "id", "doc"))
 
 
@@ -129,8 +137,8 @@ def restore_totals(manifest: DataFrame, loaded: DataFrame, target: DataFrame, to
     first = ids.groupBy(*KEY, "id").agg(F.min("_ord").alias("_first"), F.max("_in").alias("_in"))
     ins = (first.where((F.col("_in") == 0) & F.col("_first").isNotNull())
            .groupBy(F.col("_first").alias("ord")).agg(F.count(F.lit(1)).alias("_ins")))
-    out = (manifest.select("ord", *KEY).join(F.broadcast(per_row), "ord", "left")
-           .join(F.broadcast(ins), "ord", "left"))
+    out = (manifest.select("ord", *KEY).join(broadcast_if_small(per_row), "ord", "left")
+           .join(broadcast_if_small(ins), "ord", "left"))
     total = F.coalesce("_total", F.lit(0)).cast("long")
     inserted = F.coalesce("_ins", F.lit(0)).cast("long")
     rejected = F.coalesce("_rejected", F.lit(0)).cast("long")
@@ -138,6 +146,20 @@ def restore_totals(manifest: DataFrame, loaded: DataFrame, target: DataFrame, to
                       (total - inserted - rejected).alias("replaced"), rejected.alias("rejected"))
 
 
+def assign_batches(loaded: DataFrame, size: int = DOCUMENTS_PER_REQUEST) -> DataFrame:
+    """``loaded`` with the insert request (``batch``) of each document: its number in its manifest row, in file order,
+    divided by ``size``.
+
+    A document's number is its position in its file plus the documents of the files before it, which takes one row per
+    dump file; no window runs over documents."""
+    files = loaded.groupBy("ord", F.col("seq.path").alias("path")).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("ord").orderBy("path").rowsBetween(Window.unboundedPreceding, -1))
+    files = files.select("ord", F.col("path").alias("_path"), F.coalesce(before, F.lit(0)).alias("_before"))
+    number = F.col("_before") + F.col("seq.pos")
+    return (loaded.withColumn("_path", F.col("seq.path")).join(files, ["ord", "_path"])
+            .withColumn("batch", F.floor(number / size).cast("int")).drop("_path", "_before"))
+
+
 def batch_plan(counts: DataFrame, size: int = DOCUMENTS_PER_REQUEST, n_col: str = "total") -> DataFrame:
     """The insert requests of each manifest row: ``size`` documents each, a short last one.
 

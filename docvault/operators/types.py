@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docvault.session import small_frame
+from docvault.session import broadcast_if_small, small_frame
 
 
 def _part(c):
@@ -37,7 +37,7 @@ def resolve_types(request: DataFrame, catalog: DataFrame) -> DataFrame:
     Unknown requested types vanish, a tenant without types yields no row, duplicate tenant rows each keep
     their own rows (``ord`` is part of the key).  The request is config-sized and broadcast.
     """
-    r = F.broadcast(small_frame(request.sparkSession, request, "backup request")[0].alias("r"))
+    r = broadcast_if_small(small_frame(request.sparkSession, request, "backup request")[0].alias("r"))
     c = catalog.alias("c")
     cond = ((F.col("r.client") == F.col("c.client")) & (F.col("r.tenant") == F.col("c.tenant"))
             & ((F.coalesce(F.size("r.types"), F.lit(0)) <= 0) | F.array_contains("r.types", F.col("c.type"))))

@@ -1,4 +1,4 @@
-"""V1 verify documents, V2 verify indexes, V3 drop types (the checks and clean-up of a migration)."""
+"""V1 verify documents, V2 verify indexes (the checks of a migration)."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from docvault.operators.indexes import manifest_indexes, prepare_for_creation
 from docvault.functions.json import index_name
 from docvault.operators.restore import touched_part
-from docvault.session import small_frame
+from docvault.session import broadcast_if_small
 
 KEY = ["client", "tenant", "type"]
 
@@ -29,7 +29,7 @@ def verify_documents(expected: DataFrame, target: DataFrame, touched: DataFrame)
         F.count_if(F.col("he").isNull()).alias("extra"),
         F.count_if(F.col("he").isNotNull() & F.col("ht").isNotNull() & (F.col("he") != F.col("ht"))).alias("different"),
         F.count_if(F.col("he") == F.col("ht")).alias("same"))
-    return (F.broadcast(touched.select(*KEY)).join(per_type, KEY, "left")
+    return (broadcast_if_small(touched.select(*KEY)).join(per_type, KEY, "left")
             .select(*KEY, *[F.coalesce(c, F.lit(0)).cast("long").alias(c)
                             for c in ("missing", "extra", "different", "same")]))
 
@@ -41,7 +41,8 @@ def verify_indexes(manifest: DataFrame, target_indexes: DataFrame) -> DataFrame:
     return wanted.join(have, KEY + ["name"], "left_anti").select("ord", *KEY, "pos", "name", "keys", "options")
 
 
-def drop_types(target: DataFrame, types: DataFrame) -> DataFrame:
-    """V3: the target without all documents of the given types (a map-only anti join on a broadcast list)."""
-    small, _ = small_frame(types.sparkSession, types.select(*KEY).distinct(), "types to drop")
-    return target.join(F.broadcast(small), KEY, "left_anti")
+def winners(loaded: DataFrame) -> DataFrame:
+    """What a restore of the loaded documents leaves per id: the last one's hash ``(client, tenant, type, id, sha)``.
+    The shuffle moves hashes, not documents."""
+    return (loaded.where(~F.col("bad")).select(*KEY, "id", "seq", F.sha2("doc", 256).alias("sha"))
+            .groupBy(*KEY, "id").agg(F.max_by("sha", "seq").alias("sha")))

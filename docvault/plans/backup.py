@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from docvault.operators.indexes import attach_indexes
 from docvault.operators.manifest import manifest_rows
-from docvault.operators.types import resolve_types
-from docvault.session import small_frame
+from docvault.operators.types import resolve_types, type_key
+from docvault.session import among, broadcast_if_small, small_frame
 from docvault.sinks.dumps import new_run_dir, write_array_dumps, write_dumps, write_jsonl_dumps, write_manifest
 from docvault.sources.store import type_catalog
 
@@ -41,13 +41,18 @@ def plan_backup(spark: SparkSession, store: DataFrame, request: DataFrame,
     ``catalog`` may be passed when it is already computed (e.g. a catalog table); default: S1 over the store.
     """
     if catalog is None:
-        catalog = type_catalog(store)
+        catalog = type_catalog(store, request)
     resolved_local, rows = small_frame(spark, resolve_types(request, catalog), "resolved types")
-    # static filters from the (bounded) resolved lists: partition pruning / row-group skipping on a store
-    # laid out by type, before the broadcast join picks the exact (client, tenant, type) triples
+    # static filters from short lists: partition pruning / row-group skipping on a store laid out by type, before the
+    # join picks the exact (client, tenant, type) triples
     for c in KEY:
-        store = store.where(F.col(c).isin(sorted({r[c] for r in rows})))
-    docs = store.join(F.broadcast(resolved_local), KEY)
+        store = store.where(among(c, rows))
+    if "tkey" in store.columns:  # a restored target: its partitions are the types
+        keyed = resolved_local.withColumn("tkey", type_key())
+        _, keys = small_frame(spark, keyed.select("tkey").distinct(), "type keys")
+        docs = store.where(among("tkey", keys)).join(broadcast_if_small(keyed), [*KEY, "tkey"])
+    else:
+        docs = store.join(broadcast_if_small(resolved_local), KEY)
     manifest = resolved_local
     if indexes is not None and not skip_indexes:
         manifest, _ = small_frame(spark, attach_indexes(resolved_local, indexes), "manifest")
@@ -65,6 +70,10 @@ def run_backup(spark: SparkSession, store: DataFrame, request: DataFrame, out_ro
     each dump gets ``ceil(n_docs / max_records_per_file)`` files instead of one small file per scan task
     and type.  A store laid out by type (the usual case) needs no shuffle and is written map-only.
     """
+    if fmt == "array" and compression:
+        raise ValueError("array dumps are not compressed: the array reader takes plain text only")
+    if fmt not in ("parquet", "jsonl", "array"):
+        raise ValueError(f"unknown dump format {fmt!r}")
     run_dir = new_run_dir(spark, out_root)
     manifest, docs = plan_backup(spark, store, request, indexes, skip_indexes, catalog)
     if cluster and fmt != "array":
@@ -75,13 +84,11 @@ def run_backup(spark: SparkSession, store: DataFrame, request: DataFrame, out_ro
         write_dumps(docs, run_dir, max_records_per_file, compression)
     elif fmt == "jsonl":
         write_jsonl_dumps(docs, run_dir, max_records_per_file, compression)
-    elif fmt == "array":
-        write_array_dumps(docs, run_dir, array_bytes, compression)
     else:
-        raise ValueError(f"unknown dump format {fmt!r}")
+        write_array_dumps(docs, run_dir, array_bytes)
     rows = manifest_rows(manifest)
     for r in rows:
-        log.info("Documents for tenant '%s' and type '%s' written (%s).", r["tenant"], r["type"], r["n_docs"])
+        log.info("dumped %s/%s/%s: %s documents", r["client"], r["tenant"], r["type"], r["n_docs"])
     path = write_manifest(spark, run_dir, rows)
-    log.info("Backup of %d types written to %s.", len(rows), run_dir)
+    log.info("manifest with %d rows in %s", len(rows), run_dir)
     return BackupResult(run_dir, rows, path)

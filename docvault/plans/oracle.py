@@ -245,3 +245,35 @@ WHERE NOT ((client = 'analytics' AND tenant = 'tenant_1' AND type IN ('click', '
            OR (client = 'corpus' AND tenant = 'en' AND type = 'src0'))
 GROUP BY client, tenant, type""",
 }
+
+# each type's two definitions of the text queries, as they are written
+TYPED = """
+typed AS (
+    SELECT client, tenant, type, 0 AS pos, '{"k":1.50,"n":' || n_docs || '.50}' AS keys,
+           '{"z":1e2,"weights":{"$all":1},"a":' || n_docs || '.50,"name":"w"}' AS options,
+           '{"z":1e2,"a":' || n_docs || '.50,"name":"w"}' AS sent
+    FROM catalog
+    UNION ALL
+    SELECT client, tenant, type, 1, '{"b":1,"a":' || n_docs || '}',
+           '{"weights":"{\\"$all\\":1}","b":' || n_docs || '.10,"a":12345678901234567890123}',
+           '{"weights":"{\\"$all\\":1}","b":' || n_docs || '.10,"a":12345678901234567890123}'
+    FROM catalog
+)"""
+
+SQL |= {
+    "backup_skip_indexes": _with(*BASE, MANIFEST) + "SELECT ord, client, tenant, type, file, n_docs, false AS has_indexes FROM manifest",
+    "batch_assign": SQL["batch_sizes"],
+    "stream_restore_conflicts": """
+SELECT 'corpus' AS client, 'all' AS tenant, 'doc' AS type, CAST(doc_id AS VARCHAR) AS id, doc_id % 3 = 0 AS stale,
+       CASE WHEN doc_id % 3 = 0 THEN NULL ELSE CAST(n_chars AS DOUBLE) END AS payload
+FROM documents""",
+    "restore_idless": """
+SELECT CAST(run AS INTEGER) AS run, count(*) AS total, CASE WHEN run = 0 THEN count(*) ELSE 0 END AS inserted,
+       CASE WHEN run = 0 THEN 0 ELSE count(*) END AS replaced
+FROM documents, (VALUES (0), (1)) AS r(run) GROUP BY run""",
+    "manifest_text": _with(*BASE, MANIFEST, TYPED) + """
+SELECT m.ord, client, tenant, type, CAST(pos AS INTEGER) AS pos, keys, options
+FROM manifest m JOIN typed USING (client, tenant, type)""",
+    "index_options_text": _with(STORE, CATALOG, TYPED) + "SELECT client, tenant, type, pos, sent AS options FROM typed",
+    "migrate_onward": SQL["migrate"],
+}

@@ -13,21 +13,23 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docvault.model import INDEX_SCHEMA
-from docvault.operators.indexes import ensure_indexes, usable_indexes
+from docvault.model import DOCUMENTS_PER_REQUEST, INDEX_SCHEMA
+from docvault.operators.indexes import ensure_indexes, manifest_indexes, usable_indexes
 from docvault.operators.manifest import select_manifest
-from docvault.operators.restore import batch_plan, load_documents, touched_types
+from docvault.operators.restore import assign_batches, batch_plan, load_documents, touched_types
 from docvault.operators.types import resolve_types
-from docvault.operators.verify import verify_documents, verify_indexes
+from docvault.operators.verify import verify_documents, verify_indexes, winners
 from docvault.plans.backup import plan_backup, run_backup
 from docvault.plans.migrate import migrate
-from docvault.plans.restore import restore_frames, run_restore
+from docvault.plans.restore import indexes_root, restore_frames, run_restore
+from docvault.sinks.dumps import new_run_dir, write_dumps, write_jsonl_dumps, write_manifest
+from docvault.sinks.snapshot import read_snapshot
 from docvault.sinks.target import drop_types_in_place, read_target, write_types
 from docvault.functions.json import has_weights_all, index_name, prepare_options
 from docvault.session import scratch_path, small_frame, write_text_file
 from docvault.sources.config import read_backup_config, read_manifest, request_frame
 from docvault.sources.dumps import read_dumps
-from docvault.sources.store import index_catalog, store_from_tables, type_catalog
+from docvault.sources.store import documents_store, index_catalog, store_from_tables, type_catalog
 from docvault.streaming.restore import stream_restore
 
 KEY = ["client", "tenant", "type"]
@@ -222,7 +224,8 @@ def _restore_into_stale(spark, sf_dir, with_indexes=False):
 def q_batch_sizes(spark, sf_dir):
     b = _backup(spark, sf_dir, with_indexes=False)
     m = read_manifest(spark, b.manifest_path)
-    _, _, totals = restore_frames(spark, b.run_dir, m, read_target(spark, scratch_path(spark, "q-empty")))
+    dumps = read_dumps(spark, b.run_dir, m.collect())
+    _, _, totals, _ = restore_frames(spark, dumps, m, read_target(spark, scratch_path(spark, "q-empty")))
     return batch_plan(totals.select("ord", *KEY, "total")).select(
         "ord", *KEY, F.col("batch").cast("int").alias("batch"), "docs", "full")
 
@@ -266,10 +269,7 @@ def q_verify_documents(spark, sf_dir):
                .unionByName(t.where(n % 13 == 3).withColumn("id", F.concat(F.lit("-"), F.col("id")))))
     m = read_manifest(spark, b.manifest_path)
     loaded = load_documents(read_dumps(spark, b.run_dir, m.collect()), m)
-    # the winner of each id, carried as its hash: the shuffle moves hashes, not documents
-    expected = (loaded.select(*KEY, "id", "seq", F.sha2("doc", 256).alias("sha"))
-                .groupBy(*KEY, "id").agg(F.max_by("sha", "seq").alias("sha")))
-    return verify_documents(expected, damaged, touched_types(m))
+    return verify_documents(winners(loaded), damaged, touched_types(m))
 
 
 def q_verify_indexes(spark, sf_dir):
@@ -286,6 +286,97 @@ def q_drop_type(spark, sf_dir):
     return read_target(spark, root).groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"))
 
 
+# ---------------------------------------------------------------- conflicts, texts kept, onward migration
+
+def q_backup_skip_indexes(spark, sf_dir):
+    """The same backup with indexes left out, read back."""
+    store, cat, ix = _env(spark, sf_dir)
+    b = run_backup(spark, store, standard_request(spark), scratch_path(spark, "q-backups"), ix, skip_indexes=True, catalog=cat)
+    return read_manifest(spark, b.manifest_path).select("ord", *KEY, "file", "n_docs", F.col("indexes").isNotNull().alias("has_indexes"))
+
+
+def q_batch_assign(spark, sf_dir):
+    """Every restored document's insert request, counted."""
+    b = _backup(spark, sf_dir, with_indexes=False)
+    m = read_manifest(spark, b.manifest_path)
+    docs = assign_batches(load_documents(read_dumps(spark, b.run_dir, m.collect()), m))
+    return (docs.groupBy("ord", *KEY, "batch").agg(F.count(F.lit(1)).alias("docs"))
+            .withColumn("full", F.col("docs") == DOCUMENTS_PER_REQUEST))
+
+
+def _conflicting_run(spark, sf_dir):
+    """One type, two manifest rows: all documents, then stale text for the ids divisible by 3.  The second row's dump comes
+    first by name, so arrival order and manifest order differ."""
+    docs = documents_store(spark, sf_dir).select("id", "doc")
+    old = docs.where(F.col("id").cast("long") % 3 == 0)
+    old = old.select("id", F.concat(F.lit('{"_id":'), F.col("id"), F.lit(',"stale":true}')).alias("doc"))
+    run_dir = new_run_dir(spark, scratch_path(spark, "q-backups"))
+    parts = docs.withColumn("file", F.lit("f_b")).unionByName(old.withColumn("file", F.lit("f_a")))
+    write_dumps(parts, run_dir, max_records_per_file=5_000)
+    n = {r["file"]: r["n"] for r in parts.groupBy("file").agg(F.count(F.lit(1)).alias("n")).collect()}
+    write_manifest(spark, run_dir, [{"client": "corpus", "tenant": "all", "type": "doc", "file": f, "n_docs": n.get(f, 0)} for f in ("f_b", "f_a")])
+    return run_dir
+
+
+def q_stream_restore_conflicts(spark, sf_dir):
+    root = scratch_path(spark, "q-target")
+    stream_restore(spark, _conflicting_run(spark, sf_dir), root, scratch_path(spark, "q-stream-ckpt"), max_files_per_trigger=1)
+    return target_view(read_target(spark, root))
+
+
+def q_restore_idless(spark, sf_dir):
+    """Two dumps of the same documents without ``_id``, both restored: the second one only replaces."""
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = d.select(F.to_json(F.struct("text", "lang", "source")).alias("doc"))
+    root, n = scratch_path(spark, "q-target"), d.count()
+    out = None
+    for k in range(2):
+        run_dir = new_run_dir(spark, scratch_path(spark, "q-backups"))
+        write_jsonl_dumps(docs.withColumn("file", F.lit(f"f_{k}")), run_dir)
+        write_manifest(spark, run_dir, [{"client": "corpus", "tenant": "all", "type": "doc", "file": f"f_{k}", "n_docs": n}])
+        t = run_restore(spark, run_dir, root, skip_indexes=True).totals.select(F.lit(k).alias("run"), "total", "inserted", "replaced")
+        out = t if out is None else out.unionByName(t)
+    return out
+
+
+def _typed_indexes(catalog):
+    """Index definitions with numbers and orders that a rewrite would change, derived from each type's count."""
+    c = catalog.select(*KEY, "n_docs")
+    n = F.col("n_docs").cast("string")
+    parts = [
+        (F.concat(F.lit('{"k":1.50,"n":'), n, F.lit(".50}")), F.concat(F.lit('{"z":1e2,"weights":{"$all":1},"a":'), n, F.lit('.50,"name":"w"}'))),
+        (F.concat(F.lit('{"b":1,"a":'), n, F.lit("}")), F.concat(F.lit('{"weights":"{\\"$all\\":1}","b":'), n, F.lit('.10,"a":12345678901234567890123}'))),
+    ]
+    out = None
+    for pos, (keys, options) in enumerate(parts):
+        t = c.select(*KEY, F.lit(pos).cast("int").alias("pos"), keys.alias("keys"), options.alias("options"))
+        out = t if out is None else out.unionByName(t)
+    return out
+
+
+def q_manifest_text(spark, sf_dir):
+    """K2 → S5: index definitions through a written manifest and back, text unchanged."""
+    store, cat, _ = _env(spark, sf_dir)
+    b = run_backup(spark, store, standard_request(spark), scratch_path(spark, "q-backups"), _typed_indexes(cat), catalog=cat)
+    return manifest_indexes(read_manifest(spark, b.manifest_path))
+
+
+def q_index_options_text(spark, sf_dir):
+    """T4 on options whose member order and numbers must survive, and on ``weights`` that is text."""
+    ix = _typed_indexes(type_catalog(_store(spark, sf_dir)))
+    return ix.select(*KEY, "pos", prepare_options("options").alias("options"))
+
+
+def q_migrate_onward(spark, sf_dir):
+    """C3 twice, A → B → C, each checked by V1 and V2: documents of C, with the number of its type's indexes."""
+    root_b, root_c = scratch_path(spark, "q-env-b"), scratch_path(spark, "q-env-c")
+    store, _, ix = _env(spark, sf_dir)
+    migrate(spark, store, standard_request(spark), scratch_path(spark, "q-backups"), root_b, ix, verify=True)
+    have = read_snapshot(spark, indexes_root(root_b), INDEX_SCHEMA)
+    migrate(spark, read_target(spark, root_b), standard_request(spark), scratch_path(spark, "q-backups"), root_c, have, verify=True)
+    return target_view(read_target(spark, root_c))
+
+
 QUERIES = {
     "type_catalog": q_type_catalog,
     "resolve_types": q_resolve_types,
@@ -307,4 +398,11 @@ QUERIES = {
     "verify_documents": q_verify_documents,
     "verify_indexes": q_verify_indexes,
     "drop_type": q_drop_type,
+    "backup_skip_indexes": q_backup_skip_indexes,
+    "batch_assign": q_batch_assign,
+    "stream_restore_conflicts": q_stream_restore_conflicts,
+    "restore_idless": q_restore_idless,
+    "manifest_text": q_manifest_text,
+    "index_options_text": q_index_options_text,
+    "migrate_onward": q_migrate_onward,
 }

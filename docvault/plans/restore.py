@@ -1,8 +1,8 @@
-"""C2 restore job: manifest → ensure indexes → read all dumps → totals → upsert of the touched types.
+"""C2 restore job: manifest → read all dumps → totals and checks → staged upsert of the touched types → indexes → switch.
 
-``restore_frames`` is the side-effect-free core.  ``run_restore`` adds the index step, checks the totals
-(rejected documents fail the job before anything is written) and then replaces the touched types of the
-target in one write; types the manifest does not name are neither read nor written.
+The checks (a missing or incomplete dump, text that is not JSON) come before anything is written.  The new content of
+the touched types is staged as a version that nothing names; indexes are created and the version is made current only
+after it is complete.  Types the manifest does not name are neither read nor written.
 """
 
 from __future__ import annotations
@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from docvault.model import INDEX_SCHEMA, MANIFEST_NAME, RestoreError
 from docvault.operators.indexes import ensure_indexes
 from docvault.operators.restore import (add_target_salts, load_documents, merge_types, restore_totals,
-                                       touched_types)
+                                       touched_types, with_counts)
 from docvault.session import small_frame
 from docvault.sinks.snapshot import publish, read_snapshot
-from docvault.sinks.target import partition_bytes, read_target, write_types
+from docvault.sinks.target import partition_bytes, read_target, stage_types, switch_types
 from docvault.sources.config import read_manifest
 from docvault.sources.dumps import read_dumps
 
@@ -36,18 +36,60 @@ def indexes_root(target_root: str) -> str:
     return f"{target_root.rstrip('/')}/indexes"
 
 
-def restore_frames(spark: SparkSession, run_dir: str, manifest_local: DataFrame, target: DataFrame,
-                   target_root: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(loaded, merged, totals)``: the documents read from the dumps, the new content of the touched
-    types, and the per-row totals.  Nothing is written.  With ``target_root`` the merge is also salted by
-    what the target already stores for each type."""
-    rows = manifest_local.collect()
-    loaded = load_documents(read_dumps(spark, run_dir, rows), manifest_local)
-    touched = touched_types(manifest_local)
+def restore_frames(spark: SparkSession, dumps: DataFrame, manifest_local: DataFrame, target: DataFrame,
+                   target_root: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame, list]:
+    """``(loaded, merged, totals, total rows)``: the documents read from the dumps, the new content of the touched types,
+    and the per-row totals.  The target is not written.
+
+    The totals are evaluated first (ids only), so the merge is split by the documents that the dumps really hold, and
+    with ``target_root`` by what the target already stores for each type."""
+    loaded = load_documents(dumps, manifest_local)
+    named = touched_types(manifest_local)
+    totals, rows = small_frame(spark, restore_totals(manifest_local, loaded, target, named), "restore totals")
+    touched = touched_types(with_counts(manifest_local, list(rows)))
     if target_root is not None:
-        sizes = partition_bytes(spark, target_root, [r["tkey"] for r in touched.collect()])
-        touched = add_target_salts(touched, sizes)
-    return loaded, merge_types(target, loaded, touched), restore_totals(manifest_local, loaded, target, touched)
+        touched = add_target_salts(touched, partition_bytes(spark, target_root, [r["tkey"] for r in touched.collect()]))
+    return loaded, merge_types(target, loaded, touched), totals, rows
+
+
+def check_complete(manifest_local: DataFrame, totals) -> None:
+    """A dump with fewer or more documents than its manifest row counted has lost or gained a part."""
+    counted = {r["ord"]: r["total"] for r in totals}
+    for r in manifest_local.select("ord", "file", "n_docs").toLocalIterator():
+        if r["n_docs"] is not None and r["n_docs"] != counted.get(r["ord"], 0):
+            raise RestoreError(f"dump {r['file']} holds {counted.get(r['ord'], 0)} documents, its manifest row says {r['n_docs']}")
+
+
+def restore_dumps(spark: SparkSession, dumps: DataFrame, manifest_local: DataFrame, target_root: str, run_name: str,
+                  skip_indexes: bool = False, strict: bool = True) -> RestoreResult:
+    """Restore documents that were read from dumps: check everything, stage the documents, then publish indexes and
+    documents.  A failed check changes nothing."""
+    loaded, merged, totals, rows = restore_frames(spark, dumps, manifest_local, read_target(spark, target_root), target_root)
+    if "n_docs" in manifest_local.columns:
+        check_complete(manifest_local, rows)
+    bad = [r for r in rows if r["rejected"]]
+    if bad:
+        first = bad[0]
+        msg = (f"{sum(r['rejected'] for r in bad)} dumped texts are not JSON objects, "
+               f"the first in {first['client']}/{first['tenant']}/{first['type']}")
+        if strict:
+            raise RestoreError(msg)
+        rejects = f"{target_root.rstrip('/')}/rejects/{run_name}"
+        loaded.where("bad").select("ord", *KEY, "file", "doc").write.mode("overwrite").parquet(rejects)
+        log.warning("%s; written to %s", msg, rejects)
+    ver = stage_types(merged, target_root)
+    created = 0
+    if not skip_indexes and "indexes" in manifest_local.columns:
+        have = read_snapshot(spark, indexes_root(target_root), INDEX_SCHEMA)
+        made, new_indexes = ensure_indexes(manifest_local, have)
+        created = made.count()
+        if created:
+            publish(spark, indexes_root(target_root), new_indexes.coalesce(1))
+    switch_types(spark, target_root, ver)
+    for r in rows:
+        log.info("restored %s/%s/%s: %d documents, %d new, %d replaced", r["client"], r["tenant"], r["type"], r["total"],
+                 r["inserted"], r["replaced"])
+    return RestoreResult(totals.orderBy("ord"), created)
 
 
 def run_restore(spark: SparkSession, run_dir: str, target_root: str, skip_indexes: bool = False,
@@ -55,29 +97,6 @@ def run_restore(spark: SparkSession, run_dir: str, target_root: str, skip_indexe
     """C2.  ``manifest`` overrides ``<run_dir>/backup.json`` (e.g. a selected or retargeted one)."""
     if manifest is None:
         manifest = read_manifest(spark, f"{run_dir}/{MANIFEST_NAME}")
-    manifest_local, _ = small_frame(spark, manifest, "manifest")
-    created = 0
-    if not skip_indexes and "indexes" in manifest_local.columns:
-        tix = read_snapshot(spark, indexes_root(target_root), INDEX_SCHEMA)
-        made, new_ix = ensure_indexes(manifest_local, tix)
-        _, made_rows = small_frame(spark, made, "created indexes")
-        created = len(made_rows)
-        if created:
-            publish(spark, indexes_root(target_root), new_ix.coalesce(1))
-    target = read_target(spark, target_root)
-    loaded, merged, totals = restore_frames(spark, run_dir, manifest_local, target, target_root)
-    totals_local, trows = small_frame(spark, totals, "restore totals")
-    bad = [r for r in trows if r["rejected"]]
-    if bad:
-        msg = (f"{sum(r['rejected'] for r in bad)} documents are not JSON "
-               f"(first: tenant '{bad[0]['tenant']}' type '{bad[0]['type']}')")
-        if strict:
-            raise RestoreError(msg)
-        rej = f"{target_root.rstrip('/')}/rejects/{run_dir.rstrip('/').rsplit('/', 1)[-1]}"
-        loaded.where("bad").select("ord", *KEY, "file", "doc").write.mode("overwrite").parquet(rej)
-        log.warning("%s; written to %s", msg, rej)
-    write_types(merged, target_root)
-    for r in sorted(trows, key=lambda x: x["ord"]):
-        log.info("Restored tenant '%s' type '%s'. Total %d documents, (%d inserted, %d replaced).",
-                 r["tenant"], r["type"], r["total"], r["inserted"], r["replaced"])
-    return RestoreResult(totals_local.orderBy("ord"), created)
+    manifest_local, rows = small_frame(spark, manifest, "manifest")
+    return restore_dumps(spark, read_dumps(spark, run_dir, rows), manifest_local, target_root,
+                         run_dir.rstrip("/").rsplit("/", 1)[-1], skip_indexes, strict)

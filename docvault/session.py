@@ -7,15 +7,22 @@ unset (local tests) do we create one.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Upper bound for metadata frames (requests, resolved types, manifests) that are kept on the driver and
-# broadcast.  One row per document type; above it we refuse to broadcast and let Spark shuffle instead.
-MAX_BROADCAST_ROWS = 200_000
+# Up to so many rows a metadata frame (requests, resolved types, manifests: one row per document type) is kept as a
+# local relation.  A larger one is a written table that is read where it is needed and joined as Spark sees fit.
+MAX_LOCAL_ROWS = 200_000
+# A frame is only broadcast when Spark's own size estimate proves it to be no larger.
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+# Longest list of values in a static filter.
+MAX_PRUNE_VALUES = 2_000
 
 
 def build_session(master: str | None = None, app: str = "docvault", shuffle_partitions: int | None = None,
@@ -42,11 +49,12 @@ def build_session(master: str | None = None, app: str = "docvault", shuffle_part
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; created under /tmp only when the session names none."""
+    """The cluster's shared checkpoint folder.  Only a local session that names none gets a temporary one; on a cluster
+    a folder of one machine would be lost to the others, so that is an error."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        # only reached when the session names no folder (local runs and tests): the context's checkpoint
-        # directory is settable at runtime, the static ``spark.checkpoint.dir`` config is not
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="docvault-ckpt-"))
         d = spark.sparkContext.getCheckpointDir()
     return d.rstrip("/")
@@ -108,22 +116,54 @@ def read_text_file(spark: SparkSession, path: str) -> str:
     return bytes(data).decode("utf-8")
 
 
-def small_frame(spark: SparkSession, df: DataFrame, what: str,
-                max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, list]:
-    """Materialise a metadata frame on the driver with a proven size bound.
+class StoredRows:
+    """The rows of a written metadata table, read again at each iteration, a partition at a time."""
 
-    Returns a local DataFrame (safe to broadcast) and its rows.  Raises when the frame has more than
-    ``max_rows`` rows: such a frame is not metadata and must not be broadcast or collected.
+    def __init__(self, df: DataFrame):
+        self.df = df
+
+    def __iter__(self):
+        return self.df.toLocalIterator()
+
+    def __bool__(self) -> bool:
+        return True
+
+
+def small_frame(spark: SparkSession, df: DataFrame, what: str, max_rows: int | None = None):
+    """Evaluate a metadata frame once: ``(frame, rows)``.
+
+    Up to ``max_rows`` (default ``MAX_LOCAL_ROWS``) rows it becomes a local relation and a list.  A larger one is
+    written to the shared folder; its rows are then a :class:`StoredRows`, to be iterated but not collected.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"{what}: more than {max_rows} rows; refusing to broadcast or collect it")
-    return local_frame(spark, rows, df.schema), rows
+    limit = MAX_LOCAL_ROWS if max_rows is None else max_rows
+    rows = df.limit(limit + 1).collect()
+    if len(rows) <= limit:
+        return local_frame(spark, rows, df.schema), rows
+    path = scratch_path(spark, "metadata-" + what.replace(" ", "-"))
+    df.write.parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    return stored, StoredRows(stored)
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint when its estimated size allows it; else as it is (an ordinary join)."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return F.broadcast(df) if size <= max_bytes else df
+
+
+def among(column: str, rows) -> "F.Column":
+    """``column IN (its values in rows)``, to prune a scan early; always true for rows that aren't a short list, where
+    the join that follows does the work."""
+    if isinstance(rows, list) and len(rows) <= MAX_PRUNE_VALUES:
+        return F.col(column).isin(sorted({r[column] for r in rows}))
+    return F.lit(True)
 
 
 def local_frame(spark: SparkSession, rows: list, schema) -> DataFrame:
     """A frame of driver-side rows, shipped as Arrow batches (decoded in the JVM: scanning it needs no
     Python worker); falls back to the plain row path for types Arrow cannot carry."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
     try:
         import pandas as pd
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from docvault.functions.json import strip_nulls
 from docvault.model import ARRAYS_DIR, DUMPS_DIR, JSONL_DIR, MANIFEST_NAME
-from docvault.session import path_exists, small_frame, write_text_file
+from docvault.session import broadcast_if_small, path_exists, small_frame, write_text_file
 
 
 def new_run_dir(spark: SparkSession, out_root: str) -> str:
@@ -61,19 +61,18 @@ def write_jsonl_dumps(docs: DataFrame, run_dir: str, max_records_per_file: int =
     w.text(f"{run_dir}/{JSONL_DIR}")
 
 
-def write_array_dumps(docs: DataFrame, run_dir: str, target_bytes: int = 256 * 1024 * 1024,
-                      compression: str | None = None) -> None:
-    """K1 (JSON arrays): ``docs`` has ``file``, ``id`` and ``doc``.
+def write_array_dumps(docs: DataFrame, run_dir: str, target_bytes: int = 256 * 1024 * 1024) -> None:
+    """K1 (JSON arrays): ``docs`` has ``file``, ``id`` and ``doc``; the text is written as it is, line breaks included.
 
     Array files cannot be split on read and each must fit one task's memory there, so every dump is salted
     into ``ceil(bytes / target_bytes)`` chunk files (sizes from one aggregate over the dump, one row per
     dump).  Each chunk is written by one task; the window that places brackets and commas spans one chunk.
     """
     spark = docs.sparkSession
-    sizes = docs.groupBy("file").agg(F.sum(F.length("doc")).alias("_bytes"))
+    sizes = docs.groupBy("file").agg(F.sum(F.octet_length("doc")).alias("_bytes"))
     sizes_local, _ = small_frame(spark, sizes, "dump sizes")
     chunks = F.greatest(F.lit(1), F.ceil(F.col("_bytes") / F.lit(target_bytes))).cast("long")
-    salted = (docs.join(F.broadcast(sizes_local), "file")
+    salted = (docs.join(broadcast_if_small(sizes_local), "file")
               .withColumn("chunk", F.pmod(F.xxhash64("id", "doc"), chunks).cast("int")))
     w = Window.partitionBy("file", "chunk").orderBy("id", "doc")
     w_all = Window.partitionBy("file", "chunk")
@@ -82,12 +81,9 @@ def write_array_dumps(docs: DataFrame, run_dir: str, target_bytes: int = 256 * 1
              .withColumn("_n", F.count(F.lit(1)).over(w_all))
              .select("file", "chunk", F.concat(
                  F.when(F.col("_rn") == 1, F.lit("[")).otherwise(F.lit(",")),
-                 F.regexp_replace("doc", "[\\r\\n]", " "),
+                 F.col("doc"),
                  F.when(F.col("_rn") == F.col("_n"), F.lit("]")).otherwise(F.lit(""))).alias("value")))
-    wr = lines.write.partitionBy("file", "chunk").mode("errorifexists")
-    if compression:
-        wr = wr.option("compression", compression)
-    wr.text(f"{run_dir}/{ARRAYS_DIR}")
+    lines.write.partitionBy("file", "chunk").mode("errorifexists").text(f"{run_dir}/{ARRAYS_DIR}")
 
 
 def _raw(v: str | None) -> str | None:

@@ -1,47 +1,46 @@
-"""Snapshots of the target's index table: immutable parquet directories and a pointer file naming the
-current one.
+"""Numbered snapshots of small tables: immutable parquet directories ``v<number>``; the highest complete one is current.
 
-The index table is metadata (a handful of definitions per type), so it is rewritten whole: a new snapshot
-directory is written and then the pointer is replaced (a rename); a failed job leaves the previous
-snapshot current.  The documents themselves are not kept this way (see ``sinks/target.py``).
+A snapshot is complete when its ``_SUCCESS`` file is there, which Spark writes last, so there is no pointer to replace
+and no moment without a current snapshot: a job that is lost while writing leaves the previous one current, and its
+number is skipped by the next writer.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from docvault.session import path_exists, read_text_file, write_text_file
+from docvault.session import list_names, path_exists
 
-POINTER = "_CURRENT"
+_NAME = re.compile(r"v(\d{8})")
 
 
-def current(spark: SparkSession, root: str) -> dict | None:
-    p = f"{root}/{POINTER}"
-    if not path_exists(spark, p):
-        return None
-    return json.loads(read_text_file(spark, p))
+def numbers(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of all snapshot directories, complete or not, ascending."""
+    return sorted(int(m[1]) for n, is_dir in list_names(spark, root) if is_dir and (m := _NAME.fullmatch(n)))
+
+
+def directory(root: str, number: int) -> str:
+    return f"{root.rstrip('/')}/v{number:08d}"
+
+
+def current(spark: SparkSession, root: str) -> int | None:
+    """Number of the current snapshot."""
+    return next((n for n in reversed(numbers(spark, root)) if path_exists(spark, f"{directory(root, n)}/_SUCCESS")), None)
 
 
 def read_snapshot(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     """The current snapshot, or an empty frame of ``schema`` when nothing was published yet."""
-    cur = current(spark, root)
-    if cur is None:
+    n = current(spark, root)
+    if n is None:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{root}/{cur['dir']}")
-
-
-def publish(spark: SparkSession, root: str, df: DataFrame, tag: str | None = None,
-            sort_cols: list[str] | None = None) -> dict:
-    """Write ``df`` as the next snapshot and make it current.  Returns the new pointer."""
-    cur = current(spark, root)
-    version = (cur["version"] if cur else 0) + 1
-    d = f"v{version:06d}-{uuid.uuid4().hex[:8]}"
-    out = df.sortWithinPartitions(*sort_cols) if sort_cols else df
-    out.write.mode("errorifexists").parquet(f"{root}/{d}")
-    ptr = {"version": version, "dir": d, "tag": tag}
-    write_text_file(spark, f"{root}/{POINTER}", json.dumps(ptr), overwrite=True)
-    return ptr
+    return spark.read.schema(schema).parquet(directory(root, n))
+
+
+def publish(spark: SparkSession, root: str, df: DataFrame) -> int:
+    """Write ``df`` as the next snapshot, which makes it current.  Returns its number."""
+    n = max(numbers(spark, root), default=0) + 1
+    df.write.mode("errorifexists").parquet(directory(root, n))
+    return n

@@ -1,22 +1,26 @@
-"""The target document store: a parquet table partitioned by a hash of the type key (``tkey``).
+"""The target document store: versions of each type and one small catalog that says which version is current.
 
-A restore replaces only the partitions of the types it touches, with Spark's *dynamic* partition
-overwrite: the touched partitions are read (partition-pruned), merged with the restored documents and
-written back in the same job; every other type is neither read nor rewritten.  The new files are staged by
-the commit protocol and swapped in only after all tasks succeeded, so a failed job leaves the target as it
-was.  Re-running a restore is idempotent (restored documents win over what is there).
+``documents/ver=<n>/tkey=<type key>/`` holds the documents of a type as one restore wrote them; ``types/`` holds the
+catalog ``(tkey, ver)`` as numbered snapshots.  A restore writes the new content of the types it touches as a new
+version and then publishes a catalog that names it.  Nothing that is current is deleted or renamed, so a job that is
+lost at any moment leaves the old content readable, and running it again gives the same result.  Other types are
+neither read nor rewritten.  ``vacuum`` deletes versions that the current catalog no longer names.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docvault.model import STORE_SCHEMA
 from docvault.operators.types import type_key
-from docvault.session import hadoop_fs, path_exists
+from docvault.session import broadcast_if_small, hadoop_fs, list_names, path_exists, small_frame
+from docvault.sinks.snapshot import publish, read_snapshot
 
 TARGET_SCHEMA = T.StructType(list(STORE_SCHEMA.fields) + [T.StructField("tkey", T.StringType(), True)])
+STORED_SCHEMA = T.StructType(list(TARGET_SCHEMA.fields) + [T.StructField("ver", T.IntegerType(), True)])
+CATALOG_SCHEMA = T.StructType([T.StructField("tkey", T.StringType(), True), T.StructField("ver", T.IntegerType(), True)])
 KEY = ["client", "tenant", "type"]
 
 
@@ -24,12 +28,30 @@ def docs_root(target_root: str) -> str:
     return f"{target_root.rstrip('/')}/documents"
 
 
+def catalog_root(target_root: str) -> str:
+    return f"{target_root.rstrip('/')}/types"
+
+
+def read_catalog(spark: SparkSession, target_root: str) -> DataFrame:
+    """The current version of each stored type: ``(tkey, ver)``, one row per type."""
+    return read_snapshot(spark, catalog_root(target_root), CATALOG_SCHEMA)
+
+
 def read_target(spark: SparkSession, target_root: str) -> DataFrame:
-    """The target's documents ``(client, tenant, type, id, doc, tkey)``; empty when nothing is there yet."""
+    """The target's documents ``(client, tenant, type, id, doc, tkey)``; empty when nothing is there yet.
+
+    Only the current versions' partitions are read: the catalog is small, and the join on the two partition columns
+    prunes the scan."""
     p = docs_root(target_root)
     if not path_exists(spark, p):
         return spark.createDataFrame([], TARGET_SCHEMA)
-    return spark.read.schema(TARGET_SCHEMA).parquet(p)
+    now, rows = small_frame(spark, read_catalog(spark, target_root), "stored types")
+    if not rows:
+        return spark.createDataFrame([], TARGET_SCHEMA)
+    docs = spark.read.schema(STORED_SCHEMA).parquet(p)
+    if isinstance(rows, list):
+        docs = docs.where(F.col("ver").isin(sorted({r["ver"] for r in rows})))
+    return docs.join(broadcast_if_small(now), ["tkey", "ver"], "left_semi").select(*KEY, "id", "doc", "tkey")
 
 
 def with_tkey(df: DataFrame) -> DataFrame:
@@ -38,32 +60,61 @@ def with_tkey(df: DataFrame) -> DataFrame:
     return df.select(*KEY, "id", "doc", type_key().alias("tkey"))
 
 
+def _versions(spark: SparkSession, target_root: str) -> list[int]:
+    return [int(n[4:]) for n, is_dir in list_names(spark, docs_root(target_root)) if is_dir and n.startswith("ver=")]
+
+
+def stage_types(df: DataFrame, target_root: str) -> int:
+    """Write the types present in ``df`` as a new version that nothing names yet."""
+    spark = df.sparkSession
+    ver = max(_versions(spark, target_root), default=0) + 1
+    with_tkey(df).write.mode("errorifexists").partitionBy("tkey").parquet(f"{docs_root(target_root)}/ver={ver}")
+    return ver
+
+
+def switch_types(spark: SparkSession, target_root: str, ver: int) -> None:
+    """Make the staged version current for the types it holds."""
+    names = [n[5:] for n, is_dir in list_names(spark, f"{docs_root(target_root)}/ver={ver}") if is_dir and n.startswith("tkey=")]
+    new = spark.createDataFrame([(k, ver) for k in names], CATALOG_SCHEMA)
+    old = read_catalog(spark, target_root)
+    publish(spark, catalog_root(target_root), old.join(new.select("tkey"), "tkey", "left_anti").unionByName(new).coalesce(1))
+
+
 def write_types(df: DataFrame, target_root: str) -> None:
     """Replace exactly the types present in ``df`` (``client, tenant, type, id, doc``)."""
-    (with_tkey(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("tkey").parquet(docs_root(target_root)))
+    switch_types(df.sparkSession, target_root, stage_types(df, target_root))
 
 
 def partition_bytes(spark: SparkSession, target_root: str, tkeys: list[str]) -> dict:
-    """Stored bytes of the given type partitions (file-system metadata only; no data is read)."""
-    out = {}
-    for k in tkeys:
-        fs, p = hadoop_fs(spark, f"{docs_root(target_root)}/tkey={k}")
-        if fs.exists(p):
-            out[k] = int(fs.getContentSummary(p).getLength())
+    """Stored bytes of the given types' current versions (file-system metadata only; no data is read)."""
+    out, wanted = {}, set(tkeys)
+    for r in small_frame(spark, read_catalog(spark, target_root), "stored types")[1]:
+        if r["tkey"] in wanted:
+            fs, p = hadoop_fs(spark, f"{docs_root(target_root)}/ver={r['ver']}/tkey={r['tkey']}")
+            out[r["tkey"]] = int(fs.getContentSummary(p).getLength())
     return out
 
 
-def drop_types_in_place(spark: SparkSession, target_root: str, types: DataFrame) -> list[str]:
-    """V3 on the stored target: deleting a type removes its partition directory (no data is rewritten).
-
-    ``types`` is a small frame of ``(client, tenant, type)``.
-    """
-    keys = [r["tkey"] for r in types.select(type_key().alias("tkey")).distinct().collect()]
-    removed = []
-    for k in keys:
-        fs, p = hadoop_fs(spark, f"{docs_root(target_root)}/tkey={k}")
-        if fs.exists(p):
-            fs.delete(p, True)
-            removed.append(k)
+def drop_types_in_place(spark: SparkSession, target_root: str, types: DataFrame) -> int:
+    """V3 on the stored target: the next catalog no longer names the types; no data is read or rewritten.
+
+    ``types`` has ``(client, tenant, type)``.  Returns the number of types dropped."""
+    old = read_catalog(spark, target_root)
+    gone = types.select(type_key().alias("tkey")).distinct()
+    n = old.join(gone, "tkey", "left_semi").count()
+    if n:
+        publish(spark, catalog_root(target_root), old.join(gone, "tkey", "left_anti").coalesce(1))
+    return n
+
+
+def vacuum(spark: SparkSession, target_root: str) -> int:
+    """Delete the versions of types that the current catalog does not name.  Not to be run beside a restore."""
+    named = {(r["tkey"], r["ver"]) for r in small_frame(spark, read_catalog(spark, target_root), "stored types")[1]}
+    removed = 0
+    for ver in _versions(spark, target_root):
+        for name, is_dir in list_names(spark, f"{docs_root(target_root)}/ver={ver}"):
+            if is_dir and name.startswith("tkey=") and (name[5:], ver) not in named:
+                fs, p = hadoop_fs(spark, f"{docs_root(target_root)}/ver={ver}/{name}")
+                fs.delete(p, True)
+                removed += 1
     return removed

@@ -1,57 +1,62 @@
 """S4 backup-request source and S5 manifest source.
 
-Both are small JSON files.  They are read by Spark (whole file as one value, ``from_json`` in FAILFAST
-mode, ``posexplode`` so list position becomes ``ord``), then checked for required fields: a config that is
-valid JSON of another shape decodes as NULLs and must still be rejected.  Two failure kinds, as in the
-reference: a missing file (:class:`ConfigNotFound`) and a parse/shape error (:class:`ConfigParseError`).
+Both are one JSON file, read whole and checked strictly: text that is not JSON, or JSON of another shape, is refused
+with the place that is wrong.  Two failure kinds: a missing file (:class:`ConfigNotFound`) and a parse or shape
+error (:class:`ConfigParseError`).  Index definitions inside a manifest stay JSON text with the order of their
+members and the text of their numbers.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.errors import PySparkException
-from py4j.protocol import Py4JJavaError
 
-from docvault.model import (BACKUP_CONFIG_SCHEMA, MANIFEST_ELEMENT, MANIFEST_REQUIRED, REQUEST_SCHEMA,
-                            ConfigNotFound, ConfigParseError)
-from docvault.session import path_exists, small_frame
+from docvault.functions.json import _dump, _load, _Num, _Obj
+from docvault.model import MANIFEST_REQUIRED, MANIFEST_SCHEMA, REQUEST_SCHEMA, ConfigNotFound, ConfigParseError
+from docvault.session import path_exists, read_text_file, small_frame
 
 
-def _whole_file(spark: SparkSession, path: str) -> DataFrame:
+def _parsed(spark: SparkSession, path: str):
     if not path_exists(spark, path):
-        raise ConfigNotFound(f"File '{path}' not found.")
-    return spark.read.text(path, wholetext=True)
+        raise ConfigNotFound(f"no such file: {path}")
+    try:
+        return _load(read_text_file(spark, path))
+    except ValueError as e:
+        raise ConfigParseError(f"{path} is not JSON: {e}") from None
 
 
-def _collect(spark: SparkSession, df: DataFrame, what: str, path: str):
-    try:
-        return small_frame(spark, df, what)
-    except (Py4JJavaError, PySparkException) as e:
-        raise ConfigParseError(f"{what} '{path}' could not be parsed: {str(e).splitlines()[0][:300]}") from None
+def _text(path: str, where: str, v) -> str:
+    if not isinstance(v, str) or isinstance(v, _Num):
+        raise ConfigParseError(f"{path}: {where} must be a string")
+    return v
+
+
+def _list(path: str, where: str, v) -> list:
+    if not isinstance(v, list) or isinstance(v, _Obj):
+        raise ConfigParseError(f"{path}: {where} must be a list")
+    return v
+
+
+def _fields(path: str, where: str, v) -> dict:
+    if not isinstance(v, _Obj):
+        raise ConfigParseError(f"{path}: {where} must be an object")
+    return dict(v)
 
 
 def read_backup_config(spark: SparkSession, path: str, client: str, ord_offset: int = 0) -> DataFrame:
     """``{"tenants":[{"tenant":..., "types":[...]}]}`` → request rows ``(ord, client, tenant, types)``.
 
-    ``types`` becomes a set (duplicates dropped); a missing or empty list means "all types".  Tenant rows
-    keep their order and their duplicates.
+    ``types`` becomes a set (duplicates dropped); a missing, null or empty list means "all types".  Tenant rows keep
+    their order and their duplicates.  Other members are ignored.
     """
-    raw = _whole_file(spark, path)
-    parsed = raw.select(F.from_json("value", BACKUP_CONFIG_SCHEMA, {"mode": "FAILFAST"}).alias("c"))
-    rows = parsed.select(F.col("c.tenants").isNull().alias("no_tenants"),
-                         F.posexplode_outer("c.tenants").alias("pos", "t"))
-    _, got = _collect(spark, rows, "backup config", path)
-    if not got or any(r["no_tenants"] for r in got):
-        raise ConfigParseError(f"backup config '{path}': required field 'tenants' missing")
+    top = _fields(path, "the config", _parsed(spark, path))
     out = []
-    for r in got:
-        if r["t"] is None:
-            continue
-        if r["t"]["tenant"] is None:
-            raise ConfigParseError(f"backup config '{path}': tenant #{r['pos']} has no 'tenant'")
-        out.append((ord_offset + r["pos"], client, r["t"]["tenant"], r["t"]["types"]))
+    for i, t in enumerate(_list(path, "tenants", top.get("tenants"))):
+        row = _fields(path, f"tenant {i}", t)
+        types = row.get("types")
+        if types is not None:
+            types = [_text(path, f"a type of tenant {i}", x) for x in _list(path, f"types of tenant {i}", types)]
+        out.append((ord_offset + i, client, _text(path, f"name of tenant {i}", row.get("tenant")), types))
     return request_frame(spark, out)
 
 
@@ -61,25 +66,24 @@ def request_frame(spark: SparkSession, rows: list) -> DataFrame:
     return df.withColumn("types", F.array_distinct("types"))
 
 
-MANIFEST_ARRAY = T.ArrayType(MANIFEST_ELEMENT)
-
-
-def manifest_from_text(text_df: DataFrame) -> DataFrame:
-    """Manifest rows from a one-column frame holding the whole manifest text."""
-    return (text_df.select(F.posexplode(F.from_json("value", MANIFEST_ARRAY, {"mode": "FAILFAST"})).alias("ord", "m"))
-            .select(F.col("ord").cast("int").alias("ord"), "m.*"))
+def _element(path: str, i: int, v) -> tuple:
+    row = _fields(path, f"element {i}", v)
+    named = [_text(path, f"{f} of element {i}", row.get(f)) for f in MANIFEST_REQUIRED]
+    n = row.get("n_docs")
+    if n is not None and not (isinstance(n, _Num) and n.isdigit()):
+        raise ConfigParseError(f"{path}: n_docs of element {i} must be a count")
+    indexes = row.get("indexes")
+    if indexes is not None:
+        indexes = [_fields(path, f"an index of element {i}", x) for x in _list(path, f"indexes of element {i}", indexes)]
+        indexes = [tuple(None if x.get(k) is None else _dump(x[k], nulls=True) for k in ("keys", "options")) for x in indexes]
+    return (i, *named, None if n is None else int(n), indexes)
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """The manifest (a JSON array) → ``(ord, client, tenant, type, file, n_docs, indexes)``.
 
-    ``ord`` is the array position.  ``keys``/``options`` of indexes stay JSON text (key order kept).
-    The result is a small local frame (one row per type) that is safe to broadcast.
+    ``ord`` is the array position.  One row per dump; a longer manifest than a local relation should hold is kept as a
+    written table (see ``session.small_frame``).
     """
-    rows = manifest_from_text(_whole_file(spark, path))
-    local, got = _collect(spark, rows, "manifest", path)
-    for r in got:
-        missing = [f for f in MANIFEST_REQUIRED if r[f] is None]
-        if missing:
-            raise ConfigParseError(f"manifest '{path}': element {r['ord']} misses {', '.join(missing)}")
-    return local
+    rows = [_element(path, i, v) for i, v in enumerate(_list(path, "the manifest", _parsed(spark, path)))]
+    return small_frame(spark, spark.createDataFrame(rows, MANIFEST_SCHEMA), "manifest")[0]

@@ -25,11 +25,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docvault.model import ARRAYS_DIR, DUMPS_DIR, JSONL_DIR, MAX_OBJECT_BYTES, RestoreError
-from docvault.session import list_names, path_exists, small_frame
+from docvault.session import broadcast_if_small, list_names, path_exists, scratch_path, small_frame
 
 FRAMED_SCHEMA = "file string, path string, blk long, pos long, doc string"
 LOADED_SCHEMA = "file string, path string, blk long, pos long, id string, bad boolean, doc string"
 _PARSE = "struct<_id: variant, _corrupt_record: string>"
+# One JSON object and nothing else (what follows it would be lost with the line): the parsers stop after a first value,
+# so the text is put into an array whose second element must then be this mark.
+_MARK = "end"
 
 _BETWEEN = b" \t\r\n,[]"
 
@@ -117,12 +120,12 @@ def _frame_batches(batches: Iterator[pd.DataFrame], max_bytes: int, out_rows: in
 
 
 def with_parsed_id(df: DataFrame) -> DataFrame:
-    """Adds ``id`` (JSON text of ``_id``; only that field is materialised) and ``bad`` (not JSON)."""
+    """Adds ``id`` (JSON text of ``_id``; only that field is materialised) and ``bad`` (not one JSON object)."""
     p = F.from_json("doc", _PARSE, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    second = F.get_json_object(F.concat(F.lit("["), F.col("doc"), F.lit(f',"{_MARK}"]')), "$[1]")
+    bad = F.col("_p._corrupt_record").isNotNull() | ~F.col("doc").rlike(r"^\s*\{") | ~second.eqNullSafe(F.lit(_MARK))
     return (df.withColumn("_p", p)
-            .select("file", "path", "blk", "pos",
-                    F.nullif(F.to_json(F.col("_p._id")), F.lit("null")).alias("id"),
-                    F.col("_p._corrupt_record").isNotNull().alias("bad"), "doc"))
+            .select("file", "path", "blk", "pos", F.nullif(F.to_json(F.col("_p._id")), F.lit("null")).alias("id"), bad.alias("bad"), "doc"))
 
 
 def frame_array_files(spark: SparkSession, paths: list[str], max_bytes: int = MAX_OBJECT_BYTES) -> DataFrame:
@@ -161,10 +164,7 @@ def line_numbers(lines: DataFrame) -> DataFrame:
     blocks = lines.groupBy("path", "blk").agg(F.min("mono").alias("_m0"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy("path").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.select("path", "blk", "_m0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_l0"))
-    try:  # one row per file split: broadcast when the count is proven small, else a plain join
-        starts = F.broadcast(small_frame(lines.sparkSession, starts, "dump blocks", max_rows=1_000_000)[0])
-    except ValueError:
-        pass
+    starts = broadcast_if_small(small_frame(lines.sparkSession, starts, "dump blocks")[0])
     return (lines.join(starts, ["path", "blk"])
             .withColumn("pos", F.col("_l0") + F.col("mono") - F.col("_m0")).drop("_l0", "_m0", "mono"))
 
@@ -204,10 +204,17 @@ def locate_dumps(spark: SparkSession, run_dir: str, manifest_rows: list) -> dict
         elif r["n_docs"] is not None and r["n_docs"] == 0:
             continue
         else:
-            raise RestoreError(f"File '{run_dir}/{f}' not found.")
+            raise RestoreError(f"the manifest names {f}, but {run_dir} holds no such dump")
     return {k: sorted(v) for k, v in found.items()}
 
 
+def stage_parsed(df: DataFrame) -> DataFrame:
+    """Text dumps are framed and parsed once: the result is written to the shared folder and read from there."""
+    path = scratch_path(df.sparkSession, "parsed-dumps")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_dumps(spark: SparkSession, run_dir: str, manifest_rows: list) -> DataFrame:
     """Every dump named by the manifest, each file once → ``(file, path, blk, pos, id, bad, doc)``."""
     where = locate_dumps(spark, run_dir, manifest_rows)
@@ -215,11 +222,11 @@ def read_dumps(spark: SparkSession, run_dir: str, manifest_rows: list) -> DataFr
     if where["parquet"] or not (where["jsonl"] or where["array"] or where["foreign"]):
         parts.append(read_parquet_dumps(spark, f"{run_dir}/{DUMPS_DIR}", where["parquet"]))
     if where["jsonl"]:
-        parts.append(read_jsonl_dumps(spark, f"{run_dir}/{JSONL_DIR}", where["jsonl"]))
+        parts.append(stage_parsed(read_jsonl_dumps(spark, f"{run_dir}/{JSONL_DIR}", where["jsonl"])))
     array_paths = [f"{run_dir}/{ARRAYS_DIR}/file={k}" for k in where["array"]]
     array_paths += [f"{run_dir}/{k}" for k in where["foreign"]]
     if array_paths:
-        parts.append(with_parsed_id(frame_array_files(spark, array_paths)))
+        parts.append(stage_parsed(with_parsed_id(frame_array_files(spark, array_paths))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docvault.model import STORE_SCHEMA
+from docvault.session import among, broadcast_if_small, small_frame
 
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -62,16 +62,18 @@ def store_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
             .unionByName(pages_store(spark, sf_dir)))
 
 
-def empty_store(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], STORE_SCHEMA)
-
-
-def type_catalog(store: DataFrame) -> DataFrame:
+def type_catalog(store: DataFrame, request: DataFrame | None = None) -> DataFrame:
     """The distinct types of each (client, tenant) with their document counts.
 
     A partial (map-side) aggregate over the three key columns only: the scan reads no document text and
-    the shuffle carries one row per type and task.
+    the shuffle carries one row per type and task.  With a request only its (client, tenant) pairs are counted.
     """
+    if request is not None:
+        wanted = request.select("client", "tenant").distinct()
+        small, rows = small_frame(store.sparkSession, wanted, "requested tenants")
+        for c in ("client", "tenant"):
+            store = store.where(among(c, rows))
+        store = store.join(broadcast_if_small(small), ["client", "tenant"], "left_semi")
     return store.groupBy("client", "tenant", "type").agg(F.count(F.lit(1)).alias("n_docs"))
 
 

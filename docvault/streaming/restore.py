@@ -1,97 +1,95 @@
-"""C4 streaming restore: the dump directory as a file stream, each micro-batch upserted into the target.
+"""C4 streaming restore: the dumps as file streams, staged batch by batch, merged into the target once.
 
-``readStream`` over the run's dumps — parquet, JSONL, or whole array files through ``binaryFile`` (``file``
-comes from the partition directory), ``maxFilesPerTrigger``
-bounds a micro-batch, ``trigger(availableNow=True)`` drains what is there and stops.  A micro-batch reads
-and rewrites only the target partitions of the types it carries (dynamic partition overwrite).
+``readStream`` over the run's dumps, one stream per kind that the manifest names (parquet, JSONL, own array files, array
+files of other origin), ``maxFilesPerTrigger`` bounds a micro-batch and ``trigger(availableNow=True)`` drains what is
+there.  A micro-batch only parses its files and writes them, with their place in the dump, to
+``<checkpoint>-staged/<kind>/batch=<id>`` (overwritten by a replay, so at-least-once delivery stays exact).  When the
+streams have stopped, the staged documents go through the same restore as a batch: the same order (manifest row, file,
+position), checks, totals, rejects and one merge, so each touched type is written once.
 
-``foreachBatch`` is at-least-once.  Per batch: totals are computed against the target as it was before the
-batch and written to ``stream-totals/batch=<id>`` (kept if a replay finds them), then the touched types are
-replaced, then a ``_DONE`` marker is written; a replay of a finished batch does nothing, and replaying the
-upsert itself is idempotent.
-
-Order across micro-batches is file arrival order, not manifest order: a later batch wins.  For the same
-result as the batch restore, ids must be unique per type across the manifest's dumps, or duplicates must
-carry identical text (the case for a backup with repeated tenant rows).
+Files that arrive in several runs with one checkpoint are staged once; a run that finds new files merges everything
+staged so far, one that finds none returns the totals of the last merge.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docvault.model import ARRAYS_DIR, DUMPS_DIR, JSONL_DIR, MANIFEST_NAME
-from docvault.operators.restore import (add_target_salts, load_documents, merge_types, restore_totals,
-                                       touched_types)
-from docvault.session import path_exists, small_frame, write_text_file
-from docvault.sinks.target import partition_bytes, read_target, write_types
+from docvault.plans.restore import restore_dumps
+from docvault.session import list_names, path_exists, small_frame
 from docvault.sources.config import read_manifest
-from docvault.sources.dumps import frame_binary, line_numbers, with_parsed_id
+from docvault.sources.dumps import LOADED_SCHEMA, frame_binary, line_numbers, locate_dumps, with_parsed_id
+
+_BINARY = "path string, modificationTime timestamp, length long, content binary"
+
+
+def _sources(spark: SparkSession, run_dir: str, where: dict, most: int) -> dict:
+    """Per kind the stream of its raw rows and the step that makes dump rows of a micro-batch."""
+    def stream(kind, schema):
+        return spark.readStream.format(kind).schema(schema).option("maxFilesPerTrigger", most)
 
-KEY = ["client", "tenant", "type"]
-SUMS = ("total", "inserted", "replaced", "rejected")
+    def frame(batch):
+        return with_parsed_id(frame_binary(batch))
 
+    def lines(batch):
+        rows = batch.select("file", "path", "blk", F.monotonically_increasing_id().alias("mono"), "doc")
+        return with_parsed_id(line_numbers(rows).select("file", "path", "blk", "pos", "doc"))
 
-def stream_restore(spark: SparkSession, run_dir: str, target_root: str, checkpoint: str,
-                   max_files_per_trigger: int = 64, manifest: DataFrame | None = None) -> DataFrame:
-    """C4.  Returns the per-manifest-row totals summed over all micro-batches."""
+    path = F.col("_metadata.file_path").alias("path")
+    out = {}
+    if where["parquet"]:
+        src = stream("parquet", "id string, doc string, file string").load(f"{run_dir}/{DUMPS_DIR}")
+        out["parquet"] = (src.where(F.col("file").isin(where["parquet"])).select(
+            "file", path, F.lit(0).cast("long").alias("blk"), F.col("_metadata.row_index").alias("pos"), "id",
+            F.lit(False).alias("bad"), "doc"), lambda batch: batch)
+    if where["jsonl"]:
+        src = stream("text", "value string, file string").load(f"{run_dir}/{JSONL_DIR}")
+        out["jsonl"] = (src.where(F.col("file").isin(where["jsonl"])).select(
+            "file", path, F.col("_metadata.file_block_start").alias("blk"), F.col("value").alias("doc")), lines)
+    if where["array"]:
+        src = stream("binaryFile", f"{_BINARY}, file string, chunk int").load(f"{run_dir}/{ARRAYS_DIR}")
+        out["array"] = src.where(F.col("file").isin(where["array"])).select("path", "content"), frame
+    if where["foreign"]:
+        names = ",".join(_glob(f) for f in where["foreign"])
+        src = stream("binaryFile", _BINARY).load(f"{run_dir}/{{{names}}}")
+        out["foreign"] = src.select("path", "content"), frame
+    return out
+
+
+def _glob(name: str) -> str:
+    return "".join(f"\\{c}" if c in "\\*?[]{},^" else c for c in name)
+
+
+def stream_restore(spark: SparkSession, run_dir: str, target_root: str, checkpoint: str, max_files_per_trigger: int = 64,
+                   manifest: DataFrame | None = None, strict: bool = True, skip_indexes: bool = True) -> DataFrame:
+    """C4.  Returns the per-manifest-row totals, as the batch restore does."""
     if manifest is None:
         manifest = read_manifest(spark, f"{run_dir}/{MANIFEST_NAME}")
     manifest_local, rows = small_frame(spark, manifest, "manifest")
-    keys = sorted({r["file"] for r in rows})
-    totals_root = f"{checkpoint.rstrip('/')}-totals"
-
-    has = {d: path_exists(spark, f"{run_dir}/{d}") for d in (DUMPS_DIR, JSONL_DIR, ARRAYS_DIR)}
-    kind = "parquet" if has[DUMPS_DIR] else "jsonl" if has[JSONL_DIR] else "array" if has[ARRAYS_DIR] else "parquet"
-    jsonl = kind == "jsonl"
-    if kind == "array":
-        # whole array files (they cannot be split); ``file`` and ``chunk`` come from the directories
-        src = (spark.readStream.format("binaryFile")
-               .schema("path string, modificationTime timestamp, length long, content binary, file string, chunk int")
-               .option("maxFilesPerTrigger", max_files_per_trigger).load(f"{run_dir}/{ARRAYS_DIR}")
-               .where(F.col("file").isin(keys)).select("path", "content"))
-    elif jsonl:
-        src = (spark.readStream.schema("value string, file string")
-               .option("maxFilesPerTrigger", max_files_per_trigger).text(f"{run_dir}/{JSONL_DIR}")
-               .where(F.col("file").isin(keys))
-               .select("file", F.col("_metadata.file_path").alias("path"),
-                       F.col("_metadata.file_block_start").alias("blk"), F.col("value").alias("doc")))
-    else:
-        src = (spark.readStream.schema("id string, doc string, file string")
-               .option("maxFilesPerTrigger", max_files_per_trigger).parquet(f"{run_dir}/{DUMPS_DIR}")
-               .where(F.col("file").isin(keys))
-               .select("file", F.col("_metadata.file_path").alias("path"), F.lit(0).cast("long").alias("blk"),
-                       F.col("_metadata.row_index").alias("pos"), "id", F.lit(False).alias("bad"), "doc"))
-
-    def one_batch(batch: DataFrame, batch_id: int) -> None:
-        out = f"{totals_root}/batch={batch_id}"
-        if path_exists(spark, f"{out}/_DONE"):
-            return
-        if kind == "array":
-            dumps = with_parsed_id(frame_binary(batch))
-        elif jsonl:
-            lines = batch.select("file", "path", "blk", F.monotonically_increasing_id().alias("mono"), "doc")
-            dumps = with_parsed_id(line_numbers(lines).select("file", "path", "blk", "pos", "doc"))
-        else:
-            dumps = batch
-        files = [r["file"] for r in dumps.select("file").distinct().collect()]
-        part, _ = small_frame(spark, manifest_local.where(F.col("file").isin(files)), "batch manifest")
-        loaded = load_documents(dumps, part)
-        target = read_target(spark, target_root)
-        touched = touched_types(part)
-        touched = add_target_salts(touched, partition_bytes(spark, target_root, [r["tkey"] for r in touched.collect()]))
-        if not path_exists(spark, f"{out}/_SUCCESS"):
-            restore_totals(part, loaded, target, touched).write.mode("overwrite").parquet(out)
-        write_types(merge_types(target, loaded, touched), target_root)
-        write_text_file(spark, f"{out}/_DONE", str(batch_id), overwrite=True)
-
-    q = (src.writeStream.foreachBatch(one_batch)
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    base = manifest_local.select("ord", *KEY)
-    if not path_exists(spark, totals_root):
-        return base.select("ord", *KEY, *[F.lit(0).cast("long").alias(c) for c in SUMS])
-    sums = spark.read.parquet(totals_root).groupBy("ord").agg(*[F.sum(c).alias(c) for c in SUMS])
-    return base.join(F.broadcast(sums), "ord", "left").select(
-        "ord", *KEY, *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in SUMS])
+    base = checkpoint.rstrip("/")
+    staged_root = f"{base}-staged"
+    staged, held = [], []
+    for kind, (src, parse) in _sources(spark, run_dir, locate_dumps(spark, run_dir, rows), max_files_per_trigger).items():
+        def stage(batch: DataFrame, batch_id: int, kind=kind, parse=parse) -> None:
+            parse(batch).write.mode("overwrite").parquet(f"{staged_root}/{kind}/batch={batch_id}")
+
+        query = (src.writeStream.foreachBatch(stage).option("checkpointLocation", f"{base}/{kind}")
+                 .trigger(availableNow=True).start())
+        query.awaitTermination()
+        if path_exists(spark, f"{staged_root}/{kind}"):
+            held += [f"{kind}/{n}" for n, _ in list_names(spark, f"{staged_root}/{kind}") if n.startswith("batch=")]
+            staged.append(spark.read.schema(LOADED_SCHEMA).parquet(f"{staged_root}/{kind}").drop("batch"))
+    # a run that found nothing new since the last merge has nothing to do: its totals are those of that merge
+    done = f"{base}-merged/{hashlib.sha256(' '.join([target_root, *sorted(held)]).encode()).hexdigest()[:20]}"
+    if path_exists(spark, f"{done}/_SUCCESS"):
+        return spark.read.parquet(done).orderBy("ord")
+    dumps = spark.createDataFrame([], LOADED_SCHEMA)
+    for s in staged:
+        dumps = dumps.unionByName(s)
+    result = restore_dumps(spark, dumps, manifest_local, target_root, run_dir.rstrip("/").rsplit("/", 1)[-1], skip_indexes, strict)
+    result.totals.write.mode("overwrite").parquet(done)
+    return result.totals
