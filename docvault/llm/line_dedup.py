@@ -172,7 +172,8 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rare: int
     rid = fresh(cols, "_rid")
     rows = numbered(docs, rid)
     gone = stage_table(deletions(rows, rid, doc_id, text, rare, min_chars), "line-deletions")
-    out = rows.join(gone.select(F.col("rid").alias("_line_rid"), F.col("gone").alias("_line_gone")), F.col(rid) == F.col("_line_rid"), "left")
+    gone = gone.select(F.col("rid").alias("_line_rid"), F.col("gone").alias("_line_gone")).hint("merge")  # grows with the documents
+    out = rows.join(gone, F.col(rid) == F.col("_line_rid"), "left")
     lines = F.split(F.col(text), "\n", -1)
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("_line_gone"), i)), "\n")
     out = out.withColumn("_line_kept", F.when(F.col("_line_gone").isNull(), F.col(text)).otherwise(kept))

@@ -108,7 +108,7 @@ def expand(docs: DataFrame, **options) -> DataFrame:
     rid = fresh(cols, "_rid")
     rows = numbered(docs, rid)
     plan = mix(rows, rid=rid, **options).where("copies > 0").select(F.col(rid).alias("_mix_rid"), F.col("copies").alias("_mix_copies"))
-    out = rows.join(plan, F.col(rid) == F.col("_mix_rid"))
+    out = rows.join(plan.hint("merge"), F.col(rid) == F.col("_mix_rid"))  # the plan grows with the documents
     return out.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))).select(*[F.col(f"`{c}`") for c in cols])
 
 

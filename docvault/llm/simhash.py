@@ -221,6 +221,7 @@ def keep_first(docs: DataFrame, **options) -> DataFrame:
     ids = rows.select(F.col(rid), order.alias("_sim_order"))
     first = (ids.join(found, F.col(rid) == F.col("_sim_rid")).groupBy("_sim_root")
              .agg(F.min_by("_sim_rid", "_sim_order").alias("_sim_first")).select("_sim_first"))
+    first = first.hint("merge")  # grows with the documents
     return rows.join(first, F.col(rid) == F.col("_sim_first"), "left_semi").select(*[F.col(f"`{c}`") for c in cols])
 
 

@@ -230,7 +230,7 @@ def repeated_windows(rows: DataFrame, window: int = WINDOW, vertex: int = VERTEX
     mine = seen.join(twice, "vertex", "left_semi").groupBy("rid").agg(F.collect_list("vertex").alias("vertices"))
     mine = stage_table(mine, "document-vertices")
     release(spark)
-    found = rows.join(mine, "rid").select("rid", "doc", "text", "vertices")
+    found = rows.join(mine.hint("merge"), "rid").select("rid", "doc", "text", "vertices")
     paths = stage_table(found.mapInArrow(_paths(window, vertex), PATHS), "paths")
     release(spark)
     # compaction: equal paths are one, and a vertex branches when it has several
@@ -256,7 +256,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, vertex: int = VERTEX) -> DataFr
     spans = repeated_windows(rows, window, vertex).groupBy("rid").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
     spans = stage_table(spans, "spans")
     release(docs.sparkSession)
-    out = rows.select("rid", "doc_id", "text").join(spans, "rid", "left").select("doc_id", "text", "spans")
+    out = rows.select("rid", "doc_id", "text").join(spans.hint("merge"), "rid", "left").select("doc_id", "text", "spans")
     return out.mapInArrow(_removed(window), "doc_id long, n_words long, n_removed long, kept string")
 
 
