@@ -29,12 +29,13 @@ def load_documents(dumps: DataFrame, manifest: DataFrame) -> DataFrame:
     same id in every backup and wherever the run directory lies.
     """
     m = broadcast_if_small(small_frame(manifest.sparkSession, manifest.select("ord", *KEY, "file"), "manifest")[0])
-    named = dumps.where(F.col("id").isNotNull() | F.col("bad"))
-    text = F.sha2("doc", 256)
-    nth = F.row_number().over(Window.partitionBy("file", "_sha").orderBy("path", "blk", "pos"))
-    unnamed = (dumps.where(F.col("id").isNull() & ~F.col("bad")).withColumn("_sha", text)
-               .withColumn("id", F.concat(F.lit("#"), "_sha", F.lit("-"), nth.cast("string"))).drop("_sha"))
-    j = named.unionByName(unnamed).join(m, "file")
+    unnamed = dumps.where(F.col("id").isNull() & ~F.col("bad"))
+    if not unnamed.isEmpty():  # read from the id column alone; most dumps have none and need no numbering
+        nth = F.row_number().over(Window.partitionBy("file", "_sha").orderBy("path", "blk", "pos"))
+        unnamed = (unnamed.withColumn("_sha", F.sha2("doc", 256))
+                   .withColumn("id", F.concat(F.lit("#"), "_sha", F.lit("-"), nth.cast("string"))).drop("_sha"))
+        dumps = dumps.where(F.col("id").isNotNull() | F.col("bad")).unionByName(unnamed)
+    j = dumps.join(m, "file")
     return j.select("ord", *KEY, "file", F.struct("ord", "path", "blk", "pos").alias("seq"),
                     F.coalesce("id", F.lit("")).alias("id"), "bad", "doc")
 

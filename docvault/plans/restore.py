@@ -53,11 +53,12 @@ def restore_frames(spark: SparkSession, dumps: DataFrame, manifest_local: DataFr
 
 
 def check_complete(manifest_local: DataFrame, totals) -> None:
-    """A dump with fewer or more documents than its manifest row counted has lost or gained a part."""
-    counted = {r["ord"]: r["total"] for r in totals}
+    """A dump with fewer texts, or more documents, than its manifest row counted has lost or gained a part."""
+    counted = {r["ord"]: (r["total"], r["total"] - r["rejected"]) for r in totals}
     for r in manifest_local.select("ord", "file", "n_docs").toLocalIterator():
-        if r["n_docs"] is not None and r["n_docs"] != counted.get(r["ord"], 0):
-            raise RestoreError(f"dump {r['file']} holds {counted.get(r['ord'], 0)} documents, its manifest row says {r['n_docs']}")
+        texts, documents = counted.get(r["ord"], (0, 0))
+        if r["n_docs"] is not None and not documents <= r["n_docs"] <= texts:
+            raise RestoreError(f"dump {r['file']} holds {documents} documents, its manifest row says {r['n_docs']}")
 
 
 def restore_dumps(spark: SparkSession, dumps: DataFrame, manifest_local: DataFrame, target_root: str, run_name: str,
@@ -65,8 +66,6 @@ def restore_dumps(spark: SparkSession, dumps: DataFrame, manifest_local: DataFra
     """Restore documents that were read from dumps: check everything, stage the documents, then publish indexes and
     documents.  A failed check changes nothing."""
     loaded, merged, totals, rows = restore_frames(spark, dumps, manifest_local, read_target(spark, target_root), target_root)
-    if "n_docs" in manifest_local.columns:
-        check_complete(manifest_local, rows)
     bad = [r for r in rows if r["rejected"]]
     if bad:
         first = bad[0]
@@ -74,6 +73,9 @@ def restore_dumps(spark: SparkSession, dumps: DataFrame, manifest_local: DataFra
                f"the first in {first['client']}/{first['tenant']}/{first['type']}")
         if strict:
             raise RestoreError(msg)
+    if "n_docs" in manifest_local.columns:
+        check_complete(manifest_local, rows)
+    if bad:
         rejects = f"{target_root.rstrip('/')}/rejects/{run_name}"
         loaded.where("bad").select("ord", *KEY, "file", "doc").write.mode("overwrite").parquet(rejects)
         log.warning("%s; written to %s", msg, rejects)
