@@ -141,6 +141,71 @@ def frame_array_files(spark: SparkSession, paths: list[str], max_bytes: int = MA
     return frame_binary(raw, max_bytes)
 
 
+def frame_text_files(spark: SparkSession, paths: list[str], max_bytes: int = MAX_OBJECT_BYTES) -> DataFrame:
+    """S7 over files of any length: ``(file, path, blk, pos, doc)``, read in splits.
+
+    The text reader cuts a file after each ``}``.  Of a piece only the parity of its real quotes and the number of ``{``
+    outside strings matter, which depends on whether it starts inside a string; running sums, first over the splits of
+    a file (one row each), then over the pieces of a split, give the state before each piece.  A piece that starts
+    outside every object opens the next one, and the pieces of an object are put together again.  Text outside
+    objects other than white space, commas and brackets, an object over ``max_bytes``, an unbalanced ``}`` or an
+    unterminated object is an error that names the file.
+    """
+    if not paths:
+        return spark.createDataFrame([], FRAMED_SCHEMA)
+    meta = F.col("_metadata")
+    raw = spark.read.option("lineSep", "}").text(paths).select(
+        F.url_decode(F.replace(meta["file_path"], F.lit("+"), F.lit("%2B"))).alias("path"),
+        meta["file_block_start"].alias("blk"), meta["file_size"].alias("size"), F.monotonically_increasing_id().alias("mono"), "value")
+    plain = F.split(F.regexp_replace("value", r"(?s)\\.", ""), '"', -1)  # without escapes, cut at the real quotes
+
+    def opens(odd: int):  # braces in every second part
+        return F.aggregate(F.transform("_parts", lambda x, i: F.when(i % 2 == odd, F.char_length(x) - F.char_length(F.replace(x, F.lit("{"), F.lit(""))))
+                                       .otherwise(0)), F.lit(0).cast("long"), lambda a, x: a + x)
+
+    p = raw.withColumn("_parts", plain).select(
+        "path", "blk", "size", "mono", "value", (F.octet_length("value") + 1).cast("long").alias("bytes"),
+        ((F.size("_parts") - 1) % 2).alias("flip"), opens(0).alias("out"), opens(1).alias("in"))
+    p = stage_parsed(p)
+    inside = Window.partitionBy("path", "blk").orderBy("mono")
+    upto, before = inside.rowsBetween(Window.unboundedPreceding, 0), inside.rowsBetween(Window.unboundedPreceding, -1)
+
+    def carried(column, name):
+        """Sum of ``column`` over all pieces of the file before this one: within the split, and over the splits before."""
+        total = p.groupBy("path", "blk").agg(F.sum(column).alias("_s"))
+        w = Window.partitionBy("path").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
+        total = total.select("path", "blk", F.coalesce(F.sum("_s").over(w), F.lit(0)).alias("_b"))
+        return (p.join(broadcast_if_small(total), ["path", "blk"])
+                .withColumn(name, F.col("_b") + F.coalesce(F.sum(column).over(before), F.lit(0))).drop("_b"))
+
+    p = stage_parsed(carried("flip", "quotes").withColumn("quoted", F.col("quotes") % 2 == 1))
+    p = stage_parsed(carried("bytes", "at"))
+    # the reader does not tell whether the last piece was followed by a brace: the file's length does
+    closed = (F.col("at") + F.col("bytes") <= F.col("size")) & (F.col("quoted") == (F.col("flip") == 1))
+    p = p.withColumn("shut", closed).withColumn("step", F.when(F.col("quoted"), F.col("in")).otherwise(F.col("out")) - F.col("shut").cast("int"))
+    p = stage_parsed(carried("step", "depth"))
+    p = p.withColumn("first", (F.col("depth") == 0) & (F.col("step") + F.col("shut").cast("int") > 0))
+    p = p.withColumn("head", F.when(F.col("first"), F.substring_index("value", "{", 1))
+                     .when((F.col("depth") == 0) & ~F.col("first"), F.col("value")))
+    p = p.withColumn("starts", F.col("first").cast("int"))
+    p = carried("starts", "object").withColumn("object", F.col("object") + F.col("starts") - 1)
+    last = F.col("at") + F.col("bytes") >= F.col("size")
+    wrong = (F.when(F.col("depth") + F.col("step") < 0, "an unbalanced '}'")
+             .when(F.col("head").isNotNull() & ~F.col("head").rlike(r"^[ \t\r\n,\[\]]*$"), "text outside an object")
+             .when(last & ((F.col("depth") + F.col("step") > 0) | (F.col("quoted") != (F.col("flip") == 1))), "a truncated object"))
+    fail = F.raise_error(F.concat(F.col("path"), F.lit(": "), wrong, F.lit(" near byte "), F.col("at").cast("string")))
+    text = F.when(F.col("first"), F.substring("value", F.char_length("head") + 1, F.char_length("value"))).otherwise(F.col("value"))
+    text = F.concat(text, F.when(F.col("at") + F.col("bytes") <= F.col("size"), F.lit("}")).otherwise(F.lit("")))
+    part = p.select("path", "object", "at", F.when(wrong.isNotNull(), fail).otherwise(F.col("head").isNull() | F.col("first")).alias("keep"), text.alias("text"))
+    part = part.where("keep")
+    whole = part.groupBy("path", "object").agg(F.sum(F.octet_length("text")).alias("n"), F.array_sort(F.collect_list(F.struct("at", "text"))).alias("t"))
+    doc = F.array_join(F.transform("t", lambda x: x["text"]), "")
+    doc = F.when(F.col("n") > max_bytes, F.raise_error(F.concat(F.col("path"), F.lit(f": object exceeds {max_bytes} bytes")))).otherwise(doc)
+    key = F.regexp_extract("path", r"/file=([^/]+)/", 1)
+    key = F.when(key == "", F.element_at(F.split("path", "/"), -1)).otherwise(key)
+    return whole.select(key.alias("file"), "path", F.lit(0).cast("long").alias("blk"), F.col("object").cast("long").alias("pos"), doc.alias("doc"))
+
+
 def frame_binary(raw: DataFrame, max_bytes: int = MAX_OBJECT_BYTES) -> DataFrame:
     """S7 over a frame of whole files ``(path, content)`` (a batch or a micro-batch of ``binaryFile``)."""
     return raw.select("path", "content").mapInPandas(lambda it: _frame_batches(it, max_bytes), FRAMED_SCHEMA)
@@ -215,6 +280,11 @@ def stage_parsed(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _literal(name: str) -> str:
+    """A file name for a path that is read as a pattern."""
+    return "".join(f"\\{c}" if c in "\\*?[]{},^" else c for c in name)
+
+
 def read_dumps(spark: SparkSession, run_dir: str, manifest_rows: list) -> DataFrame:
     """Every dump named by the manifest, each file once → ``(file, path, blk, pos, id, bad, doc)``."""
     where = locate_dumps(spark, run_dir, manifest_rows)
@@ -223,10 +293,12 @@ def read_dumps(spark: SparkSession, run_dir: str, manifest_rows: list) -> DataFr
         parts.append(read_parquet_dumps(spark, f"{run_dir}/{DUMPS_DIR}", where["parquet"]))
     if where["jsonl"]:
         parts.append(stage_parsed(read_jsonl_dumps(spark, f"{run_dir}/{JSONL_DIR}", where["jsonl"])))
-    array_paths = [f"{run_dir}/{ARRAYS_DIR}/file={k}" for k in where["array"]]
-    array_paths += [f"{run_dir}/{k}" for k in where["foreign"]]
-    if array_paths:
-        parts.append(stage_parsed(with_parsed_id(frame_array_files(spark, array_paths))))
+    if where["array"]:  # our own, of bounded size
+        paths = [f"{run_dir}/{ARRAYS_DIR}/file={k}" for k in where["array"]]
+        parts.append(stage_parsed(with_parsed_id(frame_array_files(spark, paths))))
+    if where["foreign"]:
+        paths = [f"{run_dir}/{_literal(k)}" for k in where["foreign"]]
+        parts.append(stage_parsed(with_parsed_id(frame_text_files(spark, paths))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -22,7 +22,7 @@ from docvault.model import ARRAYS_DIR, DUMPS_DIR, JSONL_DIR, MANIFEST_NAME
 from docvault.plans.restore import restore_dumps
 from docvault.session import list_names, path_exists, small_frame
 from docvault.sources.config import read_manifest
-from docvault.sources.dumps import LOADED_SCHEMA, frame_binary, line_numbers, locate_dumps, with_parsed_id
+from docvault.sources.dumps import LOADED_SCHEMA, _literal, frame_binary, line_numbers, locate_dumps, with_parsed_id
 
 _BINARY = "path string, modificationTime timestamp, length long, content binary"
 
@@ -54,16 +54,12 @@ def _sources(spark: SparkSession, run_dir: str, where: dict, most: int) -> dict:
         src = stream("binaryFile", f"{_BINARY}, file string, chunk int").load(f"{run_dir}/{ARRAYS_DIR}")
         out["array"] = src.where(F.col("file").isin(where["array"])).select("path", "content"), frame
     if where["foreign"]:
-        names = ",".join(_glob(f) for f in where["foreign"])
+        names = ",".join(_literal(f) for f in where["foreign"])
         src = stream("binaryFile", _BINARY).load(f"{run_dir}/{{{names}}}")
         out["foreign"] = src.select("path", "content"), frame
     return out
 
 
-def _glob(name: str) -> str:
-    return "".join(f"\\{c}" if c in "\\*?[]{},^" else c for c in name)
-
-
 def stream_restore(spark: SparkSession, run_dir: str, target_root: str, checkpoint: str, max_files_per_trigger: int = 64,
                    manifest: DataFrame | None = None, strict: bool = True, skip_indexes: bool = True) -> DataFrame:
     """C4.  Returns the per-manifest-row totals, as the batch restore does."""
