@@ -46,7 +46,7 @@ PLAIN = frozenset("html body article main p h1 h2 h3 h4 h5 h6 br hr".split())
 CLOSES_P = BLOCK - {"br", "body", "html"}
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
 SCOPES = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table")}
-NOISE_WORDS = frozenset("ad ads adv advert advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies consent gdpr "
+NOISE_WORDS = frozenset("ad ads adv adbox adslot adunit outbrain taboola teaser teasers advert advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies consent gdpr "
                         "notice notices alert popup modal overlay newsletter subscribe subscription signup login sidebar aside rail menu nav "
                         "navbar navigation breadcrumb breadcrumbs pagination pager footer masthead topbar toolbar comment comments "
                         "disqus respond reply replies share sharing social related recommended recommendations widget widgets "
