@@ -103,8 +103,9 @@ def byte_groups(max_distance: int, size: int = 4) -> list[tuple[int, ...]]:
 
 
 def _near(rows: np.ndarray, cols: np.ndarray, max_distance: int):
-    """Index pairs within the distance: tally shared positional bytes, retain by count, verify by bits."""
-    diff = rows[:, None] ^ cols[None, :]
+    """Index pairs within the distance: tally shared positional bytes, retain by count, verify by bits.  Unsigned, as numpy
+    counts the bits of the absolute value of a signed number."""
+    diff = rows.view("<u8")[:, None] ^ cols.view("<u8")[None, :]
     shared = (diff.view(np.uint8).reshape(*diff.shape, 8) == 0).sum(axis=2, dtype=np.uint8)
     i, j = np.nonzero(shared >= 8 - max_distance)
     ok = np.bitwise_count(diff[i, j]) <= max_distance
