@@ -7,8 +7,10 @@
    of its child sequences, the *content* importance is one minus the mean entropy of its texts over pages (a text
    on every page has entropy 1), and the composite is ``(1 - G**l) * presentation + G**l * content`` with ``l``
    child sequences (Yi, Liu and Li, 2003).
-3. Branches of low importance are removed from each page's region; headings and paragraphs that stand directly in the
-   article are not branches.  Exact copies of an article count as one page, so they don't look like furniture.
+3. In branches of low importance, the blocks whose own text repeats over the host's pages (its content importance is low
+   too) are removed from each page's region: with many child sequences the composite is low on any large host, whatever
+   the texts.  Headings and paragraphs that stand directly in the article are not in branches.  Exact copies of an
+   article count as one page, so they don't look like furniture.
 
 Scale: one map parses and writes pages with their blocks; the tree is built from narrow rows with partial
 aggregates, so a host with a third of all pages is no hot task; only pages that lose a branch take part in a join,
@@ -225,6 +227,7 @@ class Page:
         """(path, child sequence, text) of each branch and block, as hashes."""
         out, styles = set(), {}
         for b in self.blocks:
+            b = [(i, t) for i, t in b if self.inside[i]] or b  # the text that main() gives
             own = self.owner[b[0][0]]
             text = " ".join("".join(t for _, t in b).split())
             if own >= 0 and text:
@@ -234,14 +237,14 @@ class Page:
         return sorted(out)
 
 
-SCHEMA = ("page_id long, url string, rid long, host string, main_hash long, blocks array<struct<text:string,path:long>>, "
+SCHEMA = ("page_id long, url string, rid long, host string, main_hash long, blocks array<struct<text:string,path:long,feature:long>>, "
           "nodes array<struct<path:long,style:long,feature:long>>")
 
 
 def _parsed(batches):
     import pyarrow as pa
 
-    blocks = pa.list_(pa.struct([("text", pa.string()), ("path", pa.int64())]))
+    blocks = pa.list_(pa.struct([("text", pa.string()), ("path", pa.int64()), ("feature", pa.int64())]))
     nodes = pa.list_(pa.struct([("path", pa.int64()), ("style", pa.int64()), ("feature", pa.int64())]))
     for whole in batches:
         for at in range(0, whole.num_rows, 500):
@@ -250,7 +253,7 @@ def _parsed(batches):
             for text in batch.column("html").to_pylist():
                 page = Page(text or "")
                 main = page.main()
-                out.append((_hash(*[t for t, _ in main]), [{"text": t, "path": p} for t, p in main],
+                out.append((_hash(*[t for t, _ in main]), [{"text": t, "path": p, "feature": _hash(t)} for t, p in main],
                             [dict(zip(("path", "style", "feature"), x, strict=True)) for x in page.nodes()]))
             cols = list(zip(*out, strict=True))
             yield pa.RecordBatch.from_arrays(
@@ -259,9 +262,19 @@ def _parsed(batches):
                 names=["page_id", "url", "rid", "host", "main_hash", "blocks", "nodes"])
 
 
+def _seen(parsed: DataFrame) -> DataFrame:
+    return parsed.select("host", "main_hash", F.explode("nodes").alias("n")).select("host", "main_hash", "n.path", "n.style", "n.feature")
+
+
+def _texts(seen: DataFrame) -> DataFrame:
+    """``host, path, feature, c``: the pages of each text of a node."""
+    return (seen.groupBy("host", "path", "feature", "main_hash").agg(F.lit(1).alias("one"))
+            .groupBy("host", "path", "feature").agg(F.count("*").alias("c")))
+
+
 def importance(parsed: DataFrame) -> DataFrame:
     """The site style tree: ``host, path, n_pages, presentation, content, composite`` for every node of every host."""
-    seen = parsed.select("host", "main_hash", F.explode("nodes").alias("n")).select("host", "main_hash", "n.path", "n.style", "n.feature")
+    seen = _seen(parsed)
     pages = (seen.groupBy("host", "path", "main_hash").agg(F.min("style").alias("style"))
              .groupBy("host", "path", "style").agg(F.count("*").alias("k")))
     m = F.col("n_pages")
@@ -269,9 +282,7 @@ def importance(parsed: DataFrame) -> DataFrame:
         F.sum("k").alias("n_pages"), F.count("*").alias("n_styles"), F.sum(F.col("k") * F.log("k")).alias("_klogk"))
     # entropy to base m: (ln m - sum(k ln k) / m) / ln m
     shape = shape.where(m > 1).withColumn("presentation", 1 - F.col("_klogk") / (m * F.log(m)))
-    texts = (seen.groupBy("host", "path", "feature", "main_hash").agg(F.lit(1).alias("one"))
-             .groupBy("host", "path", "feature").agg(F.count("*").alias("c"))
-             .groupBy("host", "path").agg(F.avg(F.log("c")).alias("_logc")))
+    texts = _texts(seen).groupBy("host", "path").agg(F.avg(F.log("c")).alias("_logc"))
     tree = shape.join(texts, ["host", "path"]).withColumn("content", 1 - F.col("_logc") / F.log(m))
     damp = F.pow(F.lit(GAMMA), F.col("n_styles"))
     return tree.select("host", "path", "n_pages", "presentation", "content",
@@ -284,12 +295,17 @@ def extract(pages: DataFrame) -> DataFrame:
     rows = numbered(pages.select("page_id", "url", "html"), "rid")
     rows = rows.select("page_id", "url", "rid", host.alias("host"), "html")
     parsed = stage_table(rows.mapInArrow(_parsed, SCHEMA), "pages")
-    low = importance(parsed).where((F.col("n_pages") >= MIN_PAGES) & (F.col("composite") < LOW)).select("host", "path")
-    used = parsed.select("rid", "host", F.explode(F.array_distinct(F.transform("blocks", lambda b: b["path"]))).alias("path"))
-    lost = used.where("path is not null").join(stage_table(low, "low-nodes"), ["host", "path"])
-    lost = stage_table(lost.groupBy("rid").agg(F.collect_set("path").alias("lost")), "lost")
+    low = importance(parsed).where((F.col("n_pages") >= MIN_PAGES) & (F.col("composite") < LOW)).select("host", "path", "n_pages")
+    low = stage_table(low, "low-nodes")
+    repeated = _texts(_seen(parsed).join(low.select("host", "path"), ["host", "path"])).join(low, ["host", "path"])
+    repeated = repeated.where(1 - F.log("c") / F.log("n_pages") < LOW).select("host", "path", "feature")
+    marks = F.array_distinct(F.transform("blocks", lambda b: F.struct(b["path"].alias("path"), b["feature"].alias("feature"))))
+    used = parsed.select("rid", "host", F.explode(marks).alias("b")).select("rid", "host", "b.path", "b.feature")
+    lost = used.where("path is not null").join(stage_table(repeated, "repeated-texts"), ["host", "path", "feature"])
+    lost = stage_table(lost.groupBy("rid").agg(F.collect_set(F.struct("path", "feature")).alias("lost")), "lost")
     out = parsed.select("page_id", "url", "rid", "blocks").join(lost, "rid", "left")
-    kept = F.filter("blocks", lambda b: b["path"].isNull() | F.col("lost").isNull() | ~F.array_contains(F.col("lost"), b["path"]))
+    kept = F.filter("blocks", lambda b: b["path"].isNull() | F.col("lost").isNull() | ~F.array_contains(
+        F.col("lost"), F.struct(b["path"].alias("path"), b["feature"].alias("feature"))))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), " ")
     return out.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.char_length("text").cast("long"))
 
