@@ -4,9 +4,11 @@ Vectors are scaled to unit length and cut in halves; each half has its own codeb
 ``FIT_ROWS`` rows) and the pair of nearest centroids is the vector's cell in the product grid.  Every vector is
 indexed.  As a query it traverses cells in ascending order of a two-part distance, the sum over the halves of the
 squared distance to the border of the neighbouring centroid's region, until the target recall is reached: the
-stopping distance is the quantile of the true pairs' distances, taken from ``QUERIES`` query vectors compared
-with *all* rows in blocks.  Without true pairs, the distance below which no pair can be missed is used.  What a
-visited cell holds is verified by cosine in double precision.
+stopping distance is the largest quantile, over ``QUERIES`` query vectors compared with *all* rows in blocks, of the
+distances of a query's true pairs, so a large group of near copies doesn't decide for the others.  The recall is then
+measured on as many other queries, each on its own.  When one is under the target, or the queries stand for fewer than
+``LEAST`` groups (a query with n pairs for 1/n), the distance below which no pair can be missed is used.  What a visited
+cell holds is verified by cosine in double precision.
 
 Equal vectors of one label are one class; links are between classes and counted with their copies.  Cells and their
 visitors are cut into chunks that meet two by two, so a dense cell is spread over tasks and a task holds two
@@ -29,7 +31,8 @@ from docvault.llm.components import components
 
 COSINE = 0.93
 FIT_ROWS = 20_000  # rows, at most, that the codebooks are fitted on (by hash of the row id)
-QUERIES = 256  # query vectors, at most, for the stopping distance and the recall
+QUERIES = 256  # query vectors, at most, for the stopping distance, and as many others for the recall
+LEAST = 32  # groups that the queries must stand for, in the fit and in the recall
 TARGET = 0.999  # recall that the stopping distance aims at
 MARGIN = 1.5  # times the measured stopping distance
 CHUNK = 256  # vectors of a cell (and of its visitors) that meet in one comparison
@@ -120,8 +123,8 @@ def fit(vectors: DataFrame, dim: int, n: int, rows: int = FIT_ROWS) -> Grid:
 
 
 def true_pair_distances(vectors: DataFrame, grid: Grid, dim: int, cosine: float, queries: int = QUERIES) -> DataFrame:
-    """``need``: the traversal distance of each true pair (query vector, other vector), by comparing the queries with all
-    rows in blocks; the smaller one of the two directions, as either finds the pair."""
+    """``query, need``: number of the query vector and traversal distance of each true pair (query vector, other vector), by
+    comparing the queries with all rows in blocks; the smaller one of the two directions, as either finds the pair."""
     sample = (vectors.where(F.col("dim") == dim).orderBy(F.xxhash64("cid", F.lit(1)), "cid").limit(queries)
               .select("cid", "grp", "unit").collect())
     q = np.frombuffer(b"".join(bytes(r.unit) for r in sample), dtype=np.float64).reshape(-1, dim)
@@ -142,9 +145,25 @@ def true_pair_distances(vectors: DataFrame, grid: Grid, dim: int, cosine: float,
                 r = np.arange(len(i))
                 there = qa[j, xa.argmin(axis=1)] + qb[j, xb.argmin(axis=1)]
                 back = xa[r, nearest[0][j]] + xb[r, nearest[1][j]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(there, back), pa.float64())], names=["need"])
+                yield pa.RecordBatch.from_arrays([pa.array(j, pa.int64()), pa.array(np.minimum(there, back), pa.float64())],
+                                                 names=["query", "need"])
 
-    return vectors.where(F.col("dim") == dim).mapInArrow(run, "need double")
+    return vectors.where(F.col("dim") == dim).mapInArrow(run, "query long, need double")
+
+
+def stopping_distance(need: DataFrame, cosine: float, target: float, least: float = LEAST) -> dict:
+    """``query, need`` → the reach, from the queries of even number, with the recall of the odd ones at that reach."""
+    exact = 2 - 2 * cosine
+    even = F.col("query") % 2 == 0
+    per = need.where(even).groupBy("query").agg(
+        F.count("*").alias("n"), F.expr(f"percentile_approx(need, {target}, 10000)").alias("at"))
+    pairs, at, groups = per.agg(F.coalesce(F.sum("n"), F.lit(0)), F.max("at"), F.coalesce(F.sum(1 / F.col("n")), F.lit(0.0))).first()
+    reach = min(exact, MARGIN * at) if groups >= least else exact
+    found = need.where(~even).groupBy("query").agg(F.count("*").alias("n"), F.avg((F.col("need") <= reach).cast("double")).alias("recall"))
+    groups, recall, lowest = found.agg(F.coalesce(F.sum(1 / F.col("n")), F.lit(0.0)), F.avg("recall"), F.min("recall")).first()
+    if groups < least or lowest < target:  # the exact bound misses no pair
+        reach, recall = exact, None if recall is None else 1.0
+    return {"reach": reach, "pairs": pairs, "recall": recall}
 
 
 def _postings(grid: Grid, reach: float, dim: int):
@@ -238,12 +257,10 @@ def near_duplicates(rows: DataFrame, cosine: float = COSINE, target: float = TAR
     dims = vectors.groupBy("dim").count().collect()  # one row per vector length
     for dim, n in sorted((r["dim"], r["count"]) for r in dims):
         grid = fit(vectors, dim, n, fit_rows)
-        need = stage_table(true_pair_distances(vectors, grid, dim, cosine, queries), "need")
-        pairs, at = need.agg(F.count("*"), F.expr(f"percentile_approx(need, {target}, 10000)")).first()
-        exact = 2 - 2 * cosine
-        reach = exact if not pairs else min(exact, MARGIN * at)
-        recall = need.agg(F.avg((F.col("need") <= reach).cast("double"))).first()[0]
-        report[dim] = {"vectors": n, "cells": len(grid.books[0]) * len(grid.books[1]), "reach": reach, "pairs": pairs, "recall": recall}
+        need = stage_table(true_pair_distances(vectors, grid, dim, cosine, 2 * queries), "need")
+        cells = len(grid.books[0]) * len(grid.books[1])
+        report[dim] = {"vectors": n, "cells": cells, **stopping_distance(need, cosine, target)}
+        reach = report[dim]["reach"]
         found.append(links(vectors, grid, reach, dim, cosine, chunk))
     pairs = spark.createDataFrame([], "u long, v long")
     for f in found:
