@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docvault.session import scratch_path
+from docvault.session import MAX_BROADCAST_BYTES, scratch_path
 
 # What separates words (space, tab, line feed, vertical tab, form feed, carriage return).
 SEPARATORS = " \t\n\x0b\x0c\r"
 SEPARATOR_RUN = r"[\x20\x09-\x0D]+"
+EMPTY_HOST = ":///"  # of a path without a host: file:///a and file:/a are one file
 
 
 def word_array(text: Column | str) -> Column:
@@ -31,17 +32,42 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _scanned(df: DataFrame) -> bool:
+    """Whether a frame is columns and filters, the same in every evaluation, over one scan of Parquet files."""
+    plan = df._jdf.queryExecution().analyzed()
+    if not plan.deterministic():
+        return False
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        if not plan.deterministic():
+            return False
+        plan = plan.children().head()
+    if plan.nodeName() != "LogicalRelation":
+        return False
+    relation = plan.relation()
+    return relation.getClass().getSimpleName() == "HadoopFsRelation" and relation.fileFormat().toString() == "Parquet"
+
+
 def numbered(df: DataFrame, rid: str = "_rid") -> DataFrame:
     """Add a row id that is the same in every evaluation of the frame.
 
-    Row ids tell repeated rows (and rows whose key is null) apart.  ``monotonically_increasing_id`` is stable
-    over a scan or a local table, but not above a shuffle, so a frame with an exchange in its plan is written
-    to the shared folder first.
+    Row ids tell repeated rows (and rows whose key is null) apart.  ``monotonically_increasing_id`` hangs on how a
+    scan is cut, which changes with the executors that are there, so a row of a Parquet file is named by the number
+    of the file and its place in it, and any other frame is written to the shared folder together with its ids.
     """
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    if "Exchange" in plan or "Join" in plan or "Aggregate" in plan:
-        df = stage_table(df, "rows")
-    return df.withColumn(rid, F.monotonically_increasing_id())
+    named = _scanned(df) and fresh(df.columns, "_metadata") == "_metadata"
+    paths = sorted({p.replace(EMPTY_HOST, ":/") for p in df.inputFiles()}) if named else []
+    if not paths or sum(map(len, paths)) > MAX_BROADCAST_BYTES // 4:
+        return stage_table(df.withColumn(rid, F.monotonically_increasing_id()), "rows")
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    path, row = fresh([*df.columns, rid], "_path"), fresh([*df.columns, rid], "_row")
+    number, file = fresh([*df.columns, rid], "_number"), fresh([*df.columns, rid], "_file")
+    placed = df.select(*cols, F.replace("_metadata.file_path", F.lit(EMPTY_HOST), F.lit(":/")).alias(path), F.col("_metadata.row_index").alias(row))
+    if len(paths) == 1:
+        return placed.select(*cols, F.col(row).alias(rid))
+    unknown = F.raise_error(F.concat(F.lit("not among the files of the frame: "), F.col(path))).cast("long")
+    files = df.sparkSession.createDataFrame(list(enumerate(paths)), f"{number} long, {file} string")
+    placed = placed.join(F.broadcast(files), F.col(path) == F.col(file), "left")
+    return placed.select(*cols, (F.shiftleft(F.coalesce(F.col(number), unknown), 40) + F.col(row)).alias(rid))
 
 
 def fresh(columns: list[str], name: str) -> str:
