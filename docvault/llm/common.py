@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,6 +72,13 @@ def numbered(df: DataFrame, rid: str = "_rid") -> DataFrame:
     return placed.select(*cols, (F.shiftleft(F.coalesce(F.col(number), unknown), 40) + F.col(row)).alias(rid))
 
 
+def partitions_for(df: DataFrame, times: float = 3.0, bytes_per_task: int = 128 << 20) -> int:
+    """Partitions for a shuffle of about ``times`` the size that Spark estimates for ``df`` (compressed files are smaller
+    than their rows), at least the session's own number."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(times * size / bytes_per_task))
+
+
 def fresh(columns: list[str], name: str) -> str:
     """``name``, lengthened by underscores until no column has it (column names clash without regard to case)."""
     taken = {c.lower() for c in columns}

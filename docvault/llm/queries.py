@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docvault.llm import chat, embedding_links, html_main, line_dedup, mixing, packing, quality_rules, simhash, substring_dedup, token_files
+from docvault.llm import chat, embedding_links, fill_in_middle, html_main, line_dedup, mixing, packing, quality_rules, simhash, substring_dedup, token_files
 
 MODULES = {
     "op1_quality_rules": quality_rules,
@@ -15,6 +15,7 @@ MODULES = {
     "op8_substring_dedup": substring_dedup,
     "op9_html_main": html_main,
     "op10_packing": packing,
+    "op13_fill_in_middle": fill_in_middle,
 }
 
 QUERIES = {name: m.query for name, m in MODULES.items()}
