@@ -12,6 +12,7 @@ from docvault.session import MAX_BROADCAST_BYTES, scratch_path
 # What separates words (space, tab, line feed, vertical tab, form feed, carriage return).
 SEPARATORS = " \t\n\x0b\x0c\r"
 SEPARATOR_RUN = r"[\x20\x09-\x0D]+"
+MAX_PARTITIONS = 200_000  # of one shuffle
 EMPTY_HOST = ":///"  # of a path without a host: file:///a and file:/a are one file
 
 
@@ -74,9 +75,10 @@ def numbered(df: DataFrame, rid: str = "_rid") -> DataFrame:
 
 def partitions_for(df: DataFrame, times: float = 3.0, bytes_per_task: int = 128 << 20) -> int:
     """Partitions for a shuffle of about ``times`` the size that Spark estimates for ``df`` (compressed files are smaller
-    than their rows), at least the session's own number."""
+    than their rows), at least the session's own number.  Meant for scans and written tables: the estimate of a join is
+    the product of its sides."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(times * size / bytes_per_task))
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(math.ceil(times * size / bytes_per_task), MAX_PARTITIONS))
 
 
 def fresh(columns: list[str], name: str) -> str:

@@ -229,9 +229,9 @@ def sorted_pieces(docs: DataFrame, seed: int = SEED, fim_percent: int = FIM_PERC
                   size: int = PIECE) -> DataFrame:
     """The outputs of ``docs`` (doc_id, text) as pieces ``(_rid, pos, body, ...)``: all of a document in one partition, in
     output order; the first piece carries what is known of the document."""
-    rows = numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    pieces = rows.mapInArrow(_cut(seed, fim_percent, spm_percent, size), PIECES)
-    return pieces.repartition(partitions_for(rows), "_rid").sortWithinPartitions("_rid", "pos")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    pieces = numbered(docs).mapInArrow(_cut(seed, fim_percent, spm_percent, size), PIECES)
+    return pieces.repartition(partitions_for(docs), "_rid").sortWithinPartitions("_rid", "pos")
 
 
 def texts(docs: DataFrame, **options) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from docvault.llm import chat, embedding_links, fill_in_middle, html_main, line_dedup, mixing, packing, quality_rules, simhash, substring_dedup, token_files
+from docvault.llm import (chat, embedding_links, fill_in_middle, html_main, line_dedup, mixing, packing, piece_encoding,
+                          quality_rules, simhash, source_divergence, substring_dedup, token_files)
 
 MODULES = {
     "op1_quality_rules": quality_rules,
@@ -15,6 +16,8 @@ MODULES = {
     "op8_substring_dedup": substring_dedup,
     "op9_html_main": html_main,
     "op10_packing": packing,
+    "op11_source_divergence": source_divergence,
+    "op12_piece_encoding": piece_encoding,
     "op13_fill_in_middle": fill_in_middle,
 }
 
