@@ -1,17 +1,19 @@
 """Source divergence audit: how far the term frequencies of every source lie from those of the others in its language.
 
-The terms of a document are tagged with its language, so one ``CountVectorizer`` with the minimum of documents and the
-greatest vocabulary size is one vocabulary per language, and its vectors are exact and sparse.  Sums of the vectors by
-(lang, source) are taken entry by entry, with partial sums before the shuffle, so no dense vector is ever held.
+Each document becomes an exact sparse vector of term counts, and the vectors are summed by (lang, source), entry by entry,
+with partial sums before the shuffle, so no dense vector is ever held.  For texts of up to ``TEXT_BYTES`` in all (which
+bounds the vocabulary) the vectors come from ``CountVectorizer`` with the minimum of documents and the greatest vocabulary
+size, one vocabulary per language by a tag on every term.  It holds its vocabulary on the driver and in every task, and a
+vocabulary grows with the texts, so beyond that bound the same entries are made by grouping: a document's terms are
+sorted, the first of equal ones is marked, and one aggregate counts occurrences (all) and documents (the marked ones).
 
-A pair of sources is compared over all kept terms, but only entries are visited: of ``sum f(p(t), q(t))`` the terms in
-neither source have one value, the terms in one source depend on their count there alone, so they are taken from the
-histogram of counts of each source, and the terms in both, joined by term, correct what the two histograms said.
+The sums are kept as one row a term with the counts of its sources.  A pair of sources is compared over all kept terms,
+but only entries are visited: of ``sum f(p(t), q(t))`` the terms in neither source have one value, the terms in one source
+depend on their count there alone, so they are taken from the histogram of counts of each source, and the terms in both
+correct what the two histograms said.
 
-The vocabulary passes through the driver, so its size is estimated first (distinct terms by length class, HyperLogLog).
-Above ``VOCABULARY_BYTES`` the same entries come from grouped terms and a join with the kept ones.
-
-Probabilities are whole billionths, products and sums are decimals, so results are exact at any count.
+Probabilities are whole billionths, products are decimals, and sums are kept in two parts of 64 bits or as decimals, so
+results are exact at any count.
 
 Defined results: null text, lang and source count as the empty text; documents without terms make their group occur;
 a language without kept terms has pairs of value 0 and no terms; repeated rows count as documents of their own; an
@@ -33,7 +35,7 @@ from docvault.session import broadcast_if_small
 MIN_DOCS = 3
 RANKS = 200
 SCALE = 1_000_000_000
-VOCABULARY_BYTES = 64 << 20
+TEXT_BYTES = 64 << 20
 MAX_INT = 2**31 - 1
 BETWEEN_TERMS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 TAG = "\0"  # between language and term; no term holds it
@@ -48,14 +50,6 @@ def terms(docs: DataFrame) -> DataFrame:
                        F.array_remove(F.split(lower, BETWEEN_TERMS), "").alias("terms"))
 
 
-def vocabulary_bytes(rows: DataFrame) -> int:
-    """About the size of all different terms of all languages: distinct terms by length class times the class's bound."""
-    t = rows.select("lang", F.explode("terms").alias("t"))
-    size = F.octet_length("lang") + F.octet_length("t") + 1
-    by = t.groupBy(F.ceil(F.log2(size)).cast("int").alias("bits")).agg(F.approx_count_distinct(F.xxhash64("lang", "t")).alias("n"))
-    return sum((1 << r["bits"]) * r["n"] for r in by.collect())  # one row a power of two
-
-
 def document_vectors(rows: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, DataFrame]:
     """``(lang, source, vector)`` of every document and the vocabulary ``(entry, lang, term)`` of the vectors."""
     spark = rows.sparkSession
@@ -76,18 +70,25 @@ def _sums_of_vectors(rows: DataFrame, min_docs: int) -> DataFrame:
     return sums.join(broadcast_if_small(vocabulary.select("entry", "term")), "entry").select(*GROUP, "term", "n")
 
 
-def _sums_by_join(rows: DataFrame, min_docs: int) -> DataFrame:
-    kept = (rows.select("lang", F.explode(F.array_distinct("terms")).alias("term")).groupBy("lang", "term")
-            .agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= min_docs).select("lang", "term"))
-    sums = rows.select(*GROUP, F.explode("terms").alias("term")).groupBy(*GROUP, "term").agg(F.count(F.lit(1)).alias("n"))
-    return sums.join(kept, ["lang", "term"], "left_semi").select(*GROUP, "term", "n")
+def _sums_by_grouping(rows: DataFrame) -> DataFrame:
+    """Occurrences ``n`` and documents ``docs`` of every term of every group."""
+    t = F.col("sorted")
+    marked = F.transform(t, lambda x, i: F.struct(x.alias("term"), F.when((i > 0) & (F.get(t, i - 1) == x), 0).otherwise(1).alias("first")))
+    entries = rows.select(*GROUP, F.array_sort("terms").alias("sorted")).select(*GROUP, F.inline(marked))
+    return entries.groupBy(*GROUP, "term").agg(F.count(F.lit(1)).alias("n"), F.sum("first").alias("docs"))
 
 
-def group_sums(docs: DataFrame, min_docs: int = MIN_DOCS, vocabulary_limit: int = VOCABULARY_BYTES) -> tuple[DataFrame, DataFrame]:
-    """``(sums, groups)``: occurrences ``(lang, source, term, n)`` of the kept terms, and every (lang, source)."""
+def postings(docs: DataFrame, min_docs: int = MIN_DOCS, text_limit: int = TEXT_BYTES) -> tuple[DataFrame, DataFrame]:
+    """``(terms, groups)``, both written: the kept terms ``(lang, term, lang_n, counts)`` with the occurrences in each group
+    that has any, ``counts`` an array of ``(gid, n)``; and every ``(gid, lang, source)``."""
     rows = terms(docs)
-    sums = _sums_of_vectors if vocabulary_bytes(rows) <= vocabulary_limit else _sums_by_join
-    return stage_table(sums(rows, min_docs), "term-sums"), rows.select(*GROUP).distinct()
+    groups = stage_table(rows.select(*GROUP).distinct().withColumn("gid", F.monotonically_increasing_id()), "source-groups")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    sums = _sums_of_vectors(rows, min_docs).withColumn("docs", F.lit(min_docs)) if size <= text_limit else _sums_by_grouping(rows)
+    sums = sums.join(broadcast_if_small(groups), GROUP)
+    kept = sums.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs"),
+                                            F.collect_list(F.struct("gid", "n")).alias("counts"))
+    return stage_table(kept.where(F.col("docs") >= min_docs).drop("docs"), "term-counts"), groups
 
 
 def _share(n: Column | str, total: str = "total", kept: str = "kept") -> Column:
@@ -102,54 +103,57 @@ def _gap(p: Column | str, q: Column | str) -> Column:
     return F.call_function("div", (p - q) * (p - q), q)
 
 
-def pair_values(sums: DataFrame, groups: DataFrame) -> DataFrame:
-    """``(lang, source, item, value)`` for every ordered pair of sources of a language.
+def _exact_sum(value: Column, keys: list[str], rows: DataFrame) -> DataFrame:
+    """Sums of 64-bit values, in two parts so that they cannot overflow."""
+    high = F.call_function("div", value, F.lit(SCALE))
+    both = rows.select(*keys, value.alias("_v"), high.alias("_h")).groupBy(*keys).agg(
+        F.sum("_h").alias("_h"), F.sum(F.col("_v") - F.col("_h") * SCALE).alias("_l"))
+    return both.select(*keys, (F.col("_h").cast("decimal(20,0)") * F.lit(SCALE).cast("decimal(10,0)") + F.col("_l")).cast("decimal(38,0)").alias("value"))
 
-    ``sums`` has ``p``, the group's probability of the term, and ``p0``, that of a term it lacks."""
-    g = groups.select("lang", "source", "kept", "used", "p0")
-    h = broadcast_if_small(g.select("lang", F.col("source").alias("item"), F.col("used").alias("item_used"), F.col("p0").alias("q0")))
-    other = F.col("source") != F.col("item")
-    keys = ["lang", "source", "item"]
 
-    def total(value: Column) -> Column:
-        return F.sum(value.cast("decimal(20,0)")).alias("value")
+def pair_values(counts: DataFrame, groups: DataFrame) -> DataFrame:
+    """``(gid, other, value)`` for every ordered pair of sources of a language.
 
-    neither = (F.col("kept") - F.col("used") - F.col("item_used")).cast("decimal(19,0)") * F.coalesce(_gap("p0", "q0"), F.lit(0)).cast("decimal(19,0)")
-    base = g.join(h, "lang").where(other).select(*keys, neither.cast("decimal(38,0)").alias("value"))
-    counts = sums.groupBy("lang", "source", "p", "p0").agg(F.count(F.lit(1)).alias("m"))
+    ``counts`` ``(lang, term, shares)``: an array of ``(gid, p, p0)``, the group's probability of the term and that of a
+    term it lacks; ``groups`` ``(gid, lang, kept, used, p0)``."""
+    h = broadcast_if_small(groups.select("lang", F.col("gid").alias("other"), F.col("used").alias("other_used"), F.col("p0").alias("q0")))
+    keys, distinct = ["gid", "other"], F.col("gid") != F.col("other")
+    neither = (F.col("kept") - F.col("used") - F.col("other_used")).cast("decimal(19,0)") * F.coalesce(_gap("p0", "q0"), F.lit(0)).cast("decimal(19,0)")
+    base = groups.join(h, "lang").where(distinct).select(*keys, neither.cast("decimal(38,0)").alias("value"))
+    each = counts.select("lang", F.inline("shares"))
+    bars = stage_table(each.groupBy("lang", "gid", "p", "p0").agg(F.count(F.lit(1)).alias("m")), "histograms")
     times = F.col("m").cast("decimal(19,0)")
-    mine = counts.join(h, "lang").where(other).select(*keys, (times * _gap("p", "q0").cast("decimal(19,0)")).alias("value"))
-    theirs = counts.select("lang", F.col("source").alias("item"), F.col("p").alias("q"), "m")
-    theirs = theirs.join(broadcast_if_small(g.select("lang", "source", "p0")), "lang").where(other)
+    mine = bars.join(h, "lang").where(distinct).select(*keys, (times * _gap("p", "q0").cast("decimal(19,0)")).alias("value"))
+    theirs = bars.select("lang", F.col("gid").alias("other"), F.col("p").alias("q"), "m").join(
+        broadcast_if_small(groups.select("lang", "gid", "p0")), "lang").where(distinct)
     theirs = theirs.select(*keys, (times * _gap("p0", "q").cast("decimal(19,0)")).alias("value"))
-    b = sums.select("lang", "term", F.col("source").alias("item"), F.col("p").alias("q"), F.col("p0").alias("q0"))
-    both = sums.join(b, ["lang", "term"]).where(other)
-    both = both.groupBy(*keys).agg(total(_gap("p", "q") - _gap("p", "q0") - _gap("p0", "q") + _gap("p0", "q0")))
-    out = base
-    for part in (mine, theirs, both):
-        out = out.unionByName(part.groupBy(*keys).agg(F.sum("value").cast("decimal(38,0)").alias("value")) if part is not both
-                              else part.select(*keys, F.col("value").cast("decimal(38,0)").alias("value")))
+    both = counts.where(F.size("shares") > 1).select("shares", F.inline("shares")).select(
+        "gid", "p", "p0", F.inline(F.transform("shares", lambda x: F.struct(x["gid"].alias("other"), x["p"].alias("q"), x["p0"].alias("q0"))))).where(distinct)
+    out = base.unionByName(_exact_sum(_gap("p", "q") - _gap("p", "q0") - _gap("p0", "q") + _gap("p0", "q0"), keys, both))
+    for part in (mine, theirs):
+        out = out.unionByName(part.groupBy(*keys).agg(F.sum("value").cast("decimal(38,0)").alias("value")))
     return out.groupBy(*keys).agg(F.sum("value").cast("long").alias("value"))
 
 
-def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, ranks: int = RANKS, vocabulary_limit: int = VOCABULARY_BYTES) -> DataFrame:
+def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, ranks: int = RANKS, text_limit: int = TEXT_BYTES) -> DataFrame:
     """Parts ``pair`` (every other source) and ``term`` (the ``ranks`` terms most above their language) of each group."""
-    sums, groups = group_sums(docs, min_docs, vocabulary_limit)
-    of_lang = sums.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"))
-    langs = of_lang.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"), F.sum("lang_n").alias("lang_total"))
-    totals = sums.groupBy(*GROUP).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("used"))
-    g = groups.join(broadcast_if_small(totals), GROUP, "left").join(broadcast_if_small(langs), "lang", "left")
+    found, groups = postings(docs, min_docs, text_limit)
+    langs = found.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"), F.sum("lang_n").alias("lang_total"))
+    totals = found.select(F.inline("counts")).groupBy("gid").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("used"))
+    g = groups.join(broadcast_if_small(totals), "gid", "left").join(broadcast_if_small(langs), "lang", "left")
     g = g.na.fill(0, ["total", "used", "kept", "lang_total"]).withColumn("p0", _share(F.lit(0)))
-    g = stage_table(g, "source-groups")
-    known = sums.join(broadcast_if_small(g), GROUP).withColumn("p", _share("n"))
+    g = stage_table(g, "group-totals")
+    known = found.select("lang", "term", "lang_n", F.inline("counts")).join(broadcast_if_small(g), ["lang", "gid"]).withColumn("p", _share("n"))
+    names = broadcast_if_small(g.select("gid", *GROUP))
     order = W.partitionBy(*GROUP).orderBy(F.col("value").desc(), F.col("item").asc())
-    pairs = pair_values(known.select(*GROUP, "term", "p", "p0"), g)
+    shares = known.groupBy("lang", "term").agg(F.collect_list(F.struct("gid", "p", "p0")).alias("shares"))
+    pairs = pair_values(stage_table(shares, "term-shares"), g).join(names, "gid")
+    pairs = pairs.join(broadcast_if_small(g.select(F.col("gid").alias("other"), F.col("source").alias("item"))), "other")
     pairs = pairs.withColumn("rank", F.row_number().over(order)).withColumn("part", F.lit("pair"))
-    above = known.select(*GROUP, "term", "p", "kept", "lang_total").join(of_lang, ["lang", "term"])
-    above = above.withColumn("q", _share("lang_n", "lang_total")).where("p > q")
+    above = known.withColumn("q", _share("lang_n", "lang_total")).where("p > q")
     top = above.select(*GROUP, F.col("term").alias("item"), _gap("p", "q").alias("value"))
     top = top.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= ranks).withColumn("part", F.lit("term"))
-    return pairs.unionByName(top).select(*GROUP, "part", "item", "value", "rank")
+    return pairs.select(*GROUP, "part", "item", "value", "rank").unionByName(top.select(*GROUP, "part", "item", "value", "rank"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
