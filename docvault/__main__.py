@@ -26,7 +26,7 @@ from docvault.plans.migrate import verify_restore
 from docvault.plans.restore import indexes_root, run_restore
 from docvault.session import path_exists
 from docvault.sinks.snapshot import numbers, read_snapshot
-from docvault.sinks.target import docs_root, read_target
+from docvault.sinks.target import docs_root, read_target, stored_types
 from docvault.sources.config import read_backup_config, read_manifest
 from docvault.streaming.restore import stream_restore
 
@@ -74,7 +74,8 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "backup":
         request = read_backup_config(spark, args.config, args.client)
         indexes = _indexes(spark, args.indexes) if args.indexes and not args.skip_indexes else None
-        res = run_backup(spark, _store(spark, args.store), request, args.out, indexes,
+        catalog = stored_types(spark, args.store) if path_exists(spark, docs_root(args.store)) else None
+        res = run_backup(spark, _store(spark, args.store), request, args.out, indexes, catalog=catalog,
                          skip_indexes=args.skip_indexes, fmt=args.format, compression=args.compression, cluster=args.cluster)
         print(res.run_dir)
     else:

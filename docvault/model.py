@@ -68,6 +68,8 @@ MANIFEST_NAME = "backup.json"
 DUMPS_DIR = "dumps"
 JSONL_DIR = "jsonl"
 ARRAYS_DIR = "arrays"
+# Fixed value: the columns of Spark's binary file source.
+BINARY_COLUMNS = "path string, modificationTime timestamp, length long, content binary"
 
 
 class ConfigNotFound(Exception):
@@ -80,3 +82,7 @@ class ConfigParseError(Exception):
 
 class RestoreError(Exception):
     """A restore cannot proceed (e.g. a dump named by the manifest is missing)."""
+
+
+class ConflictError(RestoreError):
+    """Another job changed the same thing since this one read it; nothing was published."""

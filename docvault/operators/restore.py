@@ -78,6 +78,39 @@ def add_target_salts(touched: DataFrame, target_bytes: dict, bytes_per_task: int
     return local_frame(touched.sparkSession, fixed, touched.schema)
 
 
+def plan_buckets(touched: DataFrame, catalog: DataFrame, manifest: DataFrame, sizes: DataFrame | None = None,
+                 bytes_per_task: int = BYTES_PER_TASK) -> DataFrame:
+    """``touched`` with ``salts`` = the number of buckets each type will have, and ``kept``: whether it has them already.
+
+    A type's buckets follow its bytes: what the catalog says is stored and what its dumps hold (``sizes``: file, bytes).
+    Stored buckets are kept until they are more than twice too large; then the type is written anew with more of them."""
+    spark = touched.sparkSession
+    have = catalog.groupBy("tkey").agg(F.max("buckets").alias("_have"), F.sum(F.coalesce("bytes", F.lit(0))).alias("_stored"))
+    out = touched.join(broadcast_if_small(have), "tkey", "left")
+    if sizes is None:
+        out = out.withColumn("_new", F.lit(0).cast("long"))
+    else:
+        new = manifest.join(broadcast_if_small(sizes), "file").groupBy(*KEY).agg(F.sum("bytes").alias("_new"))
+        out = out.join(broadcast_if_small(new), KEY, "left")
+    size = F.coalesce("_stored", F.lit(0)) + F.coalesce("_new", F.lit(0))
+    wanted = F.greatest(F.col("salts"), F.ceil(size / F.lit(bytes_per_task)).cast("int"))
+    kept = F.coalesce(wanted <= 2 * F.col("_have"), F.lit(False))
+    out = out.select(*KEY, "tkey", F.when(kept, F.col("_have")).otherwise(wanted).alias("salts"), kept.alias("kept"))
+    return small_frame(spark, out, "touched types")[0]
+
+
+def buckets_to_read(catalog: DataFrame, loaded: DataFrame, touched: DataFrame) -> DataFrame:
+    """The stored buckets that a restore has to read and replace: those in which a restored id falls, and all of a type that
+    is bucketed anew.  ``touched`` from :func:`plan_buckets`; only ids are read."""
+    t = broadcast_if_small(touched.select(*KEY, "tkey", "salts", "kept"))
+    hit = (loaded.where(~F.col("bad")).select(*KEY, "id").join(t, KEY).where("kept")
+           .select("tkey", F.pmod(F.xxhash64("id"), "salts").cast("int").alias("bucket")).distinct())
+    named = catalog.join(broadcast_if_small(touched.select("tkey", "kept")), "tkey")
+    whole = named.where(~F.col("kept")).drop("kept")
+    return whole.unionByName(named.where("kept").drop("kept").join(broadcast_if_small(small_frame(touched.sparkSession, hit, "hit buckets")[0]),
+                                                                   ["tkey", "bucket"], "left_semi"))
+
+
 def touched_part(target: DataFrame, touched: DataFrame) -> DataFrame:
     """The target rows of the touched types.  ``touched`` (from :func:`touched_types`) is one row per type;
     its keys become a static partition filter, so untouched types of the target are not even listed."""
@@ -100,7 +133,8 @@ def merge_types(target: DataFrame, loaded: DataFrame, touched: DataFrame) -> Dat
     grouping keys include both (``salt`` is a function of ``id``, so groups are unchanged), hence the
     aggregation needs no second exchange, every task holds few types (few output files per type) and a huge
     type is split over ``salts`` tasks.  ``max_by`` over text is sort-based: it spills instead of failing.
-    Output: ``(client, tenant, type, id, doc, tkey)``.
+    ``target`` may be limited to the buckets that :func:`buckets_to_read` names.
+    Output: ``(client, tenant, type, id, doc, tkey, bucket)``; the bucket is the salt.
     """
     t = broadcast_if_small(touched.select(*KEY, "tkey", "salts"))
     current = (touched_part(target, touched).select(*KEY, "id", "doc").join(t, KEY)
@@ -111,7 +145,7 @@ def merge_types(target: DataFrame, loaded: DataFrame, touched: DataFrame) -> Dat
     least = int(touched.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (u.repartition(max(int(tasks), least), "tkey", "salt")
             .groupBy("tkey", "salt", *KEY, "id").agg(F.max_by("doc", "seq").alias("doc"))
-            .select(*KEY, "id", "doc", "tkey"))
+            .select(*KEY, "id", "doc", "tkey", F.col("salt").cast("int").alias("bucket")))
 
 
 def upsert(target: DataFrame, loaded: DataFrame, touched: DataFrame) -> DataFrame:

@@ -224,6 +224,13 @@ WHERE EXISTS (SELECT 1 FROM touched t WHERE t.client = s.client AND t.tenant = s
 
     "stream_restore": _with(*BASE, MANIFEST, TOUCHED, UPSERTED) + "SELECT * FROM upserted",
 
+    "stream_restore_widened": _with(*BASE, MANIFEST, TOUCHED, UPSERTED) + """
+        SELECT * FROM upserted
+        UNION ALL BY NAME
+        SELECT s.client, 'tenant_9' AS tenant, s.type, s.id, false AS stale, s.payload
+        FROM store s JOIN touched t ON t.client = s.client AND t.tenant = s.tenant AND t.type = s.type WHERE s.tenant = 'tenant_0'""",
+    "target_catalog": _with(*BASE, MANIFEST, TOUCHED, UPSERTED) + """
+        SELECT client, tenant, type, count(*) AS n_docs FROM upserted GROUP BY client, tenant, type""",
     "verify_documents": _with(*BASE, MANIFEST, TOUCHED) + """
 SELECT s.client, s.tenant, s.type,
        count(*) FILTER (WHERE CAST(s.id AS BIGINT) % 7 = 1) AS missing,

@@ -24,7 +24,7 @@ from docvault.plans.migrate import migrate
 from docvault.plans.restore import indexes_root, restore_frames, run_restore
 from docvault.sinks.dumps import new_run_dir, write_dumps, write_jsonl_dumps, write_manifest
 from docvault.sinks.snapshot import read_snapshot
-from docvault.sinks.target import drop_types_in_place, read_target, write_types
+from docvault.sinks.target import drop_types_in_place, read_target, stored_types, write_types
 from docvault.functions.json import has_weights_all, index_name, prepare_options
 from docvault.session import scratch_path, small_frame, write_text_file
 from docvault.sources.config import read_backup_config, read_manifest, request_frame
@@ -255,6 +255,23 @@ def q_stream_restore(spark, sf_dir):
     return target_view(read_target(spark, root))
 
 
+def q_stream_restore_widened(spark, sf_dir):
+    """C4 with one checkpoint and three manifests: a subset, everything, and everything of one tenant under another name."""
+    b = _backup(spark, sf_dir, with_indexes=False)
+    root, ckpt = scratch_path(spark, "q-target"), scratch_path(spark, "q-stream-ckpt")
+    _seed(spark, root, stale_target(spark, sf_dir))
+    m = read_manifest(spark, b.manifest_path)
+    for step in (select_manifest(m, types=["click", "src1"]), m, select_manifest(m, tenants=["tenant_0"], retarget_tenant={"tenant_0": "tenant_9"})):
+        stream_restore(spark, b.run_dir, root, ckpt, manifest=step)
+    return target_view(read_target(spark, root))
+
+
+def q_target_catalog(spark, sf_dir):
+    """S1 of a restored target, from the catalog that its restores maintain."""
+    _, root, _ = _restore_into_stale(spark, sf_dir)
+    return stored_types(spark, root)
+
+
 # ---------------------------------------------------------------- V1–V3
 
 def q_verify_documents(spark, sf_dir):
@@ -395,6 +412,8 @@ QUERIES = {
     "restore_upsert": q_restore_upsert,
     "migrate": q_migrate,
     "stream_restore": q_stream_restore,
+    "stream_restore_widened": q_stream_restore_widened,
+    "target_catalog": q_target_catalog,
     "verify_documents": q_verify_documents,
     "verify_indexes": q_verify_indexes,
     "drop_type": q_drop_type,

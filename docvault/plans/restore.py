@@ -11,16 +11,17 @@ import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docvault.model import INDEX_SCHEMA, MANIFEST_NAME, RestoreError
 from docvault.operators.indexes import ensure_indexes
-from docvault.operators.restore import (add_target_salts, load_documents, merge_types, restore_totals,
-                                       touched_types, with_counts)
-from docvault.session import small_frame
-from docvault.sinks.snapshot import publish, read_snapshot
-from docvault.sinks.target import partition_bytes, read_target, stage_types, switch_types
+from docvault.operators.restore import (buckets_to_read, load_documents, merge_types, plan_buckets, restore_totals,
+                                       touched_types)
+from docvault.session import broadcast_if_small, small_frame
+from docvault.sinks.snapshot import commit, current
+from docvault.sinks.target import CATALOG_SCHEMA, catalog_root, read_buckets, read_catalog, stage_types, switch_types
 from docvault.sources.config import read_manifest
-from docvault.sources.dumps import read_dumps
+from docvault.sources.dumps import dump_bytes, locate_dumps, read_dumps
 
 KEY = ["client", "tenant", "type"]
 log = logging.getLogger("docvault.restore")
@@ -37,21 +38,23 @@ def indexes_root(target_root: str) -> str:
 
 
 def restore_frames(spark: SparkSession, dumps: DataFrame, manifest_local: DataFrame, target: DataFrame,
-                   target_root: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame, list]:
+                   ) -> tuple[DataFrame, DataFrame, DataFrame, list]:
     """``(loaded, merged, totals, total rows)``: the documents read from the dumps, the new content of the touched types,
     and the per-row totals.  The target is not written.
 
-    The totals are evaluated first (ids only), so the merge is split by the documents that the dumps really hold, and
-    with ``target_root`` by what the target already stores for each type."""
+    The dumps are counted first, so the merge is split by the documents that they really hold."""
     loaded = load_documents(dumps, manifest_local)
-    named = touched_types(manifest_local)
-    totals, rows = small_frame(spark, restore_totals(manifest_local, loaded, target, named), "restore totals")
-    touched = touched_types(with_counts(manifest_local, list(rows)))
-    if target_root is not None:
-        touched = add_target_salts(touched, partition_bytes(spark, target_root, [r["tkey"] for r in touched.collect()]))
+    touched = touched_types(_counted(spark, manifest_local, loaded))
+    totals, rows = small_frame(spark, restore_totals(manifest_local, loaded, target, touched), "restore totals")
     return loaded, merge_types(target, loaded, touched), totals, rows
 
 
+def _counted(spark: SparkSession, manifest: DataFrame, loaded: DataFrame) -> DataFrame:
+    """The manifest with the documents that its dumps really hold (of parquet dumps only footers are read)."""
+    counts, _ = small_frame(spark, loaded.groupBy("ord").agg(F.count(F.lit(1)).alias("n_docs")), "dump counts")
+    return manifest.drop("n_docs").join(broadcast_if_small(counts), "ord", "left")
+
+
 def check_complete(manifest_local: DataFrame, totals) -> None:
     """A dump with fewer texts, or more documents, than its manifest row counted has lost or gained a part."""
     counted = {r["ord"]: (r["total"], r["total"] - r["rejected"]) for r in totals}
@@ -61,11 +64,34 @@ def check_complete(manifest_local: DataFrame, totals) -> None:
             raise RestoreError(f"dump {r['file']} holds {documents} documents, its manifest row says {r['n_docs']}")
 
 
+def create_indexes(spark: SparkSession, manifest_local: DataFrame, target_root: str) -> int:
+    """J2 on the stored index table; made again when another job published indexes meanwhile.  Returns how many are new."""
+    created = 0
+
+    def change(have: DataFrame) -> DataFrame | None:
+        nonlocal created
+        made, new_indexes = ensure_indexes(manifest_local, have)
+        created = made.count()
+        return new_indexes.coalesce(1) if created else None
+
+    commit(spark, indexes_root(target_root), INDEX_SCHEMA, change)
+    return created
+
+
 def restore_dumps(spark: SparkSession, dumps: DataFrame, manifest_local: DataFrame, target_root: str, run_name: str,
-                  skip_indexes: bool = False, strict: bool = True) -> RestoreResult:
+                  skip_indexes: bool = False, strict: bool = True, sizes: DataFrame | None = None) -> RestoreResult:
     """Restore documents that were read from dumps: check everything, stage the documents, then publish indexes and
-    documents.  A failed check changes nothing."""
-    loaded, merged, totals, rows = restore_frames(spark, dumps, manifest_local, read_target(spark, target_root), target_root)
+    documents.  A failed check changes nothing.  ``sizes`` ``(file, bytes)``: stored bytes of the dumps.
+
+    Only the buckets of the touched types in which a restored id falls are read and rewritten."""
+    base = current(spark, catalog_root(target_root)) or 0
+    catalog = read_catalog(spark, target_root, base) if base else spark.createDataFrame([], CATALOG_SCHEMA)
+    loaded = load_documents(dumps, manifest_local)
+    touched = plan_buckets(touched_types(_counted(spark, manifest_local, loaded)), catalog, manifest_local, sizes)
+    affected, _ = small_frame(spark, buckets_to_read(catalog, loaded, touched), "affected buckets")
+    target = read_buckets(spark, target_root, affected)
+    totals, rows = small_frame(spark, restore_totals(manifest_local, loaded, target, touched), "restore totals")
+    merged = merge_types(target, loaded, touched)
     bad = [r for r in rows if r["rejected"]]
     if bad:
         first = bad[0]
@@ -82,12 +108,8 @@ def restore_dumps(spark: SparkSession, dumps: DataFrame, manifest_local: DataFra
     ver = stage_types(merged, target_root)
     created = 0
     if not skip_indexes and "indexes" in manifest_local.columns:
-        have = read_snapshot(spark, indexes_root(target_root), INDEX_SCHEMA)
-        made, new_indexes = ensure_indexes(manifest_local, have)
-        created = made.count()
-        if created:
-            publish(spark, indexes_root(target_root), new_indexes.coalesce(1))
-    switch_types(spark, target_root, ver)
+        created = create_indexes(spark, manifest_local, target_root)
+    switch_types(spark, target_root, ver, base, touched.select("tkey", F.col("salts").alias("buckets"), "kept"))
     for r in rows:
         log.info("restored %s/%s/%s: %d documents, %d new, %d replaced", r["client"], r["tenant"], r["type"], r["total"],
                  r["inserted"], r["replaced"])
@@ -100,5 +122,6 @@ def run_restore(spark: SparkSession, run_dir: str, target_root: str, skip_indexe
     if manifest is None:
         manifest = read_manifest(spark, f"{run_dir}/{MANIFEST_NAME}")
     manifest_local, rows = small_frame(spark, manifest, "manifest")
-    return restore_dumps(spark, read_dumps(spark, run_dir, rows), manifest_local, target_root,
-                         run_dir.rstrip("/").rsplit("/", 1)[-1], skip_indexes, strict)
+    where = locate_dumps(spark, run_dir, rows)
+    return restore_dumps(spark, read_dumps(spark, run_dir, rows, where), manifest_local, target_root,
+                         run_dir.rstrip("/").rsplit("/", 1)[-1], skip_indexes, strict, dump_bytes(spark, run_dir, where))

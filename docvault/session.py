@@ -12,6 +12,7 @@ import tempfile
 import time
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -103,6 +104,36 @@ def write_text_file(spark: SparkSession, path: str, text: str, overwrite: bool =
         raise OSError(f"could not commit {path}")
 
 
+def put_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create one small file with its whole content, unless it exists: of several writers exactly one gets True.
+
+    The content is written to a temporary name first.  On a local file system a hard link to it is the exclusive step;
+    elsewhere a rename, which HDFS refuses when the name is taken."""
+    fs, p = hadoop_fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    tmp = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.{uuid.uuid4().hex}.tmp")
+    if fs.exists(p):
+        return False
+    out = fs.create(tmp, False)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    try:
+        if fs.getUri().getScheme() == "file":
+            as_file = lambda q: jvm.java.io.File(q.toUri().getPath()).toPath()
+            try:
+                jvm.java.nio.file.Files.createLink(as_file(p), as_file(tmp))
+                return True
+            except Py4JJavaError:
+                if fs.exists(p):
+                    return False
+                raise
+        return not fs.exists(p) and bool(fs.rename(tmp, p))
+    finally:
+        fs.delete(tmp, False)
+
+
 def read_text_file(spark: SparkSession, path: str) -> str:
     fs, p = hadoop_fs(spark, path)
     if not fs.exists(p):

@@ -24,11 +24,13 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docvault.model import ARRAYS_DIR, DUMPS_DIR, JSONL_DIR, MAX_OBJECT_BYTES, RestoreError
-from docvault.session import broadcast_if_small, list_names, path_exists, scratch_path, small_frame
+import docvault.session as session
+from docvault.model import ARRAYS_DIR, BINARY_COLUMNS, DUMPS_DIR, JSONL_DIR, MAX_OBJECT_BYTES, RestoreError
+from docvault.session import broadcast_if_small, list_names, local_frame, scratch_path, small_frame
 
 FRAMED_SCHEMA = "file string, path string, blk long, pos long, doc string"
 LOADED_SCHEMA = "file string, path string, blk long, pos long, id string, bad boolean, doc string"
+LINES_SCHEMA = "file string, path string, blk long, mono long, id string, bad boolean, doc string"
 _PARSE = "struct<_id: variant, _corrupt_record: string>"
 # One JSON object and nothing else (what follows it would be lost with the line): the parsers stop after a first value,
 # so the text is put into an array whose second element must then be this mark.
@@ -215,38 +217,53 @@ def read_parquet_dumps(spark: SparkSession, dumps_dir: str, keys: list[str]) ->
     """Own parquet dumps of the given keys.  No parsing: ``id`` is stored; ``pos`` is the row index."""
     if not keys:
         return spark.createDataFrame([], LOADED_SCHEMA)
-    df = spark.read.schema("id string, doc string, file string").parquet(dumps_dir).where(F.col("file").isin(keys))
-    return df.select("file", F.col("_metadata.file_path").alias("path"), F.lit(0).cast("long").alias("blk"),
-                     F.col("_metadata.row_index").alias("pos"), "id", F.lit(False).alias("bad"), "doc")
+    df = spark.read.schema("id string, doc string, file string").parquet(dumps_dir)
+    return of_files(df.select("file", F.col("_metadata.file_path").alias("path"), F.lit(0).cast("long").alias("blk"),
+                              F.col("_metadata.row_index").alias("pos"), "id", F.lit(False).alias("bad"), "doc"), keys)
 
 
-def line_numbers(lines: DataFrame) -> DataFrame:
-    """``(path, blk, mono, ...)`` → ``pos`` = the line's number inside its file, whatever the split size.
+def raw_lines(df: DataFrame) -> DataFrame:
+    """A scan of JSONL files (``file, value``) → ``(file, path, blk, mono, id, bad, doc)``, to be written before it is numbered."""
+    lines = df.select("file", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("blk"),
+                      F.monotonically_increasing_id().alias("pos"), F.col("value").alias("doc"))
+    return with_parsed_id(lines).withColumnRenamed("pos", "mono")
 
-    ``mono`` (``monotonically_increasing_id`` taken directly above the scan) is consecutive inside a block;
-    per-block line counts (one row per block, broadcast) give each block's first line number.
+
+def line_positions(written: DataFrame) -> DataFrame:
+    """Written :func:`raw_lines` → dump rows whose ``pos`` is the line's number in its file.
+
+    ``mono`` rises inside a block (a split of a file), and the lines of the blocks before one give its first number, one
+    row per block.  How a scan is cut follows the cores that are registered, so block starts and ``mono`` only agree
+    within one evaluation: both the counts and the lines are read from what that evaluation wrote.
     """
-    blocks = lines.groupBy("path", "blk").agg(F.min("mono").alias("_m0"), F.count(F.lit(1)).alias("_n"))
+    blocks = written.groupBy("path", "blk").agg(F.min("mono").alias("_m0"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy("path").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.select("path", "blk", "_m0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_l0"))
-    starts = broadcast_if_small(small_frame(lines.sparkSession, starts, "dump blocks")[0])
-    return (lines.join(starts, ["path", "blk"])
-            .withColumn("pos", F.col("_l0") + F.col("mono") - F.col("_m0")).drop("_l0", "_m0", "mono"))
+    starts = broadcast_if_small(small_frame(written.sparkSession, starts, "dump blocks")[0])
+    return (written.join(starts, ["path", "blk"])
+            .select("file", "path", F.lit(0).cast("long").alias("blk"), (F.col("_l0") + F.col("mono") - F.col("_m0")).alias("pos"),
+                    "id", "bad", "doc"))
+
+
+def of_files(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose ``file`` is among ``keys``: a static partition filter for a short list, a join for a long one."""
+    spark = df.sparkSession
+    if len(keys) <= session.MAX_PRUNE_VALUES:
+        return df.where(F.col("file").isin(keys))
+    return df.join(broadcast_if_small(local_frame(spark, [(k,) for k in keys], "file string")), "file", "left_semi")
 
 
 def read_jsonl_dumps(spark: SparkSession, dumps_dir: str, keys: list[str]) -> DataFrame:
     """JSONL dumps of the given keys → ``(file, path, blk, pos, id, bad, doc)``.
 
-    Only the named ``file=`` partitions are listed and read (partition pruning); ``pos`` is the line number
-    in the file (:func:`line_numbers`), so ids given to documents without ``_id`` are stable across runs.
+    Only the named ``file=`` partitions are read; the lines are parsed and written once and numbered from there, so ids
+    given to documents without ``_id`` are the same on every run.
     """
     if not keys:
         return spark.createDataFrame([], LOADED_SCHEMA)
-    df = spark.read.schema("value string, file string").text(dumps_dir).where(F.col("file").isin(keys))
-    lines = df.select("file", F.col("_metadata.file_path").alias("path"),
-                      F.col("_metadata.file_block_start").alias("blk"),
-                      F.monotonically_increasing_id().alias("mono"), F.col("value").alias("doc"))
-    return with_parsed_id(line_numbers(lines).select("file", "path", "blk", "pos", "doc"))
+    # the metadata columns are taken at the scan: the join of a long list of keys comes after them
+    df = spark.read.schema("value string, file string").text(dumps_dir)
+    return line_positions(stage_parsed(of_files(raw_lines(df), keys)))
 
 
 def locate_dumps(spark: SparkSession, run_dir: str, manifest_rows: list) -> dict:
@@ -255,6 +272,17 @@ def locate_dumps(spark: SparkSession, run_dir: str, manifest_rows: list) -> dict
         return {n[5:] for n, d in list_names(spark, f"{run_dir}/{sub}") if d and n.startswith("file=")}
 
     parquet, jsonl, arrays = keys(DUMPS_DIR), keys(JSONL_DIR), keys(ARRAYS_DIR)
+    own = {n for n, _ in list_names(spark, run_dir)}
+    nested: dict[str, set] = {}  # file names with folders: one listing per folder
+
+    def there(f: str) -> bool:
+        folder, _, name = f.rpartition("/")
+        if not folder:
+            return name in own
+        if folder not in nested:
+            nested[folder] = {n for n, _ in list_names(spark, f"{run_dir}/{folder}")}
+        return name in nested[folder]
+
     found = {"parquet": set(), "jsonl": set(), "array": set(), "foreign": set()}
     for r in manifest_rows:
         f = r["file"]
@@ -264,7 +292,7 @@ def locate_dumps(spark: SparkSession, run_dir: str, manifest_rows: list) -> dict
             found["jsonl"].add(f)
         elif f in arrays:
             found["array"].add(f)
-        elif path_exists(spark, f"{run_dir}/{f}"):
+        elif there(f):
             found["foreign"].add(f)
         elif r["n_docs"] is not None and r["n_docs"] == 0:
             continue
@@ -273,6 +301,37 @@ def locate_dumps(spark: SparkSession, run_dir: str, manifest_rows: list) -> dict
     return {k: sorted(v) for k, v in found.items()}
 
 
+# Where the dump files of each kind lie in a run directory; foreign files lie in it directly.
+FOLDERS = {"parquet": DUMPS_DIR, "jsonl": JSONL_DIR, "array": ARRAYS_DIR}
+
+
+def list_dump_files(spark: SparkSession, run_dir: str, kind: str, keys: list[str]) -> DataFrame:
+    """``(file, path, length)`` of the dump files of the given keys: a listing that Spark distributes; nothing is opened.
+    ``path`` is written as the scan of the kind writes it."""
+    path = F.col("_metadata.file_path").alias("path") if kind in ("parquet", "jsonl") else F.col("path")
+    place = [path, F.col("_metadata.file_size").alias("length")]
+    if not keys:
+        return spark.createDataFrame([], "file string, path string, length long")
+    if kind == "foreign":
+        files = spark.read.format("binaryFile").load([f"{run_dir}/{_literal(k)}" for k in keys])
+        return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), *place)
+    partitions = ", ".join(["file string", *(["chunk int"] if kind == "array" else [])])
+    files = spark.read.format("binaryFile").schema(f"{BINARY_COLUMNS}, {partitions}").load(f"{run_dir}/{FOLDERS[kind]}")
+    return of_files(files.select("file", *place), keys)
+
+
+def dump_bytes(spark: SparkSession, run_dir: str, where: dict) -> DataFrame:
+    """``(file, bytes)`` of located dumps, from file listings."""
+    out = None
+    for kind, keys in where.items():
+        if keys:
+            part = list_dump_files(spark, run_dir, kind, keys)
+            out = part if out is None else out.unionByName(part)
+    if out is None:
+        return spark.createDataFrame([], "file string, bytes long")
+    return out.groupBy("file").agg(F.sum("length").alias("bytes"))
+
+
 def stage_parsed(df: DataFrame) -> DataFrame:
     """Text dumps are framed and parsed once: the result is written to the shared folder and read from there."""
     path = scratch_path(df.sparkSession, "parsed-dumps")
@@ -285,14 +344,15 @@ def _literal(name: str) -> str:
     return "".join(f"\\{c}" if c in "\\*?[]{},^" else c for c in name)
 
 
-def read_dumps(spark: SparkSession, run_dir: str, manifest_rows: list) -> DataFrame:
-    """Every dump named by the manifest, each file once → ``(file, path, blk, pos, id, bad, doc)``."""
-    where = locate_dumps(spark, run_dir, manifest_rows)
+def read_dumps(spark: SparkSession, run_dir: str, manifest_rows: list, where: dict | None = None) -> DataFrame:
+    """Every dump named by the manifest, each file once → ``(file, path, blk, pos, id, bad, doc)``.
+    ``where``: the located dumps, when they are known."""
+    where = locate_dumps(spark, run_dir, manifest_rows) if where is None else where
     parts = []
     if where["parquet"] or not (where["jsonl"] or where["array"] or where["foreign"]):
         parts.append(read_parquet_dumps(spark, f"{run_dir}/{DUMPS_DIR}", where["parquet"]))
     if where["jsonl"]:
-        parts.append(stage_parsed(read_jsonl_dumps(spark, f"{run_dir}/{JSONL_DIR}", where["jsonl"])))
+        parts.append(read_jsonl_dumps(spark, f"{run_dir}/{JSONL_DIR}", where["jsonl"]))
     if where["array"]:  # our own, of bounded size
         paths = [f"{run_dir}/{ARRAYS_DIR}/file={k}" for k in where["array"]]
         parts.append(stage_parsed(with_parsed_id(frame_array_files(spark, paths))))

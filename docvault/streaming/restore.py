@@ -2,13 +2,17 @@
 
 ``readStream`` over the run's dumps, one stream per kind that the manifest names (parquet, JSONL, own array files, array
 files of other origin), ``maxFilesPerTrigger`` bounds a micro-batch and ``trigger(availableNow=True)`` drains what is
-there.  A micro-batch only parses its files and writes them, with their place in the dump, to
-``<checkpoint>-staged/<kind>/batch=<id>`` (overwritten by a replay, so at-least-once delivery stays exact).  When the
-streams have stopped, the staged documents go through the same restore as a batch: the same order (manifest row, file,
-position), checks, totals, rejects and one merge, so each touched type is written once.
+there.  A micro-batch only parses its files and writes them, with their place in the dump, under ``<checkpoint>-staged``.
 
-Files that arrive in several runs with one checkpoint are staged once; a run that finds new files merges everything
-staged so far, one that finds none returns the totals of the last merge.
+A ledger beside the staged rows names every dump file that is staged: path, length, rows.  A run lists the files of its
+own manifest and stages those that the ledger lacks, whatever manifests earlier runs had: the streams of a run cover the
+keys with such files and keep their progress under a name made of these keys, and a micro-batch leaves out what the
+ledger has.  A batch is written first and entered in the ledger then; a replayed batch that is entered is skipped, one
+that isn't overwrites its rows, so at-least-once delivery stays exact.  A staged file whose length changes is an error.
+
+When the streams have stopped, the staged rows of the manifest's files go through the same restore as a batch: the same
+order (manifest row, file, position), checks, totals, rejects and one merge, so each touched type is written once.  A
+merge is recorded by target, manifest and files; a run that repeats one returns its totals.
 """
 
 from __future__ import annotations
@@ -18,74 +22,149 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docvault.model import ARRAYS_DIR, DUMPS_DIR, JSONL_DIR, MANIFEST_NAME
+from docvault.model import ARRAYS_DIR, BINARY_COLUMNS, DUMPS_DIR, JSONL_DIR, MANIFEST_NAME, RestoreError
 from docvault.plans.restore import restore_dumps
-from docvault.session import list_names, path_exists, small_frame
+from docvault.session import broadcast_if_small, list_names, path_exists, small_frame
 from docvault.sources.config import read_manifest
-from docvault.sources.dumps import LOADED_SCHEMA, _literal, frame_binary, line_numbers, locate_dumps, with_parsed_id
-
-_BINARY = "path string, modificationTime timestamp, length long, content binary"
+from docvault.sources.dumps import (LINES_SCHEMA, LOADED_SCHEMA, _literal, dump_bytes, frame_binary, line_positions,
+                                    list_dump_files, locate_dumps, of_files, raw_lines, with_parsed_id)
 
+LEDGER_SCHEMA = "path string, length long, rows long"
+EMPTY = "batch=empty-"  # ledger entries of files without rows
+FOREVER = "36500d"  # files are told apart by the ledger, never by their age
 
-def _sources(spark: SparkSession, run_dir: str, where: dict, most: int) -> dict:
-    """Per kind the stream of its raw rows and the step that makes dump rows of a micro-batch."""
-    def stream(kind, schema):
-        return spark.readStream.format(kind).schema(schema).option("maxFilesPerTrigger", most)
 
-    def frame(batch):
-        return with_parsed_id(frame_binary(batch))
-
-    def lines(batch):
-        rows = batch.select("file", "path", "blk", F.monotonically_increasing_id().alias("mono"), "doc")
-        return with_parsed_id(line_numbers(rows).select("file", "path", "blk", "pos", "doc"))
+def _source(spark: SparkSession, run_dir: str, kind: str, keys: list[str], most: int) -> DataFrame:
+    """The stream of one kind's rows.  ``path`` names the file; JSONL rows are numbered when they have been written."""
+    def stream(fmt, schema):
+        return (spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", most).option("maxFileAge", FOREVER))
 
     path = F.col("_metadata.file_path").alias("path")
-    out = {}
-    if where["parquet"]:
+    if kind == "parquet":
         src = stream("parquet", "id string, doc string, file string").load(f"{run_dir}/{DUMPS_DIR}")
-        out["parquet"] = (src.where(F.col("file").isin(where["parquet"])).select(
-            "file", path, F.lit(0).cast("long").alias("blk"), F.col("_metadata.row_index").alias("pos"), "id",
-            F.lit(False).alias("bad"), "doc"), lambda batch: batch)
-    if where["jsonl"]:
+        rows = src.select("file", path, F.lit(0).cast("long").alias("blk"), F.col("_metadata.row_index").alias("pos"), "id",
+                          F.lit(False).alias("bad"), "doc")
+    elif kind == "jsonl":
         src = stream("text", "value string, file string").load(f"{run_dir}/{JSONL_DIR}")
-        out["jsonl"] = (src.where(F.col("file").isin(where["jsonl"])).select(
-            "file", path, F.col("_metadata.file_block_start").alias("blk"), F.col("value").alias("doc")), lines)
-    if where["array"]:
-        src = stream("binaryFile", f"{_BINARY}, file string, chunk int").load(f"{run_dir}/{ARRAYS_DIR}")
-        out["array"] = src.where(F.col("file").isin(where["array"])).select("path", "content"), frame
-    if where["foreign"]:
-        names = ",".join(_literal(f) for f in where["foreign"])
-        src = stream("binaryFile", _BINARY).load(f"{run_dir}/{{{names}}}")
-        out["foreign"] = src.select("path", "content"), frame
-    return out
+        rows = src.select("file", path, F.col("_metadata.file_block_start").alias("blk"), F.col("value").alias("doc"))
+    elif kind == "array":
+        src = stream("binaryFile", f"{BINARY_COLUMNS}, file string, chunk int").load(f"{run_dir}/{ARRAYS_DIR}")
+        rows = src.select("file", "path", "content")
+    else:
+        names = ",".join(_literal(f) for f in keys)
+        src = stream("binaryFile", BINARY_COLUMNS).load(f"{run_dir}/{{{names}}}")
+        return src.select(F.element_at(F.split("path", "/"), -1).alias("file"), "path", "content")
+    return of_files(rows, keys)
+
+
+def _parsed(kind: str, batch: DataFrame) -> DataFrame:
+    if kind == "parquet":
+        return batch
+    if kind == "jsonl":
+        rows = batch.select("file", "path", "blk", F.monotonically_increasing_id().alias("pos"), "doc")
+        return with_parsed_id(rows).withColumnRenamed("pos", "mono")
+    return with_parsed_id(frame_binary(batch))
+
+
+def _entered(spark: SparkSession, staged_root: str, kind: str) -> list[str]:
+    """``<stream>/batch=<id>`` of the batches that the ledger has."""
+    root = f"{staged_root}/ledger/{kind}"
+    return [f"{s}/{b}" for s, _ in list_names(spark, root) for b, _ in list_names(spark, f"{root}/{s}")
+            if path_exists(spark, f"{root}/{s}/{b}/_SUCCESS")]
+
+
+def _read(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def read_ledger(spark: SparkSession, staged_root: str, kind: str) -> DataFrame:
+    """The dump files of one kind that are staged: ``(path, length, rows)``."""
+    return _read(spark, [f"{staged_root}/ledger/{kind}/{b}" for b in _entered(spark, staged_root, kind)], LEDGER_SCHEMA)
+
+
+def _digest(*parts: str) -> str:
+    return hashlib.sha256("\0".join(parts).encode()).hexdigest()[:20]
+
+
+def _stage_kind(spark: SparkSession, run_dir: str, kind: str, keys: list[str], most: int, base: str) -> DataFrame:
+    """Stage the files of ``keys`` that the ledger lacks; returns the staged rows of ``keys``."""
+    staged_root = f"{base}-staged"
+    listed, _ = small_frame(spark, list_dump_files(spark, run_dir, kind, keys), "dump files")
+    ledger, _ = small_frame(spark, read_ledger(spark, staged_root, kind), "staged files")
+    both = listed.join(ledger.select("path", F.col("length").alias("was")), "path", "left")
+    changed = both.where(F.col("was") != F.col("length")).first()
+    if changed:
+        raise RestoreError(f"dump file {changed['path']} has {changed['length']} bytes, but {changed['was']} when it was staged")
+    new, rows = small_frame(spark, both.where(F.col("was").isNull()).select("file", "path", "length"), "new dump files")
+    wanted = sorted({r["file"] for r in rows})
+    if wanted:
+        name = _digest(run_dir, *wanted)
+        data, entries = f"{staged_root}/{kind}/{name}", f"{staged_root}/ledger/{kind}/{name}"
+        lengths = new.select("path", "length")
+
+        def enter(paths: DataFrame, at: str) -> None:
+            paths.select("path", "length", "rows").write.mode("overwrite").parquet(at)
+
+        def stage(batch: DataFrame, batch_id: int) -> None:
+            if path_exists(spark, f"{entries}/batch={batch_id}/_SUCCESS"):
+                return
+            fresh = batch.join(broadcast_if_small(lengths.select("path")), "path", "left_semi")
+            parsed = _parsed(kind, fresh.select(*batch.columns))
+            parsed.write.mode("overwrite").parquet(f"{data}/batch={batch_id}")
+            written = spark.read.schema(parsed.schema).parquet(f"{data}/batch={batch_id}").groupBy("path").agg(F.count(F.lit(1)).alias("rows"))
+            enter(written.join(lengths, "path"), f"{entries}/batch={batch_id}")
+
+        query = (_source(spark, run_dir, kind, wanted, most).writeStream.foreachBatch(stage)
+                 .option("checkpointLocation", f"{base}/{kind}/{name}").trigger(availableNow=True).start())
+        query.awaitTermination()
+        # what was listed before the stream ran and gave no rows holds none
+        known = read_ledger(spark, staged_root, kind).select("path")
+        empty = lengths.join(broadcast_if_small(known), "path", "left_anti").withColumn("rows", F.lit(0).cast("long"))
+        enter(empty, f"{entries}/{EMPTY}{len(list_names(spark, entries))}")
+    schema = LINES_SCHEMA if kind == "jsonl" else LOADED_SCHEMA
+    batches = [f"{staged_root}/{kind}/{b}" for b in _entered(spark, staged_root, kind) if not b.rsplit("/", 1)[1].startswith(EMPTY)]
+    staged = _read(spark, batches, schema)
+    columns = staged.columns
+    staged = of_files(staged, keys).join(broadcast_if_small(listed.select("path")), "path", "left_semi").select(*columns)
+    return line_positions(staged) if kind == "jsonl" else staged
 
 
 def stream_restore(spark: SparkSession, run_dir: str, target_root: str, checkpoint: str, max_files_per_trigger: int = 64,
-                   manifest: DataFrame | None = None, strict: bool = True, skip_indexes: bool = True) -> DataFrame:
+                   manifest: DataFrame | None = None, strict: bool = True, skip_indexes: bool = False) -> DataFrame:
     """C4.  Returns the per-manifest-row totals, as the batch restore does."""
     if manifest is None:
         manifest = read_manifest(spark, f"{run_dir}/{MANIFEST_NAME}")
     manifest_local, rows = small_frame(spark, manifest, "manifest")
     base = checkpoint.rstrip("/")
-    staged_root = f"{base}-staged"
-    staged, held = [], []
-    for kind, (src, parse) in _sources(spark, run_dir, locate_dumps(spark, run_dir, rows), max_files_per_trigger).items():
-        def stage(batch: DataFrame, batch_id: int, kind=kind, parse=parse) -> None:
-            parse(batch).write.mode("overwrite").parquet(f"{staged_root}/{kind}/batch={batch_id}")
-
-        query = (src.writeStream.foreachBatch(stage).option("checkpointLocation", f"{base}/{kind}")
-                 .trigger(availableNow=True).start())
-        query.awaitTermination()
-        if path_exists(spark, f"{staged_root}/{kind}"):
-            held += [f"{kind}/{n}" for n, _ in list_names(spark, f"{staged_root}/{kind}") if n.startswith("batch=")]
-            staged.append(spark.read.schema(LOADED_SCHEMA).parquet(f"{staged_root}/{kind}").drop("batch"))
-    # a run that found nothing new since the last merge has nothing to do: its totals are those of that merge
-    done = f"{base}-merged/{hashlib.sha256(' '.join([target_root, *sorted(held)]).encode()).hexdigest()[:20]}"
+    where = locate_dumps(spark, run_dir, rows)
+    dumps = spark.createDataFrame([], LOADED_SCHEMA)
+    for kind, keys in where.items():
+        if keys:
+            dumps = dumps.unionByName(_stage_kind(spark, run_dir, kind, keys, max_files_per_trigger, base))
+    # a run that repeats a merge has nothing to do: its totals are those of that merge
+    named = _digest(target_root, run_dir, str(skip_indexes), str(strict), *_content(manifest_local), *_files(spark, run_dir, where))
+    done = f"{base}-merged/{named}"
     if path_exists(spark, f"{done}/_SUCCESS"):
         return spark.read.parquet(done).orderBy("ord")
-    dumps = spark.createDataFrame([], LOADED_SCHEMA)
-    for s in staged:
-        dumps = dumps.unionByName(s)
-    result = restore_dumps(spark, dumps, manifest_local, target_root, run_dir.rstrip("/").rsplit("/", 1)[-1], skip_indexes, strict)
+    result = restore_dumps(spark, dumps, manifest_local, target_root, run_dir.rstrip("/").rsplit("/", 1)[-1], skip_indexes, strict,
+                           sizes=dump_bytes(spark, run_dir, where))
     result.totals.write.mode("overwrite").parquet(done)
     return result.totals
+
+
+def _content(manifest: DataFrame) -> list[str]:
+    """A digest of the manifest's rows, whatever their number."""
+    text = F.to_json(F.struct(*manifest.columns))
+    got = manifest.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(text).cast("decimal(20,0)")).alias("h"),
+                       F.bit_xor(F.xxhash64(F.lit("x"), text)).alias("x")).first()
+    return [str(v) for v in got]
+
+
+def _files(spark: SparkSession, run_dir: str, where: dict) -> list[str]:
+    out = []
+    for kind, keys in where.items():
+        if keys:
+            got = list_dump_files(spark, run_dir, kind, keys).agg(
+                F.count(F.lit(1)), F.sum("length"), F.sum(F.xxhash64("path", "length").cast("decimal(20,0)"))).first()
+            out += [kind, *(str(v) for v in got)]
+    return out
