@@ -66,6 +66,13 @@ def scratch_path(spark: SparkSession, prefix: str) -> str:
     return f"{shared_dir(spark)}/{prefix}-{int(time.time())}-{uuid.uuid4().hex[:12]}"
 
 
+def staged(df: DataFrame, prefix: str) -> DataFrame:
+    """``df`` written to the shared folder and read from there."""
+    path = scratch_path(df.sparkSession, prefix)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def hadoop_fs(spark: SparkSession, path: str):
     """(FileSystem, Path) for a path, through the JVM so any Hadoop-compatible store works."""
     jvm = spark.sparkContext._jvm

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 import docvault.session as session
 from docvault.model import ARRAYS_DIR, BINARY_COLUMNS, DUMPS_DIR, JSONL_DIR, MAX_OBJECT_BYTES, RestoreError
-from docvault.session import broadcast_if_small, list_names, local_frame, scratch_path, small_frame
+from docvault.session import broadcast_if_small, list_names, local_frame, small_frame, staged
 
 FRAMED_SCHEMA = "file string, path string, blk long, pos long, doc string"
 LOADED_SCHEMA = "file string, path string, blk long, pos long, id string, bad boolean, doc string"
@@ -143,15 +143,59 @@ def frame_array_files(spark: SparkSession, paths: list[str], max_bytes: int = MA
     return frame_binary(raw, max_bytes)
 
 
+def _sum(column: str, frame):
+    return F.coalesce(F.sum(column).over(frame), F.lit(0))
+
+
+def _split_states(pieces: DataFrame) -> DataFrame:
+    """Measured pieces → ``path, blk, _own, _back``, one row per split: its home, and the last home before it.
+
+    A home is the first piece of a split that opens an object outside all others: its ``mono``, whether it starts inside a
+    string (``odd``), its place ``at`` and the number of objects before it.  Depth is never negative in a file that can be
+    framed, so depth 0 is where a split's running sum is lowest, whatever the depth it starts at."""
+    split = Window.partitionBy("path", "blk")
+    before = split.orderBy("mono").rowsBetween(Window.unboundedPreceding, -1)
+    n = pieces.select("path", "blk", "mono", "bytes", "flip", "out", "in")
+    n = n.withColumn("rel", _sum("flip", before) % 2).withColumn("off", _sum("bytes", before))
+    for odd in (0, 1):  # as if the split started outside (0) or inside (1) a string
+        quoted = (F.col("rel") + odd) % 2 == 1
+        opens = F.when(quoted, F.col("in")).otherwise(F.col("out"))
+        n = n.withColumn(f"opens{odd}", opens).withColumn(f"step{odd}", opens - (quoted == (F.col("flip") == 1)).cast("int"))
+    for odd in (0, 1):
+        n = n.withColumn(f"depth{odd}", _sum(f"step{odd}", before))
+    for odd in (0, 1):
+        n = n.withColumn(f"low{odd}", F.min(f"depth{odd}").over(split))
+    sums = [F.sum("flip").alias("flips"), F.sum("bytes").alias("bytes")]
+    for odd in (0, 1):
+        starts = (F.col(f"opens{odd}") > 0) & (F.col(f"depth{odd}") == F.col(f"low{odd}"))
+        home = F.when(starts, F.struct("mono", "rel", "off"))
+        sums.append(F.struct(F.sum(f"step{odd}").alias("step"), F.min(f"low{odd}").alias("low"), F.count_if(starts).alias("starts"),
+                             F.min(home).alias("home")).alias(f"as{odd}"))
+    splits = n.groupBy("path", "blk").agg(*sums)
+    earlier = Window.partitionBy("path").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("odd", _sum("flips", earlier) % 2).withColumn("at", _sum("bytes", earlier))
+    now = F.when(F.col("odd") == 1, F.col("as1")).otherwise(F.col("as0"))
+    splits = splits.select("path", "blk", "odd", "at", now.alias("now")).select("path", "blk", "odd", "at", "now.*")
+    splits = splits.withColumn("depth", _sum("step", earlier))
+    splits = splits.withColumn("starts", F.when(F.col("depth") == -F.col("low"), F.col("starts")).otherwise(0))
+    splits = splits.withColumn("objects", _sum("starts", earlier))
+    own = F.when(F.col("starts") > 0, F.struct(
+        F.col("home.mono").alias("mono"), F.col("blk").alias("home"), ((F.col("odd") + F.col("home.rel")) % 2).alias("odd"),
+        (F.col("at") + F.col("home.off")).alias("at"), F.col("objects").alias("objects")))
+    splits = splits.select("path", "blk", own.alias("_own"))
+    return splits.withColumn("_back", F.last("_own", ignorenulls=True).over(earlier))
+
+
 def frame_text_files(spark: SparkSession, paths: list[str], max_bytes: int = MAX_OBJECT_BYTES) -> DataFrame:
     """S7 over files of any length: ``(file, path, blk, pos, doc)``, read in splits.
 
-    The text reader cuts a file after each ``}``.  Of a piece only the parity of its real quotes and the number of ``{``
-    outside strings matter, which depends on whether it starts inside a string; running sums, first over the splits of
-    a file (one row each), then over the pieces of a split, give the state before each piece.  A piece that starts
-    outside every object opens the next one, and the pieces of an object are put together again.  Text outside
-    objects other than white space, commas and brackets, an object over ``max_bytes``, an unbalanced ``}`` or an
-    unterminated object is an error that names the file.
+    The text reader cuts a file after each ``}``.  What a piece does to the state (inside a string or not, depth) hangs on
+    whether it starts inside a string, so it is measured for both cases; the measures are composed to one row per split, and
+    running sums over these rows give the state before each split.  All of that moves narrow rows.  A split's *home* is where
+    an object opens outside all others; the pieces from one home to the next, mostly one split, are a group that holds
+    whole objects, so the text is written once, moved once to its groups and put together there.  Text outside objects other
+    than white space, commas and brackets, an object over ``max_bytes``, an unbalanced ``}`` or an unterminated object is an
+    error that names the file.
     """
     if not paths:
         return spark.createDataFrame([], FRAMED_SCHEMA)
@@ -169,28 +213,26 @@ def frame_text_files(spark: SparkSession, paths: list[str], max_bytes: int = MAX
         "path", "blk", "size", "mono", "value", (F.octet_length("value") + 1).cast("long").alias("bytes"),
         ((F.size("_parts") - 1) % 2).alias("flip"), opens(0).alias("out"), opens(1).alias("in"))
     p = stage_parsed(p)
-    inside = Window.partitionBy("path", "blk").orderBy("mono")
-    upto, before = inside.rowsBetween(Window.unboundedPreceding, 0), inside.rowsBetween(Window.unboundedPreceding, -1)
-
-    def carried(column, name):
-        """Sum of ``column`` over all pieces of the file before this one: within the split, and over the splits before."""
-        total = p.groupBy("path", "blk").agg(F.sum(column).alias("_s"))
-        w = Window.partitionBy("path").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
-        total = total.select("path", "blk", F.coalesce(F.sum("_s").over(w), F.lit(0)).alias("_b"))
-        return (p.join(broadcast_if_small(total), ["path", "blk"])
-                .withColumn(name, F.col("_b") + F.coalesce(F.sum(column).over(before), F.lit(0))).drop("_b"))
-
-    p = stage_parsed(carried("flip", "quotes").withColumn("quoted", F.col("quotes") % 2 == 1))
-    p = stage_parsed(carried("bytes", "at"))
+    own, back = F.col("_own"), F.col("_back")
+    here = F.col("mono") >= own["mono"]  # the home of this split has been reached
+    start = F.when(here, own).otherwise(back)
+    p = p.join(broadcast_if_small(_split_states(p)), ["path", "blk"])
+    p = p.withColumn("_start", start).select(
+        "path", "blk", "size", "mono", "value", "bytes", "flip", "out", "in",
+        *[F.coalesce(F.col("_start")[c], F.lit(none)).alias(f"_{c}") for c, none in (("home", -1), ("odd", 0), ("at", 0), ("objects", 0))])
+    group = Window.partitionBy("path", "_home").orderBy("blk", "mono")
+    upto = group.rowsBetween(Window.unboundedPreceding, 0)
+    before = group.rowsBetween(Window.unboundedPreceding, -1)
+    p = (p.withColumn("quoted", (F.col("_odd") + _sum("flip", before)) % 2 == 1)
+         .withColumn("at", F.col("_at") + _sum("bytes", before))
+         .withColumn("opens", F.when(F.col("quoted"), F.col("in")).otherwise(F.col("out"))))
     # the reader does not tell whether the last piece was followed by a brace: the file's length does
-    closed = (F.col("at") + F.col("bytes") <= F.col("size")) & (F.col("quoted") == (F.col("flip") == 1))
-    p = p.withColumn("shut", closed).withColumn("step", F.when(F.col("quoted"), F.col("in")).otherwise(F.col("out")) - F.col("shut").cast("int"))
-    p = stage_parsed(carried("step", "depth"))
-    p = p.withColumn("first", (F.col("depth") == 0) & (F.col("step") + F.col("shut").cast("int") > 0))
+    shut = (F.col("at") + F.col("bytes") <= F.col("size")) & (F.col("quoted") == (F.col("flip") == 1))
+    p = p.withColumn("step", F.col("opens") - shut.cast("int")).withColumn("depth", _sum("step", before))
+    p = p.withColumn("first", (F.col("depth") == 0) & (F.col("opens") > 0))
+    p = p.withColumn("object", F.col("_objects") + F.sum(F.col("first").cast("int")).over(upto) - 1)
     p = p.withColumn("head", F.when(F.col("first"), F.substring_index("value", "{", 1))
                      .when((F.col("depth") == 0) & ~F.col("first"), F.col("value")))
-    p = p.withColumn("starts", F.col("first").cast("int"))
-    p = carried("starts", "object").withColumn("object", F.col("object") + F.col("starts") - 1)
     last = F.col("at") + F.col("bytes") >= F.col("size")
     wrong = (F.when(F.col("depth") + F.col("step") < 0, "an unbalanced '}'")
              .when(F.col("head").isNotNull() & ~F.col("head").rlike(r"^[ \t\r\n,\[\]]*$"), "text outside an object")
@@ -198,9 +240,9 @@ def frame_text_files(spark: SparkSession, paths: list[str], max_bytes: int = MAX
     fail = F.raise_error(F.concat(F.col("path"), F.lit(": "), wrong, F.lit(" near byte "), F.col("at").cast("string")))
     text = F.when(F.col("first"), F.substring("value", F.char_length("head") + 1, F.char_length("value"))).otherwise(F.col("value"))
     text = F.concat(text, F.when(F.col("at") + F.col("bytes") <= F.col("size"), F.lit("}")).otherwise(F.lit("")))
-    part = p.select("path", "object", "at", F.when(wrong.isNotNull(), fail).otherwise(F.col("head").isNull() | F.col("first")).alias("keep"), text.alias("text"))
+    part = p.select("path", "_home", "object", "at", F.when(wrong.isNotNull(), fail).otherwise(F.col("head").isNull() | F.col("first")).alias("keep"), text.alias("text"))
     part = part.where("keep")
-    whole = part.groupBy("path", "object").agg(F.sum(F.octet_length("text")).alias("n"), F.array_sort(F.collect_list(F.struct("at", "text"))).alias("t"))
+    whole = part.groupBy("path", "_home", "object").agg(F.sum(F.octet_length("text")).alias("n"), F.array_sort(F.collect_list(F.struct("at", "text"))).alias("t"))
     doc = F.array_join(F.transform("t", lambda x: x["text"]), "")
     doc = F.when(F.col("n") > max_bytes, F.raise_error(F.concat(F.col("path"), F.lit(f": object exceeds {max_bytes} bytes")))).otherwise(doc)
     key = F.regexp_extract("path", r"/file=([^/]+)/", 1)
@@ -334,9 +376,7 @@ def dump_bytes(spark: SparkSession, run_dir: str, where: dict) -> DataFrame:
 
 def stage_parsed(df: DataFrame) -> DataFrame:
     """Text dumps are framed and parsed once: the result is written to the shared folder and read from there."""
-    path = scratch_path(df.sparkSession, "parsed-dumps")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return staged(df, "parsed-dumps")
 
 
 def _literal(name: str) -> str:
