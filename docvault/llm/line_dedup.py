@@ -3,12 +3,14 @@ common blocks are deleted from the later document.
 
 1. Documents with the same lines are one class; all but the first of a class are aligned with it as a whole.
 2. Lines (trimmed, not blank) are hashed; of the lines that at least two classes hold, a *rare* one (at most
-   ``RARE`` classes) pairs up all its documents, a more frequent one pairs each later document with the earliest
-   that holds it.  So each shared line has a partner for each later document, and the pairs grow with the lines,
-   never with the square of a group.
+   ``RARE`` classes) pairs up all its documents.  Whatever the frequency, each shortest run of consecutive lines that
+   reaches ``MIN_CHARS`` (from each first line on, and back from each last line) pairs a later document with the earliest
+   that holds the run.  A block common to two documents is made of such runs, so each of its lines has a partner,
+   and the pairs grow with the lines, never with the square of a group.
 3. Each pair is aligned over its shared lines: common ends, then lines that occur once in both (longest increasing
    run), recursively, then repeated lines by their count.  Runs of aligned lines that follow each other in both
-   documents, with at least ``MIN_CHARS`` characters, are deleted from the later document.
+   documents, with at least ``MIN_CHARS`` characters, are deleted from the later document.  A block that stands in
+   another order than in all its partners is not aligned, as in any diff.
 
 "Later" is by doc_id (nulls last), then row.  Scale: only hashes and lengths of shared lines travel to the pairs;
 a frequent line or a first document with many partners is a join key that Spark splits; the texts are joined once
@@ -105,6 +107,53 @@ def blocks(a: list, b: list, at_a: list[int], at_b: list[int], chars: list[int],
     return out
 
 
+def runs(places, chars, min_chars: int, documents=(0,)):
+    """The shortest runs ``[first, end)`` of lines in consecutive places that reach ``min_chars``, from each first line on and
+    back from each last line: every line of a block that reaches it stands in one of them.  ``documents`` are the
+    indexes at which documents begin."""
+    import numpy as np
+
+    places, n, need = np.asarray(places, np.int64), len(places), max(min_chars, 1)
+    if not n:
+        return np.empty((0, 2), np.int64)
+    new = np.ones(n, bool)
+    new[1:] = places[1:] != places[:-1] + 1
+    new[[d for d in documents if d < n]] = True
+    begins = np.flatnonzero(new)
+    piece = np.cumsum(new) - 1
+    stops = np.append(begins[1:], n)
+    sums = np.concatenate([[0], np.cumsum(np.asarray(chars, np.int64))])
+    at = np.arange(n)
+    end = np.searchsorted(sums, sums[:-1] + need)
+    first = np.searchsorted(sums, sums[1:] - need, "right") - 1
+    on, back = end <= stops[piece], first >= begins[piece]
+    pairs = np.concatenate([np.stack([at[on], end[on]], 1), np.stack([first[back], at[back] + 1], 1)])
+    return np.unique(pairs, axis=0)
+
+
+def _runs(min_chars: int):
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import xxhash
+
+        for batch in batches:
+            lines = batch.column("lines")
+            flat, ends = lines.flatten(), np.cumsum([0, *lines.value_lengths().to_pylist()])
+            hashes = flat.field("hash").to_numpy(zero_copy_only=False).astype("<i8")
+            found = runs(flat.field("place").to_numpy(zero_copy_only=False), flat.field("chars").to_numpy(zero_copy_only=False), min_chars, ends[:-1])
+            keys, raw = hashes[found[:, 0]], hashes.tobytes()  # a run of one line is named by the line
+            for k in np.flatnonzero(found[:, 1] - found[:, 0] > 1).tolist():
+                i, j = found[k].tolist()
+                h = xxhash.xxh64_intdigest(raw[8 * i:8 * j])
+                keys[k] = h - (1 << 64) if h >> 63 else h
+            row = np.searchsorted(ends, found[:, 0], "right") - 1
+            yield pa.RecordBatch.from_arrays([batch.column("rid").take(pa.array(row)), batch.column("doc").take(pa.array(row)),
+                                              pa.array(keys, pa.int64())], names=["rid", "doc", "run"])
+
+    return run
+
+
 def _align(min_chars: int):
     def run(batches):
         import pyarrow as pa
@@ -149,16 +198,22 @@ def deletions(rows: DataFrame, rid: str = "_rid", doc_id: str = "doc_id", text:
     reps = lines.join(first.select(F.col("first").alias("rid")), "rid", "left_semi")
     occ = reps.select("rid", "doc", F.explode("lines").alias("s")).select("rid", "doc", "s.hash", "s.line", "s.place", "s.chars")
     per_doc = occ.select("hash", "rid", "doc").distinct()
-    shared = per_doc.groupBy("hash").agg(F.count("*").alias("n"), F.min(order).alias("o")).where("n > 1")
-    shared = stage_table(shared.select("hash", "n", F.col("o")["r"].alias("first")), "shared-lines")
+    shared = per_doc.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stage_table(shared, "shared-lines")
     occ = stage_table(occ.join(shared, "hash"), "line-places")
-    star = occ.where("rid <> first").select(F.col("rid").alias("later"), F.col("first").alias("earlier"))
+    seqs = occ.groupBy("rid", "doc").agg(F.array_sort(F.collect_list(F.struct("place", "line", "hash", "chars"))).alias("lines"))
+    seqs = stage_table(seqs, "line-sequences")
+    typed = f"rid long, doc {seqs.schema['doc'].dataType.simpleString()}, run long"
+    held = stage_table(seqs.mapInArrow(_runs(min_chars), typed), "line-runs")
+    seqs = seqs.drop("doc")
+    holders = held.groupBy("run").agg(F.count("*").alias("n"), F.min(order).alias("o")).where("n > 1")
+    holders = stage_table(holders.select("run", F.col("o")["r"].alias("earlier")), "run-holders")
+    star = held.join(holders, "run").where("rid <> earlier").select(F.col("rid").alias("later"), "earlier")
     few = occ.where(F.col("n") <= rare).groupBy("hash").agg(F.array_sort(F.collect_set(order)).alias("g"))
     among = F.flatten(F.transform("g", lambda b, j: F.transform(
         F.slice(F.col("g"), F.lit(1), j), lambda a: F.struct(b["r"].alias("later"), a["r"].alias("earlier")))))
     pairs = stage_table(star.union(few.select(F.explode(among).alias("p")).select("p.later", "p.earlier")).distinct(), "line-pairs")
 
-    seqs = stage_table(occ.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("place", "line", "hash", "chars"))).alias("lines")), "line-sequences")
     met = pairs.join(seqs.select(F.col("rid").alias("earlier"), F.col("lines").alias("other_lines")), "earlier")
     met = stage_table(met, "line-partners").join(seqs.withColumnRenamed("rid", "later"), "later")
     found = met.select("later", "lines", "other_lines").mapInArrow(_align(min_chars), "rid long, gone array<int>")
