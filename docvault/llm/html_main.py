@@ -1,8 +1,11 @@
 """Main-text extraction from whole HTML pages with a site style tree.
 
-1. Each page is parsed once into blocks of text and a tree of elements.  What names itself as furniture (by tag,
-   role, class or id) is marked, and the article region is chosen.
-2. The trees of one host are merged into a site style tree: an element is identified by its path of tags and classes.
+1. Each page is parsed once, in time linear in its length, into blocks of text and a tree of elements.  What names
+   itself as furniture (by tag, role, class or id) is marked, and the article region is chosen: the largest candidate
+   and its siblings of the same kind, in page order.  Inside an article a class or id marks furniture only if all of
+   its words do (``share-bar``, not ``share-price``); what else repeats there is for the tree to find.
+2. The trees of one host are merged into a site style tree: an element is identified by its path of tags, classes
+   and ids (long numbers in classes and all numbers in ids count as one).
    For each such node, over the host's pages with different main text: the *presentation* importance is the entropy
    of its child sequences, the *content* importance is one minus the mean entropy of its texts over pages (a text
    on every page has entropy 1), and the composite is ``(1 - G**l) * presentation + G**l * content`` with ``l``
@@ -17,9 +20,9 @@ aggregates, so a host with a third of all pages is no hot task; only pages that
 and Spark picks its kind from the written size.
 
 Defined results: a null or empty html gives an empty text; a null or odd url counts as host ''; repeated pages are
-pages of their own; pages without an article element fall back to main, then to a content container, then to
-the body without link lists; unclosed elements end where HTML says; an empty table gives no rows; other columns
-are ignored.
+pages of their own; pages without an article element fall back to main, then to content containers, then to
+the body without link lists (of which the tree removes what repeats on the host); unclosed elements end where HTML
+says; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -54,16 +57,29 @@ NOISE_WORDS = frozenset("ad ads adv adbox adslot adunit outbrain taboola teaser
                         "disqus respond reply replies share sharing social related recommended recommendations widget widgets "
                         "copyright disclaimer hidden feedback".split())
 HEADER_WORDS = frozenset(["header"])
+NEUTRAL_WORDS = frozenset("all area article articles bar block body bottom box btn button buttons card cards col column container content count "
+                          "desktop display email facebook feed fixed form global grid group head header heading holder icon icons id inline inner is "
+                          "item items js label large latest left link links list main media mini mobile module native new news outer page panel "
+                          "popular post posts primary print reader readers right row secondary section site slot small space sticky stories story "
+                          "text the thread title top twitter unit user users wrap wrapper zone".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 CONTENT_WORDS = frozenset("content article post entry story main".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
                    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+OPEN_COMMENT = re.compile(r"<!--|<!\[CDATA\[")
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|([^\s=\"'/>]+)")
 NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+DIGITS, NUMBER = re.compile(r"\d+"), re.compile(r"\d{3,}")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+def _furniture(name: str) -> bool:
+    """Whether all words of a class or id speak of furniture, and not only one of them."""
+    words = {w.lower() for w in NAME_WORD.findall(name)}
+    return not NOISE_WORDS.isdisjoint(words) and all(w in NOISE_WORDS or w in NEUTRAL_WORDS or len(w) == 1 for w in words)
+
+
 def _hash(*parts) -> int:
     import xxhash
 
@@ -94,19 +110,27 @@ class Page:
         role = attrs.get("role", "").lower()
         plain = tag in ("html", "body", "main")
         self.hard.append(not plain and (tag in NOISE_TAGS or hidden or role in NOISE_ROLES or (tag == "header" and not in_article)))
-        self.soft.append(not plain and (not NOISE_WORDS.isdisjoint(words) or (not in_article and not HEADER_WORDS.isdisjoint(words))))
+        named = not NOISE_WORDS.isdisjoint(words)
+        if in_article:
+            soft = named and any(_furniture(x) for x in names.split())
+        else:
+            soft = named or not HEADER_WORDS.isdisjoint(words)
+        self.soft.append(not plain and soft)
         self.content.append(not CONTENT_WORDS.isdisjoint(words))
         self.parent.append(up)
         self.tag.append(tag)
         self.kind.append({"article": "article", "main": "main"}.get(role, tag))
-        self.path.append(_hash(self.path[up], tag, re.sub(r"\d+", "0", names).strip()))
+        style = NUMBER.sub("0", attrs.get("class", "")), DIGITS.sub("0", attrs.get("id", ""))  # col-1 is not col-2, but post-1234 any post
+        self.path.append(_hash(self.path[up], tag, *style))
         self.children.append([])
         self.children[up].append(tag)
         return len(self.tag) - 1
 
     def _parse(self, text: str) -> None:
         stack, block, pos, articles = [0], [], 0, 0
-        tags, kind, end = self.tag, self.kind, len(text)
+        tags, kind, end, last = self.tag, self.kind, len(text), text.rfind(">")
+        depths: dict[str, list[int]] = {}  # of the open elements by tag, rising
+        unclosed = set()  # raw tags without an end tag in the rest
 
         def put(a, b):
             if a < b:
@@ -119,12 +143,21 @@ class Page:
                 self.blocks.append(block)
                 block = []
 
+        def nearest(names):
+            return max((depths[t][-1] for t in names if depths.get(t)), default=0)
+
         def close_to(depth):
             nonlocal articles
-            articles -= sum(kind[i] in ("article", "main") for i in stack[depth:])
-            del stack[depth:]
+            while len(stack) > depth:
+                i = stack.pop()
+                depths[tags[i]].pop()
+                articles -= kind[i] in ("article", "main")
 
         while pos < end:
+            if pos > last:  # no tag ends any more: text up to a comment
+                m = OPEN_COMMENT.search(text, pos)
+                put(pos, m.start() if m else end)
+                break
             m = TOKEN.search(text, pos)
             if not m:
                 put(pos, end)
@@ -138,41 +171,33 @@ class Page:
             if tag in BLOCK:
                 flush()
             if m[1] or m[4]:  # an end tag: closes the nearest open element of that name
-                for d in range(len(stack) - 1, 0, -1):
-                    if tags[stack[d]] == tag:
-                        close_to(d)
-                        break
+                if d := nearest((tag,)):
+                    close_to(d)
                 continue
             attrs = m[3] if m[2] else m[6]
-            if tag in CLOSES_P:
-                for d in range(len(stack) - 1, 0, -1):
-                    t = tags[stack[d]]
-                    if t == "p":
-                        close_to(d)
-                        break
-                    if t in BLOCK:
-                        break
+            if tag in CLOSES_P and (d := nearest(("p",))):  # no other block is open in a paragraph
+                close_to(d)
             if tag in SIBLINGS:
-                for d in range(len(stack) - 1, 0, -1):
-                    t = tags[stack[d]]
-                    if t in SIBLINGS[tag]:
-                        close_to(d)
-                        if tag != "tr":
-                            break
-                    elif t in SCOPES[tag]:
+                scope = nearest(SCOPES[tag])
+                while (d := nearest(SIBLINGS[tag])) > scope:
+                    close_to(d)
+                    if tag != "tr":
                         break
             if tag in VOID:
                 continue
             if tag in RAW and not attrs.endswith("/"):
-                stop = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(text, pos)
+                stop = None if tag in unclosed else re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(text, pos)
+                if not stop:
+                    unclosed.add(tag)
                 pos = stop.end() if stop else (end if tag in ("script", "style", "textarea", "title") else pos)
                 continue
-            if tag in ("html", "body") and any(tags[i] == tag for i in stack[1:]):
+            if tag in ("html", "body") and depths.get(tag):
                 continue
             stack.append(self._open(stack[-1], tag, attrs, articles > 0))
+            depths.setdefault(tag, []).append(len(stack) - 1)
             articles += kind[stack[-1]] in ("article", "main")
             if attrs.endswith("/") and tag not in BLOCK:
-                stack.pop()
+                close_to(len(stack) - 1)
         flush()
 
     def _judge(self) -> None:
@@ -195,17 +220,23 @@ class Page:
         for i in range(n):
             soft = self.soft[i] and size[i] <= MOSTLY * size[0]
             noise[i] = hard[i] or soft or (i > 0 and noise[up[i]])
-        region = 0
+        def text_of(i):
+            return not noise[i] and size[i] > 0 and linked[i] <= MOSTLY * size[i]
+
+        region = [0]
         for wanted in (lambda i: self.kind[i] == "article", lambda i: self.kind[i] == "main", lambda i: self.content[i] and tag[i] in BLOCK):
             found = [i for i in range(1, n) if not noise[i] and wanted(i) and size[i]]
             if found:
-                region = max(found, key=lambda i: (size[i], -i))
+                best = max(found, key=lambda i: (text_of(i), size[i], -i))  # lists of links last
+                same = (lambda i: self.kind[i] == self.kind[best]) if self.kind[best] in ("article", "main") else (lambda i: self.path[i] == self.path[best])
+                region = [i for i in found if i == best or (up[i] == up[best] and same(i) and text_of(i))]
                 break
         inside = [False] * n
-        inside[region] = True
+        for i in region:
+            inside[i] = True
         for i in range(1, n):
             inside[i] = (inside[i] or inside[up[i]]) and not noise[i]
-            if region == 0 and tag[i] in BLOCK and tag[i] not in ("html", "body") and size[i] and linked[i] > MOSTLY * size[i]:
+            if region == [0] and tag[i] in BLOCK and tag[i] not in ("html", "body") and size[i] and linked[i] > MOSTLY * size[i]:
                 inside[i] = False  # without an article: lists of links are no text
         owner = [-1] * n  # the nearest element that may be removed as a branch
         for i in range(1, n):
@@ -289,12 +320,17 @@ def importance(parsed: DataFrame) -> DataFrame:
                        ((1 - damp) * F.col("presentation") + damp * F.col("content")).alias("composite"))
 
 
-def extract(pages: DataFrame) -> DataFrame:
-    """``page_id, url, html`` → ``page_id, url, text, n_chars``."""
+def parse(pages: DataFrame) -> DataFrame:
+    """``page_id, url, html`` → the pages' blocks and nodes (``SCHEMA``), written."""
     host = F.regexp_extract(F.lower(F.coalesce("url", F.lit(""))), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)
     rows = numbered(pages.select("page_id", "url", "html"), "rid")
     rows = rows.select("page_id", "url", "rid", host.alias("host"), "html")
-    parsed = stage_table(rows.mapInArrow(_parsed, SCHEMA), "pages")
+    return stage_table(rows.mapInArrow(_parsed, SCHEMA), "pages")
+
+
+def extract(pages: DataFrame) -> DataFrame:
+    """``page_id, url, html`` → ``page_id, url, text, n_chars``."""
+    parsed = parse(pages)
     low = importance(parsed).where((F.col("n_pages") >= MIN_PAGES) & (F.col("composite") < LOW)).select("host", "path", "n_pages")
     low = stage_table(low, "low-nodes")
     repeated = _texts(_seen(parsed).join(low.select("host", "path"), ["host", "path"])).join(low, ["host", "path"])
