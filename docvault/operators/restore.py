@@ -6,7 +6,7 @@ the *last* one wins.  Every loaded document carries ``seq = (ord, path, blk, pos
 ``min``/``max_by`` over it, grouped by (client, tenant, type, id) — never a window over a type, never one
 task per type.  The totals aggregate ids only (hash aggregation with map-side combine); the merge moves
 documents once, salted so that a large type (large in the dump *or* already in the target) is split over
-many tasks.  Only rows of the types the manifest touches are shuffled.
+many tasks of bounded text.  Only rows of the types the manifest touches are shuffled.
 """
 
 from __future__ import annotations
@@ -16,11 +16,30 @@ from pyspark.sql import functions as F
 
 from docvault.model import DOCUMENTS_PER_REQUEST
 from docvault.operators.types import type_key
-from docvault.session import among, broadcast_if_small, local_frame, small_frame
+from docvault.session import MAX_BROADCAST_BYTES, among, broadcast_if_small, local_frame, small_frame, staged
 
 KEY = ["client", "tenant", "type"]
 
 
+UNNAMED = "id IS NULL AND NOT bad"
+PLACE = ["path", "blk", "pos"]
+NUMBER_BYTES = 512  # of a broadcast row that places one numbered document
+
+
+def name_documents(dumps: DataFrame) -> DataFrame:
+    """``dumps`` with an id for every document that has none: its text's hash and its number among its dump's equal ones.
+
+    Equal documents are numbered by hash and place, in a written table that leaves out the first of each, so texts are not
+    shuffled: the numbers are broadcast.  When there are too many, the texts are shuffled by place once and written."""
+    nth = F.row_number().over(Window.partitionBy("file", "_sha").orderBy(*PLACE))
+    places = dumps.where(UNNAMED).select("file", *PLACE, F.sha2("doc", 256).alias("_sha")).withColumn("_nth", nth)
+    later = staged(places.where("_nth > 1").select(*PLACE, "_nth"), "equal-documents")
+    name = F.concat(F.lit("#"), F.sha2("doc", 256), F.lit("-"), F.coalesce("_nth", F.lit(1)).cast("string"))
+    few = later.count() * NUMBER_BYTES <= MAX_BROADCAST_BYTES
+    named = dumps.where(UNNAMED).join(F.broadcast(later) if few else later, PLACE, "left").withColumn("id", name).select(*dumps.columns)
+    return dumps.where(f"NOT ({UNNAMED})").unionByName(named if few else staged(named, "named-documents"))
+
+
 def load_documents(dumps: DataFrame, manifest: DataFrame) -> DataFrame:
     """Dump rows ``(file, path, blk, pos, id, bad, doc)`` ⋈ manifest on ``file`` → documents to restore.
 
@@ -29,21 +48,21 @@ def load_documents(dumps: DataFrame, manifest: DataFrame) -> DataFrame:
     same id in every backup and wherever the run directory lies.
     """
     m = broadcast_if_small(small_frame(manifest.sparkSession, manifest.select("ord", *KEY, "file"), "manifest")[0])
-    unnamed = dumps.where(F.col("id").isNull() & ~F.col("bad"))
-    if not unnamed.isEmpty():  # read from the id column alone; most dumps have none and need no numbering
-        nth = F.row_number().over(Window.partitionBy("file", "_sha").orderBy("path", "blk", "pos"))
-        unnamed = (unnamed.withColumn("_sha", F.sha2("doc", 256))
-                   .withColumn("id", F.concat(F.lit("#"), "_sha", F.lit("-"), nth.cast("string"))).drop("_sha"))
-        dumps = dumps.where(F.col("id").isNotNull() | F.col("bad")).unionByName(unnamed)
+    if not dumps.where(UNNAMED).isEmpty():  # read from the id column alone; most dumps have none and need no numbering
+        dumps = name_documents(dumps)
     j = dumps.join(m, "file")
     return j.select("ord", *KEY, "file", F.struct("ord", "path", "blk", "pos").alias("seq"),
                     F.coalesce("id", F.lit("")).alias("id"), "bad", "doc")
 
 
-# Size of one merge task (and of one written file) for a type: a type is salted into
+# Size of one bucket of a type: a type is salted into
 # max(ceil(restored docs / ROWS_PER_TASK), ceil(bytes already in the target / BYTES_PER_TASK)) buckets.
 ROWS_PER_TASK = 2_000_000
 BYTES_PER_TASK = 256 * 1024 * 1024
+# Text of one merge task, which sorts it, and what a row takes besides its text.
+MERGE_BYTES = 64 * 1024 * 1024
+ROW_BYTES = 256
+MAX_TASKS = 200_000  # of one shuffle
 
 
 def touched_types(manifest: DataFrame, target_bytes: dict | None = None, rows_per_task: int = ROWS_PER_TASK,
@@ -129,10 +148,12 @@ def merge_types(target: DataFrame, loaded: DataFrame, touched: DataFrame) -> Dat
     """The new content of the touched types (the only part of the target a restore rewrites).
 
     Per (type, id) the document with the greatest ``seq`` wins; documents already in the target order
-    before everything restored.  One shuffle, on ``(tkey, salt)`` with ``salt = hash(id) % salts``: the
-    grouping keys include both (``salt`` is a function of ``id``, so groups are unchanged), hence the
+    before everything restored.  One shuffle, on ``(tkey, salt, part)`` with ``salt = hash(id) % salts``: the
+    grouping keys include them (all are functions of ``id``, so groups are unchanged), hence the
     aggregation needs no second exchange, every task holds few types (few output files per type) and a huge
-    type is split over ``salts`` tasks.  ``max_by`` over text is sort-based: it spills instead of failing.
+    type is split over ``salts`` buckets.  A bucket is sized in stored, compressed bytes, so the texts that are merged
+    are measured (:func:`merge_parts`) and a bucket is split into parts of at most ``MERGE_BYTES`` of text, a file each.
+    ``max_by`` over text is sort-based: it spills instead of failing.
     ``target`` may be limited to the buckets that :func:`buckets_to_read` names.
     Output: ``(client, tenant, type, id, doc, tkey, bucket)``; the bucket is the salt.
     """
@@ -140,14 +161,26 @@ def merge_types(target: DataFrame, loaded: DataFrame, touched: DataFrame) -> Dat
     current = (touched_part(target, touched).select(*KEY, "id", "doc").join(t, KEY)
                .withColumn("seq", _target_seq()))
     new = loaded.where(~F.col("bad")).select(*KEY, "id", "doc", "seq").join(t, KEY)
-    u = current.unionByName(new).withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")))
-    tasks = touched.agg(F.sum("salts")).first()[0] or 1
+    u = current.unionByName(new)
+    parts = merge_parts(u, touched)
+    tasks = parts.agg(F.sum(F.col("salts").cast("long") * F.col("parts"))).first()[0] or 1
     least = int(touched.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (u.repartition(max(int(tasks), least), "tkey", "salt")
-            .groupBy("tkey", "salt", *KEY, "id").agg(F.max_by("doc", "seq").alias("doc"))
+    u = (u.join(broadcast_if_small(parts.select("tkey", "parts")), "tkey").withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")))
+         .withColumn("part", F.pmod(F.xxhash64("id", F.lit("part")), F.col("parts"))))
+    return (u.repartition(min(max(int(tasks), least), MAX_TASKS), "tkey", "salt", "part")
+            .groupBy("tkey", "salt", "part", *KEY, "id").agg(F.max_by("doc", "seq").alias("doc"))
             .select(*KEY, "id", "doc", "tkey", F.col("salt").cast("int").alias("bucket")))
 
 
+def merge_parts(documents: DataFrame, touched: DataFrame) -> DataFrame:
+    """``(tkey, salts, parts)``: into how many parts each bucket of a type is merged, by the bytes of its documents' text."""
+    size = F.octet_length("doc").cast("long") + ROW_BYTES
+    text = documents.groupBy("tkey").agg(F.sum(F.coalesce(size, F.lit(ROW_BYTES))).alias("_text"))
+    parts = F.ceil(F.coalesce("_text", F.lit(0)) / F.col("salts") / F.lit(MERGE_BYTES))
+    sized = touched.select("tkey", "salts").join(text, "tkey", "left")
+    return small_frame(touched.sparkSession, sized.select("tkey", "salts", F.greatest(F.lit(1), parts).cast("int").alias("parts")), "merge parts")[0]
+
+
 def upsert(target: DataFrame, loaded: DataFrame, touched: DataFrame) -> DataFrame:
     """The whole new target as one frame: untouched types as they are, touched types merged."""
     untouched = target.join(broadcast_if_small(touched.select(*KEY)), KEY, "left_anti").select(*KEY, "id", "doc")

@@ -17,7 +17,7 @@ from docvault.model import INDEX_SCHEMA, MANIFEST_NAME, RestoreError
 from docvault.operators.indexes import ensure_indexes
 from docvault.operators.restore import (buckets_to_read, load_documents, merge_types, plan_buckets, restore_totals,
                                        touched_types)
-from docvault.session import broadcast_if_small, small_frame
+from docvault.session import broadcast_if_small, local_frame, small_frame
 from docvault.sinks.snapshot import commit, current
 from docvault.sinks.target import CATALOG_SCHEMA, catalog_root, read_buckets, read_catalog, stage_types, switch_types
 from docvault.sources.config import read_manifest
@@ -85,7 +85,7 @@ def restore_dumps(spark: SparkSession, dumps: DataFrame, manifest_local: DataFra
 
     Only the buckets of the touched types in which a restored id falls are read and rewritten."""
     base = current(spark, catalog_root(target_root)) or 0
-    catalog = read_catalog(spark, target_root, base) if base else spark.createDataFrame([], CATALOG_SCHEMA)
+    catalog = read_catalog(spark, target_root, base) if base else local_frame(spark, [], CATALOG_SCHEMA)
     loaded = load_documents(dumps, manifest_local)
     touched = plan_buckets(touched_types(_counted(spark, manifest_local, loaded)), catalog, manifest_local, sizes)
     affected, _ = small_frame(spark, buckets_to_read(catalog, loaded, touched), "affected buckets")

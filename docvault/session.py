@@ -12,10 +12,12 @@ import tempfile
 import time
 import uuid
 
+import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 # Up to so many rows a metadata frame (requests, resolved types, manifests: one row per document type) is kept as a
 # local relation.  A larger one is a written table that is read where it is needed and joined as Spark sees fit.
@@ -198,27 +200,20 @@ def among(column: str, rows) -> "F.Column":
 
 
 def local_frame(spark: SparkSession, rows: list, schema) -> DataFrame:
-    """A frame of driver-side rows, shipped as Arrow batches (decoded in the JVM: scanning it needs no
-    Python worker); falls back to the plain row path for types Arrow cannot carry."""
+    """A frame of driver-side rows, shipped as an Arrow table whatever the session's settings.
+
+    Scanning it needs no Python worker, and Spark knows its size, so it can be broadcast: of a frame made from Python rows
+    it does not, and a join with one shuffles the documents by type."""
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    try:
-        import pandas as pd
-
-        cols = {f.name: pd.Series([r[i] if not hasattr(r[i], "asDict") else r[i].asDict(recursive=True)
-                                   for r in rows], dtype=object)
-                for i, f in enumerate(schema.fields)}
-        cols = {k: v.map(_plain) for k, v in cols.items()}
-        return spark.createDataFrame(pd.DataFrame(cols, columns=[f.name for f in schema.fields]), schema)
-    except Exception:  # noqa: BLE001 - any conversion problem: use the generic path
-        return spark.createDataFrame(rows, schema)
+    columns = [pa.array([_plain(r[i]) for r in rows], type=to_arrow_type(f.dataType)) for i, f in enumerate(schema.fields)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, names=schema.names), schema)
 
 
 def _plain(v):
-    """Rows inside arrays become dicts for the Arrow conversion."""
+    """Rows become dicts for the Arrow conversion."""
     if isinstance(v, list):
         return [_plain(x) for x in v]
     if hasattr(v, "asDict"):
         return v.asDict(recursive=True)
     return v
-

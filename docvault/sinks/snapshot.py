@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from docvault.session import list_names, path_exists, put_new, read_text_file
+from docvault.session import list_names, local_frame, path_exists, put_new, read_text_file
 
 _NAME = re.compile(r"v(\d{8})")
 _FILE = re.compile(r"v(\d{8})\.(claim|done)")
@@ -69,7 +69,7 @@ def committed(spark: SparkSession, root: str):
 def read_number(spark: SparkSession, root: str, number: int | None, schema: T.StructType) -> DataFrame:
     """A snapshot by its number; None: an empty frame of ``schema``."""
     if number is None:
-        return spark.createDataFrame([], schema)
+        return local_frame(spark, [], schema)
     return spark.read.schema(schema).parquet(directory(root, number))
 
 

@@ -75,7 +75,7 @@ def read_buckets(spark: SparkSession, target_root: str, catalog: DataFrame | Non
     Only the named versions' partitions are read: the catalog is small, and the join on the partition columns prunes the
     scan."""
     p = docs_root(target_root)
-    empty = spark.createDataFrame([], T.StructType([*TARGET_SCHEMA.fields, T.StructField("bucket", T.IntegerType(), True)]))
+    empty = local_frame(spark, [], T.StructType([*TARGET_SCHEMA.fields, T.StructField("bucket", T.IntegerType(), True)]))
     if not path_exists(spark, p):
         return empty
     now, rows = small_frame(spark, read_catalog(spark, target_root) if catalog is None else catalog, "stored types")
@@ -124,7 +124,7 @@ def staged_buckets(spark: SparkSession, target_root: str, ver: int) -> DataFrame
     """What a version holds, one row per bucket: names and documents from three dictionary columns, bytes from a listing."""
     p = f"{docs_root(target_root)}/ver={ver}"
     if not any(n.startswith("tkey=") for n, _ in list_names(spark, p)):
-        return spark.createDataFrame([], CATALOG_SCHEMA).drop("buckets")
+        return local_frame(spark, [], CATALOG_SCHEMA).drop("buckets")
     held = spark.read.schema(TARGET_SCHEMA).parquet(p).groupBy("tkey").agg(
         *[F.min(c).alias(c) for c in KEY], F.count(F.lit(1)).alias("n_docs"))
     files = spark.read.format("binaryFile").schema(f"{BINARY_COLUMNS}, tkey string").load(p)
@@ -141,7 +141,7 @@ def switch_types(spark: SparkSession, target_root: str, ver: int, base: int | No
     made from: when another job has changed one of the types since, this raises :class:`ConflictError`."""
     new, _ = small_frame(spark, staged_buckets(spark, target_root, ver), "staged buckets")
     shape = "tkey string, buckets int, kept boolean"
-    buckets = spark.createDataFrame([], shape) if buckets is None else buckets
+    buckets = local_frame(spark, [], shape) if buckets is None else buckets
     new = new.join(broadcast_if_small(buckets), "tkey", "left").na.fill(1, ["buckets"]).na.fill(False, ["kept"])
     whole = new.where(~F.col("kept")).select("tkey").distinct()
     names = [f.name for f in CATALOG_SCHEMA]

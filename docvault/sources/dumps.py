@@ -137,7 +137,7 @@ def frame_array_files(spark: SparkSession, paths: list[str], max_bytes: int = MA
     runs over Arrow batches of whole files.  Gzip files (``*.gz``) are not supported here.
     """
     if not paths:
-        return spark.createDataFrame([], FRAMED_SCHEMA)
+        return local_frame(spark, [], FRAMED_SCHEMA)
     raw = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
            .load(paths).select("path", "content"))
     return frame_binary(raw, max_bytes)
@@ -198,7 +198,7 @@ def frame_text_files(spark: SparkSession, paths: list[str], max_bytes: int = MAX
     error that names the file.
     """
     if not paths:
-        return spark.createDataFrame([], FRAMED_SCHEMA)
+        return local_frame(spark, [], FRAMED_SCHEMA)
     meta = F.col("_metadata")
     raw = spark.read.option("lineSep", "}").text(paths).select(
         F.url_decode(F.replace(meta["file_path"], F.lit("+"), F.lit("%2B"))).alias("path"),
@@ -258,7 +258,7 @@ def frame_binary(raw: DataFrame, max_bytes: int = MAX_OBJECT_BYTES) -> DataFrame
 def read_parquet_dumps(spark: SparkSession, dumps_dir: str, keys: list[str]) -> DataFrame:
     """Own parquet dumps of the given keys.  No parsing: ``id`` is stored; ``pos`` is the row index."""
     if not keys:
-        return spark.createDataFrame([], LOADED_SCHEMA)
+        return local_frame(spark, [], LOADED_SCHEMA)
     df = spark.read.schema("id string, doc string, file string").parquet(dumps_dir)
     return of_files(df.select("file", F.col("_metadata.file_path").alias("path"), F.lit(0).cast("long").alias("blk"),
                               F.col("_metadata.row_index").alias("pos"), "id", F.lit(False).alias("bad"), "doc"), keys)
@@ -302,7 +302,7 @@ def read_jsonl_dumps(spark: SparkSession, dumps_dir: str, keys: list[str]) -> Da
     given to documents without ``_id`` are the same on every run.
     """
     if not keys:
-        return spark.createDataFrame([], LOADED_SCHEMA)
+        return local_frame(spark, [], LOADED_SCHEMA)
     # the metadata columns are taken at the scan: the join of a long list of keys comes after them
     df = spark.read.schema("value string, file string").text(dumps_dir)
     return line_positions(stage_parsed(of_files(raw_lines(df), keys)))
@@ -353,7 +353,7 @@ def list_dump_files(spark: SparkSession, run_dir: str, kind: str, keys: list[str
     path = F.col("_metadata.file_path").alias("path") if kind in ("parquet", "jsonl") else F.col("path")
     place = [path, F.col("_metadata.file_size").alias("length")]
     if not keys:
-        return spark.createDataFrame([], "file string, path string, length long")
+        return local_frame(spark, [], "file string, path string, length long")
     if kind == "foreign":
         files = spark.read.format("binaryFile").load([f"{run_dir}/{_literal(k)}" for k in keys])
         return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), *place)
@@ -370,7 +370,7 @@ def dump_bytes(spark: SparkSession, run_dir: str, where: dict) -> DataFrame:
             part = list_dump_files(spark, run_dir, kind, keys)
             out = part if out is None else out.unionByName(part)
     if out is None:
-        return spark.createDataFrame([], "file string, bytes long")
+        return local_frame(spark, [], "file string, bytes long")
     return out.groupBy("file").agg(F.sum("length").alias("bytes"))
 
 

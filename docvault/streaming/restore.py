@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from docvault.model import ARRAYS_DIR, BINARY_COLUMNS, DUMPS_DIR, JSONL_DIR, MANIFEST_NAME, RestoreError
 from docvault.plans.restore import restore_dumps
-from docvault.session import broadcast_if_small, list_names, path_exists, small_frame
+from docvault.session import broadcast_if_small, list_names, local_frame, path_exists, small_frame
 from docvault.sources.config import read_manifest
 from docvault.sources.dumps import (LINES_SCHEMA, LOADED_SCHEMA, _literal, dump_bytes, frame_binary, line_positions,
                                     list_dump_files, locate_dumps, of_files, raw_lines, with_parsed_id)
@@ -74,7 +74,7 @@ def _entered(spark: SparkSession, staged_root: str, kind: str) -> list[str]:
 
 
 def _read(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
-    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*paths) if paths else local_frame(spark, [], schema)
 
 
 def read_ledger(spark: SparkSession, staged_root: str, kind: str) -> DataFrame:
@@ -137,7 +137,7 @@ def stream_restore(spark: SparkSession, run_dir: str, target_root: str, checkpoi
     manifest_local, rows = small_frame(spark, manifest, "manifest")
     base = checkpoint.rstrip("/")
     where = locate_dumps(spark, run_dir, rows)
-    dumps = spark.createDataFrame([], LOADED_SCHEMA)
+    dumps = local_frame(spark, [], LOADED_SCHEMA)
     for kind, keys in where.items():
         if keys:
             dumps = dumps.unionByName(_stage_kind(spark, run_dir, kind, keys, max_files_per_trigger, base))
