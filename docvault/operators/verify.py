@@ -40,17 +40,21 @@ def compare_leaves(expected: DataFrame, target: DataFrame) -> DataFrame:
 def verify_documents(expected: DataFrame, target: DataFrame, touched: DataFrame) -> DataFrame:
     """V1: per type, documents missing from the target, extra in it, and with different text.
 
-    ``expected`` is ``(client, tenant, type, id, doc)`` or already hashed ``(client, tenant, type, id, sha)``
-    (e.g. the winners of a restore); only the types in ``touched`` are compared.  Texts are compared
-    through their SHA-256, so only hashes are shuffled.
+    ``expected`` is ``(client, tenant, type, id, doc)``, already hashed ``(client, tenant, type, id, sha)``
+    (e.g. the winners of a restore), or what a restore loads (with ``seq`` and ``bad``), of which the winners count;
+    only the types in ``touched`` are compared.  Texts are compared through their SHA-256, so only hashes are shuffled.
 
     A hash tree of ``LEAVES`` leaves a type is compared first (a job of its own): equal leaves are counted, and only the
     documents of the others are joined by id.  An equal target is verified by one row per leaf.  Ids are unique within
-    a type, as a restore leaves them.
+    a type of the target, as a restore leaves them, so a leaf whose loaded documents equal the target's has no document
+    that another replaces: winners are looked for in the other leaves alone.
     """
-    h = F.col("sha") if "sha" in expected.columns else F.sha2("doc", 256)
-    e = expected.select(*KEY, "id", h.alias("he"))
-    t = touched_part(target, touched).select(*KEY, "id", F.sha2("doc", 256).alias("ht"))
+    loaded = "seq" in expected.columns
+    if loaded:
+        expected = expected.where(~F.col("bad"))
+    digest = F.unhex(F.col("sha") if "sha" in expected.columns else F.sha2("doc", 256))
+    e = expected.select(*KEY, "id", *(["seq"] if loaded else []), digest.alias("he"))
+    t = touched_part(target, touched).select(*KEY, "id", F.unhex(F.sha2("doc", 256)).alias("ht"))
     leaves = staged(compare_leaves(e, t), "verified-leaves")
     same = leaves.where("equal").groupBy(*KEY).agg(F.sum("n").alias("same"))
     zero = F.lit(0).cast("long")
@@ -59,6 +63,8 @@ def verify_documents(expected: DataFrame, target: DataFrame, touched: DataFrame)
     if not unequal.isEmpty():
         unequal = broadcast_if_small(unequal)
         e, t = (d.withColumn("leaf", leaf()).join(unequal, [*KEY, "leaf"], "left_semi").drop("leaf") for d in (e, t))
+        if loaded:
+            e = _last(e, "he")
         j = e.join(t, KEY + ["id"], "full_outer")
         per_type = per_type.unionByName(j.groupBy(*KEY).agg(
             F.count_if(F.col("ht").isNull()).alias("missing"),
@@ -81,5 +87,9 @@ def verify_indexes(manifest: DataFrame, target_indexes: DataFrame) -> DataFrame:
 def winners(loaded: DataFrame) -> DataFrame:
     """What a restore of the loaded documents leaves per id: the last one's hash ``(client, tenant, type, id, sha)``.
     The shuffle moves hashes, not documents."""
-    return (loaded.where(~F.col("bad")).select(*KEY, "id", "seq", F.sha2("doc", 256).alias("sha"))
-            .groupBy(*KEY, "id").agg(F.max_by("sha", "seq").alias("sha")))
+    hashed = loaded.where(~F.col("bad")).select(*KEY, "id", "seq", F.unhex(F.sha2("doc", 256)).alias("sha"))
+    return _last(hashed, "sha").select(*KEY, "id", F.lower(F.hex("sha")).alias("sha"))
+
+
+def _last(hashed: DataFrame, column: str) -> DataFrame:
+    return hashed.groupBy(*KEY, "id").agg(F.max_by(column, "seq").alias(column))

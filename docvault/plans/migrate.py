@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docvault.model import INDEX_SCHEMA, RestoreError
 from docvault.operators.restore import load_documents, touched_types
-from docvault.operators.verify import verify_documents, verify_indexes, winners
+from docvault.operators.verify import verify_documents, verify_indexes
 from docvault.plans.backup import BackupResult, run_backup
 from docvault.plans.restore import RestoreResult, indexes_root, run_restore
 from docvault.session import small_frame
@@ -20,8 +20,8 @@ def verify_restore(spark: SparkSession, run_dir: str, manifest_path: str, target
     """V1 and V2 after a restore: every dumped document and index is in the target as the restore should leave it.
     Documents that the target held before are no error."""
     manifest, rows = small_frame(spark, read_manifest(spark, manifest_path), "manifest")
-    expected = winners(load_documents(read_dumps(spark, run_dir, rows), manifest))
-    found = verify_documents(expected, read_target(spark, target), touched_types(manifest))
+    loaded = load_documents(read_dumps(spark, run_dir, rows), manifest)
+    found = verify_documents(loaded, read_target(spark, target), touched_types(manifest))
     wrong = found.where("missing > 0 or different > 0").first()
     if wrong:
         raise RestoreError(f"{wrong['client']}/{wrong['tenant']}/{wrong['type']}: {wrong['missing']} documents missing, "

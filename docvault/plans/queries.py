@@ -18,7 +18,7 @@ from docvault.operators.indexes import ensure_indexes, manifest_indexes, usable_
 from docvault.operators.manifest import select_manifest
 from docvault.operators.restore import assign_batches, batch_plan, load_documents, touched_types
 from docvault.operators.types import resolve_types
-from docvault.operators.verify import verify_documents, verify_indexes, winners
+from docvault.operators.verify import verify_documents, verify_indexes
 from docvault.plans.backup import plan_backup, run_backup
 from docvault.plans.migrate import migrate
 from docvault.plans.restore import indexes_root, restore_frames, run_restore
@@ -26,7 +26,7 @@ from docvault.sinks.dumps import new_run_dir, write_dumps, write_jsonl_dumps, wr
 from docvault.sinks.snapshot import read_snapshot
 from docvault.sinks.target import drop_types_in_place, read_target, stored_types, write_types
 from docvault.functions.json import has_weights_all, index_name, prepare_options
-from docvault.session import scratch_path, small_frame, write_text_file
+from docvault.session import local_frame, scratch_path, small_frame, write_text_file
 from docvault.sources.config import read_backup_config, read_manifest, request_frame
 from docvault.sources.dumps import read_dumps
 from docvault.sources.store import documents_store, index_catalog, store_from_tables, type_catalog
@@ -158,7 +158,7 @@ def existing_target_indexes(spark, catalog: DataFrame) -> DataFrame:
                                                       F.lit('{"name":"user_ts"}').alias("options"))
     b = c.where(F.col("tenant") == "tenant_1").select(*KEY, F.lit(0).alias("pos"), F.lit('{"other":1}').alias("keys"),
                                                       F.lit('{"name":"user_ts"}').alias("options"))
-    return spark.createDataFrame([], INDEX_SCHEMA).unionByName(a).unionByName(b)
+    return local_frame(spark, [], INDEX_SCHEMA).unionByName(a).unionByName(b)
 
 
 def q_index_ensure(spark, sf_dir):
@@ -286,7 +286,7 @@ def q_verify_documents(spark, sf_dir):
                .unionByName(t.where(n % 13 == 3).withColumn("id", F.concat(F.lit("-"), F.col("id")))))
     m = read_manifest(spark, b.manifest_path)
     loaded = load_documents(read_dumps(spark, b.run_dir, m.collect()), m)
-    return verify_documents(winners(loaded), damaged, touched_types(m))
+    return verify_documents(loaded, damaged, touched_types(m))
 
 
 def q_verify_indexes(spark, sf_dir):
@@ -297,7 +297,7 @@ def q_verify_indexes(spark, sf_dir):
 
 def q_drop_type(spark, sf_dir):
     _, root, _ = _restore_into_stale(spark, sf_dir)
-    drop = spark.createDataFrame([("analytics", "tenant_1", "click"), ("analytics", "tenant_1", "view"),
+    drop = local_frame(spark, [("analytics", "tenant_1", "click"), ("analytics", "tenant_1", "view"),
                                   ("corpus", "en", "src0")], "client string, tenant string, type string")
     drop_types_in_place(spark, root, drop)
     return read_target(spark, root).groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"))
