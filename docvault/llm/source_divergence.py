@@ -4,8 +4,9 @@ Each document becomes an exact sparse vector of term counts, and the vectors are
 with partial sums before the shuffle, so no dense vector is ever held.  For texts of up to ``TEXT_BYTES`` in all (which
 bounds the vocabulary) the vectors come from ``CountVectorizer`` with the minimum of documents and the greatest vocabulary
 size, one vocabulary per language by a tag on every term.  It holds its vocabulary on the driver and in every task, and a
-vocabulary grows with the texts, so beyond that bound the same entries are made by grouping: a document's terms are
-sorted, the first of equal ones is marked, and one aggregate counts occurrences (all) and documents (the marked ones).
+vocabulary grows with the texts, so beyond that bound the same entries are made by grouping: a small helper cuts and counts
+the terms of a batch of documents, at most ``HELD_TERMS`` entries at a time, and one aggregate sums their occurrences and
+documents.
 
 The sums are kept as one row a term with the counts of its sources.  A pair of sources is compared over all kept terms,
 but only entries are visited: of ``sum f(p(t), q(t))`` the terms in neither source have one value, the terms in one source
@@ -23,7 +24,12 @@ empty table gives no rows; other columns are ignored, whatever their names.
 from __future__ import annotations
 
 import string
+import sys
+from collections import Counter
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -41,6 +47,10 @@ BETWEEN_TERMS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 TAG = "\0"  # between language and term; no term holds it
 ALWAYS = TAG + TAG  # an entry that every fitted vocabulary has; no tagged term is equal to it
 GROUP = ["lang", "source"]
+HELD_TERMS = 300_000  # entries that a task counts before it hands them on
+COUNTED = "lang string, source string, term binary, n long, docs long"
+# Bytes of UTF-8: A-Z lower-cased, a space for what separates terms; bytes of characters beyond ASCII stay.
+TERM_BYTES = bytes(ord(chr(b).lower()) if chr(b) in string.ascii_letters else b if b > 0x7F else 0x20 for b in range(256))
 
 
 def terms(docs: DataFrame) -> DataFrame:
@@ -70,12 +80,37 @@ def _sums_of_vectors(rows: DataFrame, min_docs: int) -> DataFrame:
     return sums.join(broadcast_if_small(vocabulary.select("entry", "term")), "entry").select(*GROUP, "term", "n")
 
 
-def _sums_by_grouping(rows: DataFrame) -> DataFrame:
+def _count_terms(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+
+    def handed_on():
+        for (lang, source), (n, docs) in held.items():
+            columns = [pa.repeat(pa.scalar(lang, pa.string()), len(n)), pa.repeat(pa.scalar(source, pa.string()), len(n)), pa.array(list(n), pa.binary()),
+                       pa.array(list(n.values()), pa.int64()), pa.array([docs[t] for t in n], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "n", "docs"])
+        held.clear()
+
+    size = 0
+    for b in batches:
+        for lang, source, text in zip(*(b.column(c) for c in range(3))):
+            n, docs = held.setdefault((lang.as_py(), source.as_py()), (Counter(), Counter()))
+            found = text.as_py().translate(TERM_BYTES).split()
+            size -= len(n)
+            n.update(found)
+            docs.update(set(found))
+            size += len(n)
+            if size >= most:
+                yield from handed_on()
+                size = 0
+    yield from handed_on()
+
+
+def _sums_by_grouping(docs: DataFrame, most: int = HELD_TERMS) -> DataFrame:
     """Occurrences ``n`` and documents ``docs`` of every term of every group."""
-    t = F.col("sorted")
-    marked = F.transform(t, lambda x, i: F.struct(x.alias("term"), F.when((i > 0) & (F.get(t, i - 1) == x), 0).otherwise(1).alias("first")))
-    entries = rows.select(*GROUP, F.array_sort("terms").alias("sorted")).select(*GROUP, F.inline(marked))
-    return entries.groupBy(*GROUP, "term").agg(F.count(F.lit(1)).alias("n"), F.sum("first").alias("docs"))
+    texts = docs.select(*[F.coalesce(c, F.lit("")).alias(c) for c in GROUP], F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    counted = texts.mapInArrow(lambda batches: _count_terms(batches, most), COUNTED)
+    sums = counted.groupBy(*GROUP, "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    return sums.withColumn("term", F.col("term").cast("string"))
 
 
 def postings(docs: DataFrame, min_docs: int = MIN_DOCS, text_limit: int = TEXT_BYTES) -> tuple[DataFrame, DataFrame]:
@@ -84,7 +119,7 @@ def postings(docs: DataFrame, min_docs: int = MIN_DOCS, text_limit: int = TEXT_B
     rows = terms(docs)
     groups = stage_table(rows.select(*GROUP).distinct().withColumn("gid", F.monotonically_increasing_id()), "source-groups")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    sums = _sums_of_vectors(rows, min_docs).withColumn("docs", F.lit(min_docs)) if size <= text_limit else _sums_by_grouping(rows)
+    sums = _sums_of_vectors(rows, min_docs).withColumn("docs", F.lit(min_docs)) if size <= text_limit else _sums_by_grouping(docs)
     sums = sums.join(broadcast_if_small(groups), GROUP)
     kept = sums.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs"),
                                             F.collect_list(F.struct("gid", "n")).alias("counts"))
@@ -185,3 +220,6 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY
         FROM (SELECT * FROM pr UNION ALL SELECT * FROM tm))
 SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 200
 """
+
+# Ship this module's Python code with its functions, so workers need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
