@@ -11,6 +11,7 @@ import re
 import tempfile
 import time
 import uuid
+from contextlib import contextmanager
 
 import pyarrow as pa
 from py4j.protocol import Py4JJavaError
@@ -26,6 +27,8 @@ MAX_LOCAL_ROWS = 200_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 # Longest list of values in a static filter.
 MAX_PRUNE_VALUES = 2_000
+# Files that a task of a partitioned write keeps open at once.
+OPEN_FILES = 128
 
 
 def build_session(master: str | None = None, app: str = "docvault", shuffle_partitions: int | None = None,
@@ -75,6 +78,21 @@ def staged(df: DataFrame, prefix: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def unsorted_writes(spark: SparkSession):
+    """Partitioned writes in here put each row straight into its partition's open file.
+
+    Otherwise Spark sorts all that a task holds by partition, and a scan task holds as many rows as its split, some dozen
+    times the split's size when rows are narrow.  A task that meets more than ``OPEN_FILES`` partitions sorts what is left."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(max(int(before), OPEN_FILES)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def hadoop_fs(spark: SparkSession, path: str):
     """(FileSystem, Path) for a path, through the JVM so any Hadoop-compatible store works."""
     jvm = spark.sparkContext._jvm

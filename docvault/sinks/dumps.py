@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from docvault.functions.json import strip_nulls
 from docvault.model import ARRAYS_DIR, DUMPS_DIR, JSONL_DIR, MANIFEST_NAME
-from docvault.session import broadcast_if_small, path_exists, small_frame, write_text_file
+from docvault.session import broadcast_if_small, path_exists, small_frame, unsorted_writes, write_text_file
 
 
 def new_run_dir(spark: SparkSession, out_root: str) -> str:
@@ -47,7 +47,8 @@ def write_dumps(docs: DataFrame, run_dir: str, max_records_per_file: int = 1_000
          .option("maxRecordsPerFile", max_records_per_file))
     if compression:
         w = w.option("compression", compression)
-    w.parquet(f"{run_dir}/{DUMPS_DIR}")
+    with unsorted_writes(docs.sparkSession):
+        w.parquet(f"{run_dir}/{DUMPS_DIR}")
 
 
 def write_jsonl_dumps(docs: DataFrame, run_dir: str, max_records_per_file: int = 1_000_000,
@@ -58,7 +59,8 @@ def write_jsonl_dumps(docs: DataFrame, run_dir: str, max_records_per_file: int =
          .option("maxRecordsPerFile", max_records_per_file))
     if compression:
         w = w.option("compression", compression)
-    w.text(f"{run_dir}/{JSONL_DIR}")
+    with unsorted_writes(docs.sparkSession):
+        w.text(f"{run_dir}/{JSONL_DIR}")
 
 
 def write_array_dumps(docs: DataFrame, run_dir: str, target_bytes: int = 256 * 1024 * 1024) -> None:

@@ -116,7 +116,8 @@ def stage_types(df: DataFrame, target_root: str) -> int:
     tkey = F.col("tkey") if "tkey" in df.columns else type_key()
     bucket = F.col("bucket") if "bucket" in df.columns else F.lit(0)
     out = df.select(*KEY, "id", "doc", tkey.alias("tkey"), bucket.alias("bucket")).select(*KEY, "id", "doc", _directory().alias("tkey"))
-    out.write.mode("errorifexists").partitionBy("tkey").parquet(f"{docs_root(target_root)}/ver={ver}")
+    with session.unsorted_writes(spark):
+        out.write.mode("errorifexists").partitionBy("tkey").parquet(f"{docs_root(target_root)}/ver={ver}")
     return ver
 
 
